@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickmart import constants as C
@@ -37,7 +38,7 @@ def ranges(table: DataFrame) -> DataFrame:
 def segments(network_ranges: DataFrame) -> DataFrame:
     """Disjoint segments per block; where ranges overlap the narrowest one wins."""
     blocks = F.sequence(F.shiftright("lo", BLOCK_BITS), F.shiftright("hi", BLOCK_BITS))
-    cut = (
+    pieces = (
         network_ranges.filter("lo <= hi")
         .withColumn("width", F.col("hi") - F.col("lo"))
         .withColumn("block", F.explode(blocks))
@@ -48,7 +49,20 @@ def segments(network_ranges: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("width", "country", "city")).alias("best"))
         .select("block", "lo", "hi", "best.*")
     )
-    return cut.groupBy("block").applyInPandas(_narrowest, _SEGMENTS)
+    in_block = W.partitionBy("block")
+    earlier = in_block.orderBy("lo", "hi").rowsBetween(W.unboundedPreceding, -1)
+    overlaps = F.coalesce(F.max("hi").over(earlier) >= F.col("lo"), F.lit(False))
+    judged = pieces.withColumn("_o", overlaps).withColumn("_any", F.max("_o").over(in_block))
+    # address lists are mostly disjoint already; only overlapping blocks are swept
+    columns = ["block", "lo", "hi", "country", "city"]
+    disjoint = judged.filter(~F.col("_any")).select(*columns)
+    swept = (
+        judged.filter("_any")
+        .select(*columns, "width")
+        .groupBy("block")
+        .applyInPandas(_narrowest, _SEGMENTS)
+    )
+    return disjoint.unionByName(swept)
 
 
 def _narrowest(pdf: pd.DataFrame) -> pd.DataFrame:

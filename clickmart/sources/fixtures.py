@@ -49,16 +49,26 @@ def event_columns():
     }
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw events; category and brand come from the part table."""
-    cols = event_columns()
-    events = table(spark, sf_dir, "events").select(*[e.alias(n) for n, e in cols.items()])
-    part = table(spark, sf_dir, "part").select(
+def as_raw(events: DataFrame, part: DataFrame) -> DataFrame:
+    """Events table (batch or stream) as raw events; category and brand come from ``part``."""
+    products = part.select(
         F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("brand"),
     )
-    return events.join(part, "product_id", "left").select(*S.RAW_EVENT.names)
+    named = events.select(*[e.alias(n) for n, e in event_columns().items()])
+    return named.join(products, "product_id", "left").select(*S.RAW_EVENT.names)
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_raw(table(spark, sf_dir, "events"), table(spark, sf_dir, "part"))
+
+
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a file stream of raw events."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    return as_raw(stream, table(spark, sf_dir, "part"))
 
 
 def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,3 +124,38 @@ def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.join(
         nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
     ).select(F.col("c_custkey").cast("string").alias("user_id"), F.col("n_name").alias("country"))
+
+
+def order_session_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in the shape of session sales: one order is one session."""
+    order = F.col("sale_id").cast("bigint")
+    device = F.element_at(
+        F.array(*[F.lit(d) for d in C.DEVICES]), (order % 3 + 1).cast("int")
+    )
+    return S.conform(
+        fact_sales(spark, sf_dir)
+        .groupBy("sale_id", "session_id", "user_id", F.col("date_key").alias("date"))
+        .agg(
+            F.sum("total_amount").alias("total_revenue"),
+            F.count(F.lit(1)).alias("items_purchased"),
+        )
+        .withColumn("device_type", device)
+        .withColumn("categories_purchased", F.array().cast("array<string>")),
+        S.SESSION_SALES,
+    )
+
+
+def order_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer dimension over the order tables."""
+    from clickmart.plans import dims, rfm
+
+    sales = fact_sales(spark, sf_dir)
+    scored = rfm.segments(rfm.scores(rfm.sale_metrics(sales, SALES_AS_OF)))
+    days = scored.select(
+        "user_id",
+        F.col("first_purchase").alias("first_seen"),
+        F.col("last_purchase").alias("last_seen"),
+    )
+    activity = customer_profile(spark, sf_dir).join(days, "user_id", "left")
+    value = rfm.ltv_formula(scored).select("user_id", "ltv_12m")
+    return dims.dim_customer(activity, scored, value)
