@@ -56,12 +56,11 @@ def ntile(
         thin.repartitionByRange(_partitions(df), "m", "v", "id")
         .groupBy(F.spark_partition_id().alias("p"), "m")
         .agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
-        .orderBy("m", "low")
         .collect()
     )
     wanted = []  # (m, rank within the part, part)
     for m in values:
-        parts = [r for r in counted if r.m == m]
+        parts = sorted((r for r in counted if r.m == m), key=lambda r: r.low)
         for start in _bucket_starts(sum(r.n for r in parts), k):
             before = 0
             for part in parts:
@@ -105,7 +104,6 @@ def _rows_at(thin: DataFrame, key: Column, wanted: list) -> dict[int, list]:
         .filter(F.col("g").isNotNull())
         .withColumn("r", F.row_number().over(W.partitionBy("g").orderBy("v", "id")))
         .filter(hits)
-        .orderBy("m", "v", "id")
         .collect()
     )
     return {m: [r for r in rows if r.m == m] for m, _, _ in wanted}

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickmart import constants as C
 from clickmart import schemas as S
 from clickmart.operators import sessions
 
@@ -64,31 +65,82 @@ def dim_product(products: DataFrame) -> DataFrame:
     )
 
 
-def products_of_events(events: DataFrame) -> DataFrame:
-    """Latest category, brand and price per product seen on the events.
+# What is known per key so far.  Minima and maxima only, so states of overlapping
+# periods merge to the same result in any order and however often.
+_PRODUCT_STATE = {"latest": F.max, "priced": F.max, "created_date": F.min}
+_USER_STATE = {"first_seen": F.min, "last_seen": F.max, "place": F.max}
 
-    The price is that of the latest event that carries one.
-    """
-    latest = F.struct("event_ts", "event_id", "category", "brand")
+
+def product_state(events: DataFrame) -> DataFrame:
+    """Per product: latest attributes, latest priced event, first day."""
     priced = F.when(F.col("price").isNotNull(), F.struct("event_ts", "event_id", "price"))
     return (
         events.filter(F.col("product_id").isNotNull())
         .groupBy("product_id")
         .agg(
-            F.max(latest).alias("_latest"),
-            F.max(priced).alias("_priced"),
+            F.max(F.struct("event_ts", "event_id", "category", "brand")).alias("latest"),
+            F.max(priced).alias("priced"),
             F.min("date").alias("created_date"),
         )
-        .select(
-            "product_id",
-            F.col("_latest.category").alias("category"),
-            F.col("_latest.brand").alias("brand"),
-            F.col("_priced.price").alias("price"),
-            "created_date",
-        )
     )
 
 
+def user_state(events: DataFrame) -> DataFrame:
+    """Per user: first and last day, latest located place."""
+    place = F.when(
+        F.col("country").isNotNull(), F.struct("event_ts", "event_id", "country", "city")
+    )
+    return events.groupBy("user_id").agg(
+        F.min("date").alias("first_seen"),
+        F.max("date").alias("last_seen"),
+        F.max(place).alias("place"),
+    )
+
+
+def _merge(old: DataFrame, new: DataFrame, key: str, parts) -> DataFrame:
+    return old.unionByName(new).groupBy(key).agg(
+        *[best(column).alias(column) for column, best in parts.items()]
+    )
+
+
+def merge_product_states(old: DataFrame, new: DataFrame) -> DataFrame:
+    return _merge(old, new, "product_id", _PRODUCT_STATE)
+
+
+def merge_user_states(old: DataFrame, new: DataFrame) -> DataFrame:
+    return _merge(old, new, "user_id", _USER_STATE)
+
+
+def products_of_state(state: DataFrame) -> DataFrame:
+    return state.select(
+        "product_id",
+        F.col("latest.category").alias("category"),
+        F.col("latest.brand").alias("brand"),
+        F.col("priced.price").alias("price"),
+        "created_date",
+    )
+
+
+def activity_of_state(state: DataFrame) -> DataFrame:
+    return state.select(
+        "user_id",
+        "first_seen",
+        "last_seen",
+        F.col("place.country").alias("country"),
+        F.col("place.city").alias("city"),
+    )
+
+
+def products_of_events(events: DataFrame) -> DataFrame:
+    """Latest category, brand and price per product seen on the events."""
+    return products_of_state(product_state(events))
+
+
+def user_activity(events: DataFrame) -> DataFrame:
+    """First and last day per user and the latest located place."""
+    return activity_of_state(user_state(events))
+
+
 def dim_session(events: DataFrame, gap_seconds: float | None = None) -> DataFrame:
     """Session rollup; browser and traffic source have no input and stay null."""
     rollup = (
@@ -99,25 +151,23 @@ def dim_session(events: DataFrame, gap_seconds: float | None = None) -> DataFram
     return S.conform(rollup, S.DIM_SESSION)
 
 
-def user_activity(events: DataFrame) -> DataFrame:
-    """First and last day per user and the latest located place."""
-    place = F.when(
-        F.col("country").isNotNull(), F.struct("event_ts", "event_id", "country", "city")
+def sessions_of_curated(curated: DataFrame) -> DataFrame:
+    """The same rollup from events that carry their session, with its start day."""
+    views = F.count_if(F.col("event_type") == C.VIEW)
+    seconds = F.unix_micros("session_end") - F.unix_micros("session_start")
+    rollup = curated.groupBy("session_id", "user_id", "session_start").agg(
+        F.max("event_ts").alias("session_end"),
+        views.cast("int").alias("page_views"),
+        F.min(F.struct("event_ts", "event_id", "device_type"))["device_type"].alias("device_type"),
     )
-    return (
-        events.groupBy("user_id")
-        .agg(
-            F.min("date").alias("first_seen"),
-            F.max("date").alias("last_seen"),
-            F.max(place).alias("_place"),
-        )
-        .select(
-            "user_id",
-            "first_seen",
-            "last_seen",
-            F.col("_place.country").alias("country"),
-            F.col("_place.city").alias("city"),
-        )
+    return S.conform(
+        rollup.withColumns(
+            {
+                "duration_secs": F.floor(seconds / 1_000_000).cast("int"),
+                "start_date": F.to_date("session_start"),
+            }
+        ),
+        S.DIM_SESSION_STORED,
     )
 
 

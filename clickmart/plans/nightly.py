@@ -1,9 +1,15 @@
-"""The daily run: raw files to curated tables, features, warehouse, aggregates."""
+"""The daily run: raw files to curated tables, warehouse, features.
+
+Every step replaces whole partitions or merges minima and maxima, so a rerun for
+the same date leaves the same tables.  Only the days that can still change are
+read from the event zones.
+"""
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickmart import constants as C
 from clickmart import schemas as S
@@ -11,132 +17,188 @@ from clickmart.operators import clean, dedup, sales, sessions
 from clickmart.plans import dims, facts, ltv, recommend, refresh, rfm
 from clickmart.sinks import tables
 from clickmart.sources import raw as raw_source
-from clickmart.storage import materialize, path_exists, remove_path
+from clickmart.storage import list_names, materialize, path_exists, remove_path
+
+# late events are accepted as long as the stream keeps them
+LATE_DAYS = 2
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Folders of one lake."""
+    """Folders of one lake, as the catalog registers them."""
 
     root: str
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    @property
-    def events(self) -> str:
-        return self.path("curated/events")
+    def read(self, spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
+        return spark.read.schema(schema).parquet(self.path(name))
 
-    @property
-    def sales(self) -> str:
-        return self.path("curated/sales")
 
-    def session_state(self, day: str) -> str:
-        """Last session per user as known at the end of ``day``."""
-        return self.path(f"state/sessions/{day}")
+def _day(value: str) -> Column:
+    return F.lit(value).cast("date")
 
 
-def _days_before(spark: SparkSession, day: str, days: int) -> str:
-    return str(spark.range(1).select(F.date_sub(F.lit(day).cast("date"), days)).first()[0])
+def _shift(spark: SparkSession, day: str, days: int) -> str:
+    return str(spark.range(1).select(F.date_add(_day(day), days)).first()[0])
 
 
-def curate(
-    spark: SparkSession, raw: DataFrame, layout: Layout, process_date: str,
-    late_days: int = 2, gap_seconds: float = C.SESSION_GAP_SECONDS,
-) -> None:
-    """Curated events and session sales of one processing date.
+def read_recent(spark: SparkSession, raw_path: str, since: str) -> DataFrame:
+    """Accepted raw events delivered on or after ``since``; older folders are not opened."""
+    found = raw_source.read_raw(spark, raw_path)
+    if {"year", "month", "day"} <= set(found.columns):
+        delivered = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
+        found = found.filter(delivered >= _day(since)).drop("year", "month", "day")
+    return raw_source.accepted(found)
+
 
-    The last ``late_days`` days are recomputed together with ``process_date`` from
-    the session state before them, so late events within that limit join the right
-    session, sessions continue over midnight, and a rerun gives the same tables.
-    ``raw`` holds at least the events of these days.
+def _open_from(spark: SparkSession, layout: Layout, as_of: str, since: str | None):
+    """First day that may still change, and the session state just before it."""
+    first = since or _shift(spark, as_of, -LATE_DAYS)
+    states = [d for d in list_names(spark, layout.path("state/sessions")) if d < first]
+    if not states:
+        return first, None
+    newest = states[-1]
+    carry = spark.read.parquet(layout.path(f"state/sessions/{newest}"))
+    # days between the state and ``first`` were skipped by earlier runs
+    return (first if since else _shift(spark, newest, 1)), carry
+
+
+def curate(
+    spark: SparkSession,
+    raw_path: str,
+    layout: Layout,
+    as_of: str,
+    since: str | None = None,
+    gap_seconds: float = C.SESSION_GAP_SECONDS,
+) -> str:
+    """Curated events and session sales of the days that can still change.
+
+    These are the last ``LATE_DAYS`` days before ``as_of`` (or the days from
+    ``since`` on, for a first load).  They are recomputed from the session state
+    before them, so late events join the right session and sessions continue over
+    midnight.  Returns the first recomputed day.
     """
-    first = _days_before(spark, process_date, late_days)
-    day = F.col("date").between(F.lit(first).cast("date"), F.lit(process_date).cast("date"))
-    # parsed and cleaned once, read by the cells, the join and the state
-    cleaned = materialize(dedup.dedup(clean.clean(raw).filter(day)), "cleaned")
-    state_path = layout.session_state(_days_before(spark, first, 1))
-    carry = spark.read.parquet(state_path) if path_exists(spark, state_path) else None
-
-    curated = sessions.sessionize(cleaned, gap_seconds, carry)
+    first, carry = _open_from(spark, layout, as_of, since)
+    open_days = F.col("date").between(_day(first), _day(as_of))
+    recent = clean.clean(read_recent(spark, raw_path, first)).filter(open_days)
+    # parsed once; read by the session cells, by the join and by the state
+    cleaned = materialize(dedup.dedup(recent), "cleaned")
+
+    curated = S.conform(sessions.sessionize(cleaned, gap_seconds, carry), S.CURATED_EVENT)
+    events = layout.path("curated/events")
+    tables.write_partitions(curated, events, ["date"], ["user_id", "event_ts"])
+    written = spark.read.schema(S.CURATED_EVENT).parquet(events).filter(open_days)
     tables.write_partitions(
-        S.conform(curated, S.CURATED_EVENT), layout.events, ["date"], ["user_id", "event_ts"]
+        sales.sales_of_sessions(written), layout.path("curated/sales"), ["date"]
     )
-    written = spark.read.schema(S.CURATED_EVENT).parquet(layout.events).filter(day)
-    tables.write_partitions(sales.sales_of_sessions(written), layout.sales, ["date"])
-    for back in range(late_days, -1, -1):
-        upto = _days_before(spark, process_date, back)
-        state = sessions.last_sessions(
-            cleaned.filter(F.col("date") <= F.lit(upto).cast("date")), gap_seconds, carry
+    settled = _shift(spark, as_of, -LATE_DAYS)
+    if settled >= first:
+        before = cleaned.filter(F.col("date") <= _day(settled))
+        tables.write_table(
+            sessions.last_sessions(before, gap_seconds, carry),
+            layout.path(f"state/sessions/{settled}"),
         )
-        tables.write_table(state, layout.session_state(upto))
-    # one older state than the next run needs is of no use any more
-    old = layout.session_state(_days_before(spark, first, 2))
-    if path_exists(spark, old):
-        remove_path(spark, old)
+    return first
 
 
-def build_features(spark: SparkSession, layout: Layout, as_of: str) -> None:
-    """Customer value, recommendations and item vectors from the curated zone."""
-    day = F.lit(as_of).cast("date")
-    sold = spark.read.schema(S.SESSION_SALES).parquet(layout.sales).filter(F.col("date") <= day)
-    events = spark.read.schema(S.CURATED_EVENT).parquet(layout.events).filter(F.col("date") <= day)
+def prune_states(spark: SparkSession, layout: Layout, before: str) -> None:
+    """Forget session states older than any date that will be rerun."""
+    for day in list_names(spark, layout.path("state/sessions")):
+        if day < before:
+            remove_path(spark, layout.path(f"state/sessions/{day}"))
+
+
+def _merged_state(spark: SparkSession, path: str, new: DataFrame, merge) -> DataFrame:
+    """Merge ``new`` into the stored state and return the stored result."""
+    if path_exists(spark, path):
+        new = merge(spark.read.parquet(path), new)
+    # the old files are read while the new ones are written elsewhere
+    tables.write_table(materialize(new, "state"), path)
+    return spark.read.parquet(path)
 
-    tables.write_table(
-        ltv.same_period_ltv(sold, as_of),
-        layout.path("features/customer_ltv"),
-        ["preferred_device"],
-    )
-    recommender = recommend.fit(recommend.interactions(events))
-    tables.write_table(recommender.top(), layout.path("features/recommendations"))
-    tables.write_table(recommender.item_vectors(), layout.path("features/item_vectors"))
-    tables.write_table(recommender.similar_items(), layout.path("features/item_similarity"))
 
+def build_warehouse(spark: SparkSession, layout: Layout, as_of: str, since: str) -> None:
+    """Star schema and aggregates, from the curated days ``since`` to ``as_of``."""
+    upto = F.col("date") <= _day(as_of)
+    events = layout.read(spark, "curated/events", S.CURATED_EVENT).filter(upto)
+    recent = events.filter(F.col("date") >= _day(since))
 
-def build_warehouse(spark: SparkSession, layout: Layout, as_of: str) -> None:
-    """Star schema and refreshed aggregates."""
-    day = F.lit(as_of).cast("date")
-    sold = spark.read.schema(S.SESSION_SALES).parquet(layout.sales).filter(F.col("date") <= day)
-    events = spark.read.schema(S.CURATED_EVENT).parquet(layout.events).filter(F.col("date") <= day)
+    for name, build, order in (
+        ("fact_sales", facts.fact_sales, "user_id"),
+        ("fact_user_events", facts.fact_user_events, "event_type"),
+    ):
+        tables.write_partitions(
+            build(recent), layout.path(f"warehouse/{name}"), ["date_key"], [order]
+        )
+
+    # a session that reaches into the recent days may have begun before them
+    begun = recent.agg(F.to_date(F.min("session_start"))).first()[0]
+    if begun is not None:
+        touched = events.filter(
+            (F.col("date") >= F.lit(begun)) & (F.to_date("session_start") >= F.lit(begun))
+        )
+        tables.write_partitions(
+            dims.sessions_of_curated(touched), layout.path("warehouse/dim_session"), ["start_date"]
+        )
 
+    users = _merged_state(
+        spark, layout.path("state/users"), dims.user_state(recent), dims.merge_user_states
+    )
+    items = _merged_state(
+        spark, layout.path("state/products"), dims.product_state(recent),
+        dims.merge_product_states,
+    )
+    sold = layout.read(spark, "curated/sales", S.SESSION_SALES).filter(upto)
     scored = rfm.segments(rfm.scores(rfm.metrics(sold, as_of)))
     value = rfm.ltv_formula(scored).select("user_id", "ltv_12m")
-    products = dims.dim_product(dims.products_of_events(events))
-    customers = dims.dim_customer(dims.user_activity(events), scored, value)
-    dates = dims.dim_date(dims.date_bounds(events, "date"))
-    for name, df in {
-        "dim_customer": customers,
-        "dim_product": products,
-        "dim_date": dates,
-        "dim_session": dims.dim_session(events),
-    }.items():
-        tables.write_table(df, layout.path(f"warehouse/{name}"))
-    sales_path = layout.path("warehouse/fact_sales")
-    tables.write_partitions(facts.fact_sales(events), sales_path, ["date_key"], ["user_id"])
-    tables.write_partitions(
-        facts.fact_user_events(events),
-        layout.path("warehouse/fact_user_events"),
-        ["date_key"],
-        ["event_type"],
+    customers = dims.dim_customer(dims.activity_of_state(users), scored, value)
+    tables.write_table(customers, layout.path("warehouse/dim_customer"))
+    tables.write_table(
+        dims.dim_product(dims.products_of_state(items)), layout.path("warehouse/dim_product")
     )
+    seen = users.agg(F.min("first_seen").alias("first"), F.max("last_seen").alias("last"))
+    tables.write_table(dims.dim_date(seen), layout.path("warehouse/dim_date"))
+
     refresh.refresh(
         spark,
         as_of,
-        spark.read.schema(S.FACT_SALES).parquet(sales_path),
-        spark.read.schema(S.DIM_DATE).parquet(layout.path("warehouse/dim_date")),
-        spark.read.schema(S.DIM_PRODUCT).parquet(layout.path("warehouse/dim_product")),
+        layout.read(spark, "warehouse/fact_sales", S.FACT_SALES),
+        layout.read(spark, "warehouse/dim_date", S.DIM_DATE),
+        layout.read(spark, "warehouse/dim_product", S.DIM_PRODUCT),
         refresh.AggregatePaths(
             layout.path("warehouse/aggr_daily_sales"),
             layout.path("warehouse/aggr_customer_cohort"),
         ),
+        since,
+    )
+    refresh.refresh_category_metrics(spark, layout.path("mv/daily_category"), events, since)
+
+
+def build_features(spark: SparkSession, layout: Layout, as_of: str) -> None:
+    """Customer value, recommendations, item vectors and similar items."""
+    upto = F.col("date") <= _day(as_of)
+    sold = layout.read(spark, "curated/sales", S.SESSION_SALES).filter(upto)
+    events = layout.read(spark, "curated/events", S.CURATED_EVENT).filter(upto)
+
+    tables.write_table(
+        ltv.same_period_ltv(sold, as_of), layout.path("features/customer_ltv"),
+        ["preferred_device"],
     )
-    changed = _days_before(spark, as_of, C.DAILY_REFRESH_DAYS)
-    refresh.refresh_category_metrics(spark, layout.path("mv/daily_category"), events, changed)
+    recommender = recommend.fit(recommend.interactions(events))
+    for name, df in {
+        "recommendations": recommender.top(),
+        "item_vectors": recommender.item_vectors(),
+        "item_similarity": recommender.similar_items(),
+    }.items():
+        tables.write_table(df, layout.path(f"features/{name}"))
 
 
-def run(spark: SparkSession, raw_path: str, layout: Layout, as_of: str) -> None:
+def run(
+    spark: SparkSession, raw_path: str, layout: Layout, as_of: str, since: str | None = None
+) -> None:
     """The whole run for one date; any scheduler may call it."""
-    raw = raw_source.accepted(raw_source.read_raw(spark, raw_path))
-    curate(spark, raw, layout, as_of)
+    first = curate(spark, raw_path, layout, as_of, since)
+    build_warehouse(spark, layout, as_of, first)
     build_features(spark, layout, as_of)
-    build_warehouse(spark, layout, as_of)

@@ -51,14 +51,20 @@ def refresh(
     dates: DataFrame,
     products: DataFrame,
     paths: AggregatePaths,
+    since: str | None = None,
 ) -> None:
-    """Bring both stored aggregates up to date; running it twice changes nothing."""
+    """Bring both stored aggregates up to date; running it twice changes nothing.
+
+    ``since`` widens the windows when sales of earlier days were loaded as well.
+    """
+    daily, cohort = daily_cutoff(as_of), cohort_cutoff(as_of)
+    if since is not None:
+        daily = F.least(daily, _day(since))
+        cohort = F.least(cohort, F.trunc(_day(since), "MM"))
     daily_from, cohort_from = (
-        spark.range(1)
-        .select(daily_cutoff(as_of).cast("string"), cohort_cutoff(as_of).cast("string"))
-        .first()
+        spark.range(1).select(daily.cast("string"), cohort.cast("string")).first()
     )
-    recent = sales.filter(F.col("date_key") >= daily_cutoff(as_of))
+    recent = sales.filter(F.col("date_key") >= _day(daily_from))
     tables.refresh_window(
         spark, paths.daily_sales, aggregates.daily_sales(recent, dates, products),
         "date_key", daily_from,

@@ -305,7 +305,7 @@ def customer_360(spark, sf_dir):
     return aggregates.customer_360(
         fixtures.order_customers(spark, sf_dir),
         fixtures.fact_sales(spark, sf_dir),
-        facts.fact_user_events(_curated(spark, sf_dir)),
+        fixtures.clean_events(spark, sf_dir),
     )
 
 
@@ -314,7 +314,7 @@ def customer_360_literal(spark, sf_dir):
     return aggregates.customer_360_literal(
         fixtures.order_customers(spark, sf_dir),
         fixtures.fact_sales(spark, sf_dir),
-        facts.fact_user_events(_curated(spark, sf_dir)),
+        fixtures.clean_events(spark, sf_dir),
     )
 
 

@@ -100,6 +100,9 @@ DIM_SESSION = _struct(
     "duration_secs int, page_views int, device_type string, browser string, traffic_source string"
 )
 
+# stored by the day a session starts
+DIM_SESSION_STORED = T.StructType(DIM_SESSION.fields + _struct("start_date date").fields)
+
 FACT_SALES = _struct(
     "sale_id string, session_id string, user_id string, product_id string, date_key date, "
     "hour smallint, quantity int, unit_price price, total_amount amount, "

@@ -32,7 +32,7 @@ TABLES = {
     "dim_customer": (S.DIM_CUSTOMER, "parquet", (), "warehouse/dim_customer"),
     "dim_product": (S.DIM_PRODUCT, "parquet", (), "warehouse/dim_product"),
     "dim_date": (S.DIM_DATE, "parquet", (), "warehouse/dim_date"),
-    "dim_session": (S.DIM_SESSION, "parquet", (), "warehouse/dim_session"),
+    "dim_session": (S.DIM_SESSION_STORED, "parquet", ("start_date",), "warehouse/dim_session"),
 }
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickmart import constants as C
 from clickmart import schemas as S
@@ -19,8 +20,42 @@ GEO_RANGES = [
 ]
 
 
+_LONG, _INT, _DOUBLE, _TEXT = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
+_TIME = T.TimestampNTZType()
+
+
+def _schema(**columns) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in columns.items()])
+
+
+# fixed schemas: opening a table needs no job that reads file footers
+TABLES = {
+    "events": _schema(
+        event_id=_LONG, ts=_TIME, user_id=_LONG, event_type=_TEXT, value=_DOUBLE, props=_TEXT
+    ),
+    "customer": _schema(
+        c_custkey=_LONG, c_name=_TEXT, c_nationkey=_INT, c_acctbal=_DOUBLE, c_mktsegment=_TEXT
+    ),
+    "part": _schema(
+        p_partkey=_LONG, p_name=_TEXT, p_brand=_TEXT, p_type=_TEXT, p_size=_INT,
+        p_retailprice=_DOUBLE,
+    ),
+    "orders": _schema(
+        o_orderkey=_LONG, o_custkey=_LONG, o_orderstatus=_TEXT, o_totalprice=_DOUBLE,
+        o_orderdate=_TIME, o_orderpriority=_TEXT,
+    ),
+    "lineitem": _schema(
+        l_orderkey=_LONG, l_partkey=_LONG, l_suppkey=_LONG, l_linenumber=_INT,
+        l_quantity=_DOUBLE, l_extendedprice=_DOUBLE, l_discount=_DOUBLE, l_tax=_DOUBLE,
+        l_returnflag=_TEXT, l_linestatus=_TEXT, l_shipdate=_TIME,
+    ),
+    "nation": _schema(n_nationkey=_INT, n_name=_TEXT, n_regionkey=_INT),
+    "embeddings": _schema(vec_id=_LONG, embedding=T.ArrayType(T.FloatType()), label=_INT),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return configure(spark).read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_columns():
@@ -66,8 +101,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream of raw events."""
-    schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    stream = configure(spark).readStream.schema(TABLES["events"]).parquet(
+        f"{sf_dir}/events.parquet*"
+    )
     return as_raw(stream, table(spark, sf_dir, "part"))
 
 
