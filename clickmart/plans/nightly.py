@@ -33,7 +33,8 @@ class Layout:
         return f"{self.root}/{name}"
 
     def read(self, spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
-        return spark.read.schema(schema).parquet(self.path(name))
+        # partition columns come last on reading; the schema's order is restored
+        return spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
 
 
 def _day(value: str) -> Column:

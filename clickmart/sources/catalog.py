@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from clickmart import schemas as S
+from clickmart.storage import path_exists
 
 # table -> (schema, format, partition columns, folder)
 TABLES = {
@@ -55,7 +56,7 @@ def create_table(spark: SparkSession, database: str, name: str, location: str) -
         f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_columns(schema, partitions)}) "
         f"USING {fmt} {clause} LOCATION '{location}'"
     )
-    if partitions:
+    if partitions and path_exists(spark, location):
         recover(spark, f"{database}.{name}")
 
 

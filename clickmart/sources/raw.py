@@ -13,18 +13,18 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(S.CORRUPT, T.StringType())])
 
 
+def _lines(text: DataFrame, schema: T.StructType) -> DataFrame:
+    return decode(text.filter(F.trim("value") != ""), "value", schema=schema)
+
+
 def read_raw(spark: SparkSession, path: str, schema: T.StructType = S.ENRICHED_EVENT) -> DataFrame:
     """JSON lines with a fixed schema; unreadable lines land in ``_corrupt``.
 
-    Hive-style ``year=/month=/day=`` folders become partition columns, so a
-    filter on them prunes files.
+    Every line is parsed with the whole schema, so the same lines are unreadable
+    whichever columns a query uses.  Hive-style ``year=/month=/day=`` folders
+    become columns, and a filter on them prunes files.
     """
-    return (
-        spark.read.schema(_with_corrupt(schema))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", S.CORRUPT)
-        .json(path)
-    )
+    return _lines(spark.read.text(path), schema)
 
 
 def stream_raw(
@@ -34,14 +34,10 @@ def stream_raw(
     max_files: int | None = None,
 ) -> DataFrame:
     """The same reader as a file stream."""
-    reader = (
-        spark.readStream.schema(_with_corrupt(schema))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", S.CORRUPT)
-    )
+    reader = spark.readStream.schema("value string")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return _lines(reader.text(path), schema)
 
 
 def stream_kafka(
@@ -59,8 +55,13 @@ def stream_kafka(
     return reader.load().select(F.col("value").cast("string").alias("data"))
 
 
-def decode(records: DataFrame, data: str = "data", encoded: bool = False) -> DataFrame:
-    """JSON payload text, optionally base64, to the raw event columns.
+def decode(
+    records: DataFrame,
+    data: str = "data",
+    encoded: bool = False,
+    schema: T.StructType = S.RAW_EVENT,
+) -> DataFrame:
+    """JSON payload text, optionally base64, to event columns; other columns stay.
 
     Broken base64 or JSON leaves the event columns null and the text in ``_corrupt``.
     """
@@ -68,15 +69,13 @@ def decode(records: DataFrame, data: str = "data", encoded: bool = False) -> Dat
     if encoded:
         text = F.try_to_binary(text, F.lit("base64")).cast("string")
     parsed = F.from_json(
-        text,
-        _with_corrupt(S.RAW_EVENT),
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT},
+        text, _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT}
+    )
+    corrupt = F.coalesce(F.col(f"_e.{S.CORRUPT}"), F.when(F.col("_e").isNull(), F.col(data)))
+    others = [c for c in records.columns if c != data]
+    return records.withColumn("_e", parsed).select(
+        *[F.col(f"_e.{f.name}").alias(f.name) for f in schema], corrupt.alias(S.CORRUPT), *others
     )
-    fields = [F.col(f"_e.{f.name}").alias(f.name) for f in S.RAW_EVENT]
-    corrupt = F.coalesce(
-        F.col(f"_e.{S.CORRUPT}"), F.when(F.col("_e").isNull(), F.col(data))
-    ).alias(S.CORRUPT)
-    return records.select(parsed.alias("_e"), F.col(data)).select(*fields, corrupt)
 
 
 def accepted(raw: DataFrame) -> DataFrame:
