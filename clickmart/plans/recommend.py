@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickmart import constants as C
@@ -71,13 +72,13 @@ class Recommender:
         every = parts[0]
         for part in parts[1:]:
             every = every.unionByName(part)
-        new = every.join(seen, ["user", "item"], "left_anti")
-        best = F.slice(
-            F.sort_array(F.collect_list(F.struct("rating", "item")), asc=False), 1, k
+        best = W.partitionBy("user").orderBy(F.desc("rating"), "item")
+        return (
+            every.join(seen, ["user", "item"], "left_anti")
+            .withColumn("_rank", F.row_number().over(best))
+            .filter(F.col("_rank") <= k)
+            .select("user", "item", "rating")
         )
-        return new.groupBy("user").agg(best.alias("recommendations")).select(
-            "user", F.inline("recommendations")
-        ).select("user", "item", "rating")
 
     def item_vectors(self) -> DataFrame:
         """``product_id, features`` (array) and ``vec`` (vector) of every item."""
@@ -97,9 +98,19 @@ def _flat(recommendations: DataFrame) -> DataFrame:
 
 
 def fit(
-    rated: DataFrame, seed: int = 42, rank: int = 10, implicit_prefs: bool = False
+    rated: DataFrame,
+    seed: int = 42,
+    rank: int = 10,
+    implicit_prefs: bool = False,
+    blocks: int | None = None,
 ) -> Recommender:
-    """Alternating least squares on the interactions, with text ids mapped to integers."""
+    """Alternating least squares on the interactions, with text ids mapped to integers.
+
+    Factors are kept in as many ``blocks`` as the session has shuffle partitions,
+    unless given.
+    """
+    if blocks is None:
+        blocks = int(rated.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rated = materialize(rated, "interactions")
     users = ranking.integer_ids(rated, "user_id", "user")
     items = ranking.integer_ids(rated, "product_id", "item")
@@ -117,6 +128,8 @@ def fit(
         coldStartStrategy="drop",
         nonnegative=True,
         implicitPrefs=implicit_prefs,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         seed=seed,
     )
     return Recommender(als.fit(numbered), users, items, numbered)

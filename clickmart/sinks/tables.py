@@ -52,8 +52,12 @@ def write_bucketed(
     df: DataFrame, table: str, path: str, buckets: int, key: str,
     partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
 ) -> None:
-    """Catalog table bucketed by ``key``: joins and groupings on it need no shuffle."""
-    writer = df.write.mode("overwrite").format("parquet").option("path", path)
+    """Catalog table bucketed by ``key``: joins and groupings on it need no shuffle.
+
+    Spark reads a bucket in one task, so this is for keys none of which dominates.
+    """
+    even = df.hint("rebalance", buckets, key)
+    writer = even.write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.bucketBy(buckets, key).sortBy(*(sort_by or [key])).saveAsTable(table)

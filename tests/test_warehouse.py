@@ -212,3 +212,34 @@ def test_midnight_session_counts_once(spark):
     assert (row.frequency, float(row.monetary), row.recency_days) == (2, 16.0, 28)
     assert row.categories == ["x", "y", "z"] and row.category_diversity == 3
     assert row.preferred_device == "mobile" and str(row.aov) == "8.00"
+
+
+def test_bucketed_facts_join_without_shuffle(spark, tmp_path):
+    from conftest import plan
+
+    sales = _sales(spark, [(str(i), f"u{i % 9}", "p", "2024-01-01", i) for i in range(100)])
+    for name in ("sales_b", "events_b"):
+        tables.write_bucketed(sales, name, str(tmp_path / name), 4, "user_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        per_user = spark.table("sales_b").groupBy("user_id").agg(F.sum("total_amount"))
+        joined = per_user.join(spark.table("events_b"), "user_id")
+        assert joined.count() == 100
+        assert "Exchange" not in plan(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("sales_b", "events_b"):
+            spark.sql(f"DROP TABLE {name}")
+
+
+def test_one_large_date_is_split_on_write(spark, tmp_path):
+    """Rebalanced writing does not send a whole date to one task."""
+    path = str(tmp_path / "t")
+    df = spark.range(300_000).select(F.lit("2024-01-01").alias("d"), F.sha2(F.col("id").cast("string"), 512).alias("x"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        tables.write_partitions(df, path, ["d"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert spark.read.parquet(path).select(F.input_file_name()).distinct().count() > 1
+    assert spark.read.parquet(path).count() == 300_000
