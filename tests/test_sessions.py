@@ -171,3 +171,31 @@ def test_no_event_is_shuffled_for_session_sales(spark, sf):
     assert text.count("Exchange hashpartitioning") == 2
     below_first_exchange = text[text.rindex("Exchange hashpartitioning"):]
     assert "partial_sum" in below_first_exchange
+
+
+def test_a_heavy_cell_is_split_in_the_join(spark):
+    """With sizes scaled down, adaptive execution splits the partition of the heavy cell."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    events = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "bot").otherwise(F.concat(F.lit("u"), F.col("id") % 3000)).alias("user_id"),
+        F.timestamp_millis(F.when(F.col("id") % 3 == 0, F.col("id") % 1000).otherwise(F.col("id") * 7001)).alias("event_ts"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        done = sessions.sessionize(events)
+        assert len(done.collect()) == 60_000
+        assert "skew=true" in plan(done)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
