@@ -77,6 +77,19 @@ def _orders_star(spark, sf_dir):
     )
 
 
+def _order_customers(spark, sf_dir):
+    """Customer dimension over the order tables."""
+    sold = fixtures.fact_sales(spark, sf_dir)
+    scored = rfm.segments(rfm.scores(rfm.sale_metrics(sold, fixtures.SALES_AS_OF)))
+    days = scored.select(
+        "user_id",
+        F.col("first_purchase").alias("first_seen"),
+        F.col("last_purchase").alias("last_seen"),
+    )
+    activity = fixtures.customer_profile(spark, sf_dir).join(days, "user_id", "left")
+    return dims.dim_customer(activity, scored, rfm.ltv_formula(scored).select("user_id", "ltv_12m"))
+
+
 # --- cleaning, sources -------------------------------------------------------
 
 
@@ -303,7 +316,7 @@ def cohort_refresh(spark, sf_dir):
 @_query
 def customer_360(spark, sf_dir):
     return aggregates.customer_360(
-        fixtures.order_customers(spark, sf_dir),
+        _order_customers(spark, sf_dir),
         fixtures.fact_sales(spark, sf_dir),
         fixtures.clean_events(spark, sf_dir),
     )
@@ -312,7 +325,7 @@ def customer_360(spark, sf_dir):
 @_query
 def customer_360_literal(spark, sf_dir):
     return aggregates.customer_360_literal(
-        fixtures.order_customers(spark, sf_dir),
+        _order_customers(spark, sf_dir),
         fixtures.fact_sales(spark, sf_dir),
         fixtures.clean_events(spark, sf_dir),
     )

@@ -179,19 +179,3 @@ def order_session_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("categories_purchased", F.array().cast("array<string>")),
         S.SESSION_SALES,
     )
-
-
-def order_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer dimension over the order tables."""
-    from clickmart.plans import dims, rfm
-
-    sales = fact_sales(spark, sf_dir)
-    scored = rfm.segments(rfm.scores(rfm.sale_metrics(sales, SALES_AS_OF)))
-    days = scored.select(
-        "user_id",
-        F.col("first_purchase").alias("first_seen"),
-        F.col("last_purchase").alias("last_seen"),
-    )
-    activity = customer_profile(spark, sf_dir).join(days, "user_id", "left")
-    value = rfm.ltv_formula(scored).select("user_id", "ltv_12m")
-    return dims.dim_customer(activity, scored, value)

@@ -16,7 +16,7 @@ def spark():
         "clickmart-tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",

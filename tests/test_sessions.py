@@ -80,7 +80,7 @@ def test_session_ids_are_unique_and_name_the_start(spark):
     assert sorted(r[0] for r in rows) == [f"a-{start}", f"a-{start + 5_000_000}", f"b-{start}"]
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(
         st.tuples(st.sampled_from("abc"), st.integers(0, 400).map(lambda s: s / 2)),
