@@ -1,9 +1,9 @@
 """Exact cosine top-k between items by blocked matrix products.
 
-Items are packed into blocks of at most a few thousand vectors.  Every block meets
-every other block once; the meeting multiplies two small matrices and keeps only k
-neighbours per item, so rows moved grow with items times blocks, never with pairs
-of items.  No block passes through the driver.
+Items are packed into blocks of about two thousand vectors.  Any two blocks meet
+once; the meeting multiplies two small matrices and keeps only k neighbours per
+item, so rows moved grow with items times blocks, never with pairs of items.  No
+block passes through the driver.
 """
 
 import numpy as np
@@ -30,30 +30,39 @@ def _unit(vectors) -> np.ndarray:
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
 
 
-def _best(k: int):
-    def meet(batches):
+def _neighbours(ids: np.ndarray, others: np.ndarray, sims: np.ndarray, k: int) -> pd.DataFrame:
+    """The k most similar ``others`` per row of ``sims``, smaller id first among equals."""
+    keep = min(k, len(others))
+    by_id = np.argsort(others, kind="stable")
+    order = np.argsort(-sims[:, by_id], axis=1, kind="stable")[:, :keep]
+    top = by_id[order]
+    score = np.take_along_axis(sims, top, axis=1).ravel()
+    real = np.isfinite(score)
+    return pd.DataFrame(
+        {
+            "item_id": np.repeat(ids, keep)[real],
+            "similar_id": others[top.ravel()][real],
+            "similarity": score[real],
+        }
+    )
+
+
+def _meet(k: int):
+    """Multiply each pair of blocks once and keep the neighbours of both sides."""
+
+    def pairs(batches):
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 left, right = np.asarray(row.ids), np.asarray(row.other_ids)
                 sims = _unit(row.vectors) @ _unit(row.other_vectors).T
-                # an item is no neighbour of itself
-                sims[left[:, None] == right[None, :]] = -np.inf
-                keep = min(k, sims.shape[1])
-                # widest first, smaller id first among equals
-                by_id = np.argsort(right, kind="stable")
-                order = np.argsort(-sims[:, by_id], axis=1, kind="stable")[:, :keep]
-                top = by_id[order]
-                score = np.take_along_axis(sims, top, axis=1).ravel()
-                real = np.isfinite(score)
-                yield pd.DataFrame(
-                    {
-                        "item_id": np.repeat(left, keep)[real],
-                        "similar_id": right[top.ravel()][real],
-                        "similarity": score[real],
-                    }
-                )
+                if row.b == row.ob:
+                    # an item is no neighbour of itself
+                    sims[left[:, None] == right[None, :]] = -np.inf
+                else:
+                    yield _neighbours(right, left, sims.T, k)
+                yield _neighbours(left, right, sims, k)
 
-    return meet
+    return pairs
 
 
 def cosine_topk(
@@ -64,17 +73,16 @@ def cosine_topk(
     rows = items.select(F.col(id_col).alias("id"), F.col(vector_col).alias("features"))
     count = max(1, -(-rows.count() // block_items))
     blocks = _blocks(rows, count)
-    left = blocks.withColumn("ob", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
+    last = F.lit(count - 1)
+    left = blocks.withColumn("ob", F.explode(F.sequence(F.col("b"), last)))
     right = blocks.select(
         F.col("b").alias("ob"), F.col("ids").alias("other_ids"), F.col("vectors").alias("other_vectors")
-    )
+    ).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("ob"))))
     id_type = rows.schema["id"].dataType.simpleString()
+    # one row per pair of blocks, spread over the shuffle by both block numbers
     partial = (
-        left.join(right.hint("merge"), "ob")
-        # one meeting per task slot; a pair of blocks is the unit of work
-        .repartition(min(count * count, 4096), "b", "ob")
-        .select("ids", "vectors", "other_ids", "other_vectors")
-        .mapInPandas(_best(k), f"item_id {id_type}, similar_id {id_type}, similarity double")
+        left.join(right.hint("merge"), ["b", "ob"])
+        .mapInPandas(_meet(k), f"item_id {id_type}, similar_id {id_type}, similarity double")
     )
     nearest = W.partitionBy("item_id").orderBy(F.desc("similarity"), "similar_id")
     return (

@@ -316,6 +316,7 @@ def statements() -> dict[str, str]:
         ),
         "session_sales": _SALES,
         "curated_sales_table": _SALES,
+        "catalog_sales_scan": _SALES,
         "merged_schema_sales": _with(
             "sales",
             """SELECT session_id, user_id, CAST(revenue AS DOUBLE) AS total_revenue,

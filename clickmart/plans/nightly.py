@@ -17,7 +17,9 @@ from clickmart.operators import clean, dedup, sales, sessions
 from clickmart.plans import dims, facts, ltv, recommend, refresh, rfm
 from clickmart.sinks import tables
 from clickmart.sources import raw as raw_source
-from clickmart.storage import list_names, materialize, path_exists, remove_path
+from clickmart.storage import (
+    list_names, materialize, path_exists, remove_path, scratch_scope,
+)
 
 # late events are accepted as long as the stream keeps them
 LATE_DAYS = 2
@@ -200,6 +202,7 @@ def run(
     spark: SparkSession, raw_path: str, layout: Layout, as_of: str, since: str | None = None
 ) -> None:
     """The whole run for one date; any scheduler may call it."""
-    first = curate(spark, raw_path, layout, as_of, since)
-    build_warehouse(spark, layout, as_of, first)
-    build_features(spark, layout, as_of)
+    with scratch_scope(spark):
+        first = curate(spark, raw_path, layout, as_of, since)
+        build_warehouse(spark, layout, as_of, first)
+        build_features(spark, layout, as_of)

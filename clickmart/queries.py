@@ -195,6 +195,19 @@ def curated_sales_table(spark, sf_dir):
     return sales.sales_of_sessions(written)
 
 
+@_query
+def catalog_sales_scan(spark, sf_dir):
+    """Session sales written by date and read back as an external catalog table."""
+    path = scratch_path(spark, "catalog")
+    tables.write_partitions(
+        sales.session_sales(fixtures.clean_events(spark, sf_dir)), f"{path}/sales", ["date"]
+    )
+    database = "clickmart_" + path.rsplit("-", 1)[1]
+    catalog.create_database(spark, database, f"{path}/database", use=False)
+    catalog.create_table(spark, database, "curated_sales", f"{path}/sales")
+    return spark.table(f"{database}.curated_sales")
+
+
 @_query
 def merged_schema_sales(spark, sf_dir):
     """Rows with an additional column appended to a table; all columns come back."""

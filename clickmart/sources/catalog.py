@@ -43,9 +43,12 @@ def _columns(schema: T.StructType, partitions) -> str:
     return ", ".join(f"`{c}` {fields.get(c, 'int')}" for c in ordered)
 
 
-def create_database(spark: SparkSession, database: str, location: str) -> None:
+def create_database(
+    spark: SparkSession, database: str, location: str, use: bool = True
+) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
-    spark.sql(f"USE {database}")
+    if use:
+        spark.sql(f"USE {database}")
 
 
 def create_table(spark: SparkSession, database: str, name: str, location: str) -> None:

@@ -9,10 +9,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_scope: ContextVar[str] = ContextVar("scratch_scope", default="")
 
 
 def durable_root(spark: SparkSession) -> str:
@@ -29,10 +33,28 @@ def durable_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{durable_root(spark)}/clickmart/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the durable folder of this application."""
-    app = spark.sparkContext.applicationId
-    return f"{durable_root(spark)}/clickmart/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}{_scope.get()}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are removed at the end.
+
+    Nothing that reads them lazily may leave the scope.
+    """
+    token = _scope.set(f"{_scope.get()}/scope-{uuid.uuid4().hex}")
+    folder = _scratch_root(spark) + _scope.get()
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        remove_path(spark, folder)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -43,12 +65,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Remove the intermediate tables of this application."""
-    app = spark.sparkContext.applicationId
-    remove_path(spark, f"{durable_root(spark)}/clickmart/{app}")
-
-
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a path through the file system Spark uses for it."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickmart import schemas as S
+from clickmart import storage
 from clickmart.operators import clean, geo, sales, sessions
 from clickmart.plans import aggregates, dims, facts, nightly
 from clickmart.sources import catalog, fixtures
@@ -41,13 +42,32 @@ def lake(spark, raw_path, tmp_path_factory):
     """First load up to the first day, then day by day, the last day twice."""
     layout = nightly.Layout(str(tmp_path_factory.mktemp("lake")))
     since = "2024-01-01"
-    for as_of in [*DAYS, DAYS[-1]]:
+    for as_of in DAYS:
         first = nightly.curate(spark, raw_path, layout, as_of, since)
         nightly.build_warehouse(spark, layout, as_of, first)
         since = None
+    nightly.run(spark, raw_path, layout, DAYS[-1])
     return layout
 
 
+def test_scratch_is_removed(spark, lake):
+    root = storage.scratch_path(spark, "x").rsplit("/", 1)[0]
+    with storage.scratch_scope(spark):
+        path = storage.scratch_path(spark, "inner")
+        spark.range(3).write.parquet(path)
+        assert storage.path_exists(spark, path)
+    assert not storage.path_exists(spark, path)
+    assert not [n for n in storage.list_names(spark, root) if n.startswith("scope-")]
+
+
+def test_old_states_are_pruned(spark, tmp_path):
+    layout = nightly.Layout(str(tmp_path))
+    for day in DAYS:
+        spark.range(1).write.parquet(layout.path(f"state/sessions/{day}"))
+    nightly.prune_states(spark, layout, DAYS[-1])
+    assert storage.list_names(spark, layout.path("state/sessions")) == [DAYS[-1]]
+
+
 def test_events_and_sales(spark, sf, lake):
     events = _expected(spark, sf)
     want = sessions.sessionize(events).select("event_id", "session_id", "session_seq")
@@ -93,7 +113,6 @@ def test_warehouse(spark, sf, lake):
 
 
 def test_features(spark, lake):
-    nightly.build_features(spark, lake, DAYS[-1])
     buyers = lake.read(spark, "curated/sales", S.SESSION_SALES).select("user_id").distinct().count()
     assert spark.read.parquet(lake.path("features/customer_ltv")).count() == buyers
     recs = lake.read(spark, "features/recommendations", S.PRODUCT_RECOMMENDATIONS)
