@@ -16,13 +16,12 @@ T0 = datetime(2024, 1, 1)
 
 
 def events_of(spark, rows):
-    """``rows``: (user, seconds, type, price, category, device); later parts optional."""
+    """Rows of (user, seconds[, type, price, category, device])."""
     full = []
-    for i, r in enumerate(rows):
-        user, sec, kind, price, category, device = (*r, "view", None, "c", "mobile")[:2] + tuple(
-            r[2:]
-        ) + ("view", None, "c", "mobile")[len(r) - 2:]
-        full.append((f"e{i:04}", user, kind, price, category, device, T0 + timedelta(seconds=sec)))
+    for i, (user, seconds, *more) in enumerate(rows):
+        kind, price, category, device = more or ("view", None, "c", "mobile")
+        at = T0 + timedelta(seconds=seconds)
+        full.append((f"e{i:04}", user, kind, price, category, device, at))
     schema = (
         "event_id string, user_id string, event_type string, price double, category string, "
         "device_type string, event_ts timestamp"
