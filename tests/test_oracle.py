@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import compare, oracle_connection
+from clickmart import oracle
+from clickmart import queries as registry
 from conftest import SF
 
-QUERIES, SQLS = entry.queries(), entry.oracle_sql()
+QUERIES, SQLS = registry.queries(), oracle.statements()
 # learned values have no SQL twin
 LEARNED = {
     "ltv_regression", "als_recommendations", "als_recommendations_unseen", "item_vectors",
@@ -32,3 +34,7 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 200
+
+
+def test_entry_holds_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQLS) <= set(entry.oracle_sql())
