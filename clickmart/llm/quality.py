@@ -18,14 +18,17 @@ source with a third of all rows shuffles no more than a small one.  The start wi
 the smaller determinant wins.
 
 Documents that fail a base rule (under 50 words, or more than half of the words in
-repeated three-word windows) are no input of the estimates.  Groups of fewer than
-``MIN_ROWS`` others reject none.
+repeated three-word windows) are no input of the estimates.  A language and source with
+fewer than ``MIN_ROWS`` others is judged by the estimate of all rows of its language, or
+of all rows if these are too few as well; a table with fewer rejects none.
 
 Nulls and edges: a null or empty text has no words and fails the base rule; null
 language or source is a group of its own; ties of distance stay together; repeated
 rows are judged alike; an empty table gives an empty result.
 """
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -47,7 +50,9 @@ CUT = 23.51
 MIN_ROWS = 40
 STEPS = 3
 BINS_PER_OCTAVE = 16
-GROUP = ["lang", "source"]
+KEYS = ["lang", "source"]
+#: an estimate's group: 0 language and source, 1 language, 2 everything
+GROUP = ["level", "g_lang", "g_source"]
 _X = [f"x{i}" for i in range(DIMS)]
 _PAIRS = [(i, j) for i in range(DIMS) for j in range(i + 1)]
 
@@ -93,10 +98,10 @@ def statistics(docs: DataFrame, *columns: str) -> DataFrame:
     """``columns``, lang, source, base statistics, base_failed and the vector of every row."""
     text = F.coalesce(F.col("text"), F.lit(""))
     base = (
-        docs.select(*columns, *GROUP, words(F.col("text")).alias("w"), text.alias("t"))
+        docs.select(*columns, *KEYS, words(F.col("text")).alias("w"), text.alias("t"))
         .withColumn("n", F.size("w"))
         .select(
-            *columns, *GROUP,
+            *columns, *KEYS,
             F.col("n").cast("long").alias("n_words"),
             F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
             F.length(F.regexp_replace("t", SYMBOLS, "")).cast("long").alias("n_symbols"),
@@ -125,12 +130,67 @@ def statistics(docs: DataFrame, *columns: str) -> DataFrame:
         base.withColumn("n_dup_lines", F.col("lines.dup").cast("long"))
         .withColumn("n_lines", F.col("lines.n").cast("long"))
         .select(
-            *columns, *GROUP, "n_words", "word_chars", "n_symbols", "n_dup_lines",
+            *columns, *KEYS, "n_words", "word_chars", "n_symbols", "n_dup_lines",
             "n_repeat_words", failed.alias("base_failed"), *vector,
         )
     )
 
 
+def _same(columns: list[str], others: list[str]) -> Column:
+    pairs = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(columns, others, strict=True)]
+    return functools.reduce(Column.__and__, pairs)
+
+
+def _join_small(rows: DataFrame, side: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Rows with the columns of their group in ``side``, nulls being equal.
+
+    ``side`` has one row per group and no hint: Spark broadcasts it below its size limit
+    and splits the rows of a large group beyond it.
+    """
+    side = side.withColumnsRenamed({k: f"side_{k}" for k in keys})
+    others = [f"side_{k}" for k in keys]
+    return rows.join(side, _same(keys, others), how).drop(*others)
+
+
+def _places(stats: DataFrame) -> DataFrame:
+    """The group that judges each language and source; written."""
+    counts = (
+        stats.groupBy(*KEYS)
+        .agg(F.count(F.when(~F.col("base_failed"), 1)).alias("n"))
+    )
+    of_lang = F.sum("n").over(W.partitionBy("lang"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    level = (
+        F.when(F.col("n") >= MIN_ROWS, 0)
+        .when(F.col("of_lang") >= MIN_ROWS, 1)
+        .otherwise(2 if total >= MIN_ROWS else 3)
+    )
+    return materialize(
+        counts.withColumn("of_lang", of_lang).select(*KEYS, level.alias("level")).select(
+            *KEYS, "level",
+            F.when(F.col("level") < 2, F.col("lang")).alias("g_lang"),
+            F.when(F.col("level") < 1, F.col("source")).alias("g_source"),
+        ),
+        "mcd-places",
+    )
+
+
+def _grouped(stats: DataFrame, places: DataFrame) -> DataFrame:
+    """Vectors of the rows that pass the base rules, once per group that they inform."""
+    text = stats.schema["lang"].dataType, stats.schema["source"].dataType
+    none = [F.lit(None).cast(t) for t in text]
+    groups = F.array(*[
+        F.struct(
+            F.lit(level).alias("level"),
+            (F.col("lang") if level < 2 else none[0]).alias("g_lang"),
+            (F.col("source") if level < 1 else none[1]).alias("g_source"),
+        )
+        for level in range(3)
+    ])
+    rows = stats.filter(~F.col("base_failed")).select(F.inline(groups), *_X)
+    return _join_small(rows, places.select(*GROUP).distinct(), GROUP, "left_semi")
+
+
 def _medians(rows: DataFrame) -> DataFrame:
     """Exact lower medians per group and coordinate, from counts of the whole values."""
     long = rows.select(
@@ -149,7 +209,6 @@ def _medians(rows: DataFrame) -> DataFrame:
             F.max("total").alias("rows"),
             *[F.min(F.when(F.col("dim") == i, F.col("value"))).alias(f"m{i}") for i in range(DIMS)],
         )
-        .filter(F.col("rows") >= MIN_ROWS)
     )
 
 
@@ -189,17 +248,6 @@ def _distance() -> Column:
     return total
 
 
-def _with_params(rows: DataFrame, params: DataFrame, how: str) -> DataFrame:
-    """Rows with the parameters of their group: one row per language and source.
-
-    No hint: Spark broadcasts them below its size limit and splits the rows of a
-    large source beyond it.
-    """
-    side = params.withColumnsRenamed({"lang": "p_lang", "source": "p_source"})
-    same = F.col("lang").eqNullSafe(F.col("p_lang")) & F.col("source").eqNullSafe(F.col("p_source"))
-    return rows.join(side, same, how).drop("p_lang", "p_source")
-
-
 def _moments() -> list[Column]:
     sums = [F.sum(x).alias(f"t_{x}") for x in _X]
     return sums + [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"t_{i}{j}") for i, j in _PAIRS]
@@ -224,7 +272,7 @@ def _c_step(rows: DataFrame, params: DataFrame, label: str) -> DataFrame:
     """Estimates from the nearest three quarters of each group, for each start."""
     bin_of = F.floor(F.log2(F.lit(1.0) + _distance()) * BINS_PER_OCTAVE).cast("int")
     bins = (
-        _with_params(rows, params, "inner")
+        _join_small(rows, params, GROUP, "inner")
         .groupBy(*GROUP, "start", bin_of.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"), *_moments())
     )
@@ -242,33 +290,34 @@ def _c_step(rows: DataFrame, params: DataFrame, label: str) -> DataFrame:
 
 
 def fit(stats: DataFrame) -> DataFrame:
-    """Centre and factor of the scatter for each language and source, written.
+    """Centre and factor of the scatter that judge each language and source, written.
 
     ``stats`` is read once per step; hand in a written table.
     """
-    rows = stats.filter(~F.col("base_failed")).select(*GROUP, *_X)
-    medians = _medians(rows)
+    places = _places(stats)
+    rows = _grouped(stats, places)
     flat = {f"s{i}{j}": F.lit(0.0) for i, j in _PAIRS}
-    robust = _factor(medians.withColumns({"start": F.lit(0), **flat})).select(
+    robust = _factor(_medians(rows).withColumns({"start": F.lit(0), **flat})).select(
         *GROUP, "start", *_PARAMS
     )
     totals = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"), *_moments())
-    classical = _estimate(
-        totals.filter(F.col("n") >= MIN_ROWS).withColumn("start", F.lit(1)), 1.0
-    )
+    classical = _estimate(totals.withColumn("start", F.lit(1)), 1.0)
     params = materialize(robust.unionByName(classical), "mcd-start")
     for step in range(STEPS):
         params = _c_step(rows, params, f"mcd-{step}")
     first = F.row_number().over(W.partitionBy(*GROUP).orderBy("spread", "start"))
     best = params.withColumn("place", first).filter(F.col("place") == 1)
-    return materialize(best.select(*GROUP, *_PARAMS), "mcd")
+    return materialize(
+        _join_small(places, best.select(*GROUP, *_PARAMS), GROUP, "inner").select(*KEYS, *_PARAMS),
+        "mcd",
+    )
 
 
 def judge(stats: DataFrame, params: DataFrame) -> DataFrame:
     """``stats`` with distance (null without an estimate) and kept."""
     far = F.coalesce(F.col("distance") > CUT, F.lit(False))
     return (
-        _with_params(stats, params, "left")
+        _join_small(stats, params, KEYS, "left")
         .withColumn("distance", F.when(~F.col("base_failed"), _distance()))
         .withColumn("kept", ~F.col("base_failed") & ~far)
         .drop(*_PARAMS)
@@ -289,5 +338,5 @@ def keep(docs: DataFrame) -> DataFrame:
     The statistics are computed again on the way out, so no text is joined or moved.
     """
     params = fit(materialize(statistics(docs), "quality-stats"))
-    rows = docs.select(F.struct("*").alias("doc"), "text", *GROUP)
+    rows = docs.select(F.struct("*").alias("doc"), "text", *KEYS)
     return judge(statistics(rows, "doc"), params).filter("kept").select("doc.*")
