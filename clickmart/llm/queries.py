@@ -4,21 +4,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmart.llm import mixing, quality, sharding, urls
+from clickmart.llm import (
+    decontaminate, minhash, mixing, phrases, pseudonyms, quality, sharding, tokens, toxicity, urls,
+)
 from clickmart.llm.common import table
 from clickmart.llm.oracle import statements  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _over(name: str, digest: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: digest(table(spark, sf_dir, name))
+def _over(operator: Callable[..., DataFrame], *names: str) -> Query:
+    """``operator`` on whole tables."""
+    return lambda spark, sf_dir: operator(*[table(spark, sf_dir, name) for name in names])
 
 
 def queries() -> dict[str, Query]:
     return {
-        "op1_sharding": _over("documents", sharding.digest),
-        "op2_quality": _over("documents", quality.digest),
-        "op5_urls": _over("pages", urls.digest),
-        "op8_mixing": _over("documents", mixing.digest),
+        "op1_sharding": _over(sharding.digest, "documents"),
+        "op2_quality": _over(quality.digest, "documents"),
+        "op3_minhash": _over(minhash.group, "documents"),
+        "op4_pseudonyms": _over(pseudonyms.digest, "documents"),
+        "op5_urls": _over(urls.digest, "pages"),
+        "op6_tokens": _over(tokens.digest, "documents"),
+        "op7_decontaminate": _over(decontaminate.digest, "documents", "benchmark"),
+        "op8_mixing": _over(mixing.digest, "documents"),
+        "op9_toxicity": _over(toxicity.score, "documents", "labels"),
+        "op10_phrases": _over(phrases.digest, "documents"),
     }
