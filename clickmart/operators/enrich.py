@@ -15,7 +15,15 @@ def enrich(
     source: str = C.STREAM_SOURCE,
     broadcast: bool | None = None,
 ) -> DataFrame:
-    """Place from the address, hashed event id, processing time, lineage."""
+    """Place from the address, hashed event id, processing time, lineage.
+
+    Unreadable lines are left to the reject sink; a payload with fields beyond the
+    schema travels along as text.
+    """
+    if S.CORRUPT in raw.columns:
+        raw = raw.filter(F.col(S.CORRUPT).isNull())
+    if S.PAYLOAD not in raw.columns:
+        raw = raw.withColumn(S.PAYLOAD, F.lit(None).cast("string"))
     located = geo.locate(
         raw.withColumn("ip_address", F.coalesce("ip_address", F.lit(""))), geo_segments, broadcast
     )

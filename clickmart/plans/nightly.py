@@ -1,10 +1,11 @@
 """The daily run: raw files to curated tables, warehouse, features.
 
 Every step replaces whole partitions or merges minima and maxima, so a rerun for
-the same date leaves the same tables.  Only the days that can still change are
-read from the event zones.
+the same date leaves the same tables.  From the raw zone only what was delivered since
+the last run is read; the days its events belong to are recomputed.
 """
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +22,9 @@ from clickmart.storage import (
     list_names, materialize, path_exists, remove_path, scratch_scope,
 )
 
-# late events are accepted as long as the stream keeps them
-LATE_DAYS = 2
+# session states are kept from days that most late events no longer reach
+SETTLED_DAYS = 2
+_SESSION = ("session_seq", "session_start", "session_id")
 
 
 @dataclass(frozen=True)
@@ -47,25 +49,58 @@ def _shift(spark: SparkSession, day: str, days: int) -> str:
     return str(spark.range(1).select(F.date_add(_day(day), days)).first()[0])
 
 
-def read_recent(spark: SparkSession, raw_path: str, since: str) -> DataFrame:
-    """Accepted raw events delivered on or after ``since``; older folders are not opened."""
+def _delivered(spark: SparkSession, raw_path: str, since: str | None) -> DataFrame:
     found = raw_source.read_raw(spark, raw_path)
     if {"year", "month", "day"} <= set(found.columns):
-        delivered = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
-        found = found.filter(delivered >= _day(since)).drop("year", "month", "day")
-    return raw_source.accepted(found)
+        if since is not None:
+            delivered = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
+            found = found.filter(delivered >= _day(since))
+        found = found.drop("year", "month", "day")
+    return found
+
+
+def read_recent(spark: SparkSession, raw_path: str, since: str) -> DataFrame:
+    """Accepted raw events delivered on or after ``since``; older folders are not opened."""
+    return raw_source.accepted(_delivered(spark, raw_path, since))
+
+
+def _last_run(spark: SparkSession, layout: Layout, as_of: str) -> str | None:
+    """The last run before ``as_of``: every run leaves the events it found too early."""
+    runs = [d for d in list_names(spark, layout.path("state/pending")) if d < as_of]
+    return runs[-1] if runs else None
+
+
+def _same_event(left: DataFrame, right: DataFrame) -> Column:
+    pairs = [left[k].eqNullSafe(right[k]) for k in dedup.EVENT_KEY]
+    return functools.reduce(Column.__and__, pairs)
+
+
+def _refused(delivered: DataFrame, late: DataFrame | None) -> DataFrame:
+    """What does not enter the curated zone, as text, and why."""
+    incomplete = F.greatest(*[F.col(c).isNull() for c in ("user_id", "event_type", "timestamp")])
+    rows = raw_source.rejects(delivered).unionByName(
+        raw_source.accepted(delivered).filter(incomplete).select(
+            F.to_json(F.struct("*")).alias("line"), F.lit("incomplete").alias("reason")
+        )
+    )
+    if late is not None:
+        rows = rows.unionByName(
+            late.select(F.to_json(F.struct("*")).alias("line"), F.lit("late").alias("reason"))
+        )
+    return rows
 
 
-def _open_from(spark: SparkSession, layout: Layout, as_of: str, since: str | None):
-    """First day that may still change, and the session state just before it."""
-    first = since or _shift(spark, as_of, -LATE_DAYS)
+def _open_from(
+    spark: SparkSession, layout: Layout, stored: DataFrame, first: str
+) -> tuple[str, DataFrame | None]:
+    """First day to recompute, and the session state of the day before it."""
     states = [d for d in list_names(spark, layout.path("state/sessions")) if d < first]
-    if not states:
-        return first, None
-    newest = states[-1]
-    carry = spark.read.parquet(layout.path(f"state/sessions/{newest}"))
-    # days between the state and ``first`` were skipped by earlier runs
-    return (first if since else _shift(spark, newest, 1)), carry
+    if states:
+        newest = states[-1]
+        carry = spark.read.parquet(layout.path(f"state/sessions/{newest}"))
+        return _shift(spark, newest, 1), carry
+    oldest = stored.agg(F.min("date")).first()[0]
+    return min(first, str(oldest)) if oldest else first, None
 
 
 def curate(
@@ -75,32 +110,70 @@ def curate(
     as_of: str,
     since: str | None = None,
     gap_seconds: float = C.SESSION_GAP_SECONDS,
+    late_days: int | None = None,
 ) -> str:
-    """Curated events and session sales of the days that can still change.
-
-    These are the last ``LATE_DAYS`` days before ``as_of`` (or the days from
-    ``since`` on, for a first load).  They are recomputed from the session state
-    before them, so late events join the right session and sessions continue over
-    midnight.  Returns the first recomputed day.
+    """Curated events and session sales of the days that changed.
+
+    Read is what was delivered since the last run (or since ``since``).  The earliest
+    day among its new events is where recomputation begins, from the session state
+    before it: an event may be late by any time, joins its session, and sessions
+    continue over midnight.  Events stamped after ``as_of`` wait in ``state/pending``
+    for the run of their day.  With ``late_days``, events older than that are refused.
+    Refused and unreadable lines are written to ``rejected`` with a reason.  Returns the
+    first recomputed day.
     """
-    first, carry = _open_from(spark, layout, as_of, since)
-    open_days = F.col("date").between(_day(first), _day(as_of))
-    recent = clean.clean(read_recent(spark, raw_path, first)).filter(open_days)
-    # parsed once; read by the session cells, by the join and by the state
-    cleaned = materialize(dedup.dedup(recent), "cleaned")
+    before = _last_run(spark, layout, as_of)
+    delivered = materialize(_delivered(spark, raw_path, since or before), "delivered")
+    fresh = clean.clean(raw_source.accepted(delivered))
+    if before is not None:
+        waiting = spark.read.schema(fresh.schema).parquet(layout.path(f"state/pending/{before}"))
+        fresh = fresh.unionByName(waiting)
+    fresh = materialize(dedup.dedup(fresh), "fresh")
+    tables.write_table(
+        fresh.filter(F.col("date") > _day(as_of)), layout.path(f"state/pending/{as_of}")
+    )
 
-    curated = S.conform(sessions.sessionize(cleaned, gap_seconds, carry), S.CURATED_EVENT)
     events = layout.path("curated/events")
+    due = fresh.filter(F.col("date") <= _day(as_of))
+    if path_exists(spark, events):
+        stored = spark.read.schema(S.CURATED_EVENT).parquet(events).drop(*_SESSION)
+    else:
+        stored = fresh.limit(0)
+    stored = stored.select(*fresh.columns).filter(F.col("date") <= _day(as_of))
+    oldest = due.agg(F.min("date")).first()[0]
+    if oldest is not None:
+        # the folder of the last run is read again
+        known = stored.filter(F.col("date") >= F.lit(oldest))
+        due = due.join(known, _same_event(due, known), "left_anti")
+    late = None
+    if late_days is not None and since is None:
+        too_old = F.col("date") < F.date_add(_day(as_of), -late_days)
+        late, due = due.filter(too_old), due.filter(~too_old)
+    tables.write_table(_refused(delivered, late), layout.path(f"rejected/{as_of}"))
+
+    due = materialize(due, "due")
+    changed = due.agg(F.min("date")).first()[0]
+    first, carry = _open_from(spark, layout, stored, str(changed) if changed else as_of)
+    rows = stored.filter(F.col("date") >= _day(first)).unionByName(due)
+    # read by the session cells, by the join and by the state
+    cleaned = materialize(rows, "cleaned")
+
+    curated = S.conform(sessions.sessionize(cleaned, gap_seconds, carry), S.CURATED_EVENT)
     tables.write_partitions(curated, events, ["date"], ["user_id", "event_ts"])
-    written = spark.read.schema(S.CURATED_EVENT).parquet(events).filter(open_days)
+    written = spark.read.schema(S.CURATED_EVENT).parquet(events).filter(
+        F.col("date").between(_day(first), _day(as_of))
+    )
     tables.write_partitions(
         sales.sales_of_sessions(written), layout.path("curated/sales"), ["date"]
     )
-    settled = _shift(spark, as_of, -LATE_DAYS)
+    for day in list_names(spark, layout.path("state/sessions")):
+        if day >= first:  # computed without the new events
+            remove_path(spark, layout.path(f"state/sessions/{day}"))
+    settled = _shift(spark, as_of, -SETTLED_DAYS)
     if settled >= first:
-        before = cleaned.filter(F.col("date") <= _day(settled))
+        known = cleaned.filter(F.col("date") <= _day(settled))
         tables.write_table(
-            sessions.last_sessions(before, gap_seconds, carry),
+            sessions.last_sessions(known, gap_seconds, carry),
             layout.path(f"state/sessions/{settled}"),
         )
     return first
@@ -113,13 +186,17 @@ def prune_states(spark: SparkSession, layout: Layout, before: str) -> None:
             remove_path(spark, layout.path(f"state/sessions/{day}"))
 
 
-def _merged_state(spark: SparkSession, path: str, new: DataFrame, merge) -> DataFrame:
-    """Merge ``new`` into the stored state and return the stored result."""
-    if path_exists(spark, path):
-        new = merge(spark.read.parquet(path), new)
-    # the old files are read while the new ones are written elsewhere
-    tables.write_table(materialize(new, "state"), path)
-    return spark.read.parquet(path)
+def _merged_state(spark: SparkSession, path: str, new: DataFrame, merge, as_of: str) -> DataFrame:
+    """Merge ``new`` into the newest state of a day up to ``as_of``; one folder per day.
+
+    A write that fails leaves the states before it as they were.
+    """
+    done = [d for d in list_names(spark, path) if d <= as_of and path_exists(spark, f"{path}/{d}/_SUCCESS")]
+    if done:
+        new = merge(spark.read.parquet(f"{path}/{done[-1]}"), new)
+    # a rerun reads the folder it replaces
+    tables.write_table(materialize(new, "state"), f"{path}/{as_of}")
+    return spark.read.parquet(f"{path}/{as_of}")
 
 
 def build_warehouse(spark: SparkSession, layout: Layout, as_of: str, since: str) -> None:
@@ -147,11 +224,12 @@ def build_warehouse(spark: SparkSession, layout: Layout, as_of: str, since: str)
         )
 
     users = _merged_state(
-        spark, layout.path("state/users"), dims.user_state(recent), dims.merge_user_states
+        spark, layout.path("state/users"), dims.user_state(recent),
+        dims.merge_user_states, as_of,
     )
     items = _merged_state(
         spark, layout.path("state/products"), dims.product_state(recent),
-        dims.merge_product_states,
+        dims.merge_product_states, as_of,
     )
     sold = layout.read(spark, "curated/sales", S.SESSION_SALES).filter(upto)
     scored = rfm.segments(rfm.scores(rfm.metrics(sold, as_of)))
@@ -199,10 +277,11 @@ def build_features(spark: SparkSession, layout: Layout, as_of: str) -> None:
 
 
 def run(
-    spark: SparkSession, raw_path: str, layout: Layout, as_of: str, since: str | None = None
+    spark: SparkSession, raw_path: str, layout: Layout, as_of: str, since: str | None = None,
+    late_days: int | None = None,
 ) -> None:
     """The whole run for one date; any scheduler may call it."""
     with scratch_scope(spark):
-        first = curate(spark, raw_path, layout, as_of, since)
+        first = curate(spark, raw_path, layout, as_of, since, late_days=late_days)
         build_warehouse(spark, layout, as_of, first)
         build_features(spark, layout, as_of)

@@ -146,7 +146,7 @@ def enrich_events(spark, sf_dir):
     located = enrich.enrich(
         fixtures.raw_events(spark, sf_dir), materialize(_segments(spark), "geo")
     )
-    return located.drop("processed_ts", "session_id", "price")
+    return located.drop("processed_ts", "session_id", "price", "payload")
 
 
 # --- sessions ----------------------------------------------------------------
@@ -521,7 +521,9 @@ def _drain(spark, rows: DataFrame, label: str) -> DataFrame:
 def stream_enrich(spark, sf_dir):
     events = fixtures.stream_events(spark, sf_dir)
     located = enrich.enrich(events, materialize(_segments(spark), "geo"))
-    return _drain(spark, located, "enriched").drop("processed_ts", "session_id", "price")
+    return _drain(spark, located, "enriched").drop(
+        "processed_ts", "session_id", "price", "payload"
+    )
 
 
 @_query

@@ -17,6 +17,8 @@ RATE = T.DecimalType(5, 4)
 MARGIN = T.DecimalType(5, 2)
 
 CORRUPT = "_corrupt"
+# the original text of an event that has fields beyond the schema
+PAYLOAD = "payload"
 
 
 _TYPES = {
@@ -52,7 +54,9 @@ RAW_EVENT = _struct(
 # written by the enrichment stream: the raw event plus place and lineage
 ENRICHED_EVENT = T.StructType(
     RAW_EVENT.fields
-    + _struct("country string, city string, processed_ts timestamp, source string").fields
+    + _struct(
+        "country string, city string, processed_ts timestamp, source string, payload string"
+    ).fields
 )
 
 CURATED_EVENT = _struct(

@@ -78,15 +78,19 @@ def recover(spark: SparkSession, table: str) -> None:
 
 def discover(
     spark: SparkSession, database: str, name: str, path: str, fmt: str = "json",
-    sampling_ratio: float = 0.1,
+    sampling_ratio: float | None = None,
 ) -> T.StructType:
     """Infer schema and partitions of a folder and register it as a table.
 
-    Inference may sample JSON rows; the table itself always reads all of them.
+    Every JSON line takes part in the inference, so no field or type is missed.  A
+    ``sampling_ratio`` trades that for speed: fields that the sample lacks are then
+    not in the table.
     """
-    reader = spark.read.option("samplingRatio", sampling_ratio) if fmt == "json" else spark.read
+    reader = spark.read
+    if sampling_ratio is not None and fmt == "json":
+        reader = reader.option("samplingRatio", sampling_ratio)
     found = reader.format(fmt).load(path)
-    partitions = _partition_columns(spark, path)
+    partitions = _partition_columns(found, path)
     columns = _columns(found.schema, partitions)
     clause = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
     spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
@@ -98,18 +102,17 @@ def discover(
     return found.schema
 
 
-def _partition_columns(spark: SparkSession, path: str) -> list[str]:
-    """Names of the nested ``name=value`` folders below ``path``."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    names, here = [], hadoop_path(path)
-    while True:
-        folders = [s.getPath() for s in fs.listStatus(here) if s.isDirectory()]
-        keyed = [f for f in folders if "=" in f.getName()]
-        if not keyed:
-            return names
-        here = keyed[0]
-        names.append(here.getName().split("=", 1)[0])
+def _partition_columns(found: DataFrame, path: str) -> list[str]:
+    """Names of the nested ``name=value`` folders of all files below ``path``."""
+    root = path.rstrip("/").rsplit("/", 1)[-1]
+    seen = set()
+    for file in found.inputFiles():
+        folders = file.split("/")[:-1]
+        last = len(folders) - 1 - folders[::-1].index(root) if root in folders else -1
+        seen.add(tuple(f.split("=", 1)[0] for f in folders[last + 1 :] if "=" in f))
+    if len(seen) > 1:
+        raise ValueError(f"folders below {path} are partitioned differently: {sorted(seen)}")
+    return list(seen.pop()) if seen else []
 
 
 def merge_schema(spark: SparkSession, path: str, addition: DataFrame, partition_by=()) -> DataFrame:

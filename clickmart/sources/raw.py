@@ -64,17 +64,31 @@ def decode(
     """JSON payload text, optionally base64, to event columns; other columns stay.
 
     Broken base64 or JSON leaves the event columns null and the text in ``_corrupt``.
+    A payload with fields that ``schema`` lacks is kept as text in ``payload``.
+    The parse stands behind a generator, so a later filter does not repeat it.
     """
     text = F.col(data)
     if encoded:
         text = F.try_to_binary(text, F.lit("base64")).cast("string")
+    others = [c for c in records.columns if c != data]
     parsed = F.from_json(
-        text, _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT}
+        F.col("_text"), _with_corrupt(schema),
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT},
     )
-    corrupt = F.coalesce(F.col(f"_e.{S.CORRUPT}"), F.when(F.col("_e").isNull(), F.col(data)))
-    others = [c for c in records.columns if c != data]
-    return records.withColumn("_e", parsed).select(
-        *[F.col(f"_e.{f.name}").alias(f.name) for f in schema], corrupt.alias(S.CORRUPT), *others
+    known = F.array(*[F.lit(f.name) for f in schema])
+    unknown = F.size(F.array_except(F.json_object_keys("_text"), known)) > 0
+    rows = (
+        records.select(F.col(data).alias("_data"), text.alias("_text"), *others)
+        .select("_data", "_text", *others, F.explode(F.array(parsed)).alias("_e"))
+        .withColumn("_bad", F.coalesce(F.col(f"_e.{S.CORRUPT}"), F.when(F.col("_e").isNull(), F.col("_data"))))
+    )
+    kept = F.when(F.col("_bad").isNull() & unknown, F.col("_text"))
+    if S.PAYLOAD in schema.names:  # delivered before: the first payload is the original
+        kept = F.coalesce(F.col(f"_e.{S.PAYLOAD}"), kept)
+    fields = [f for f in schema.names if f != S.PAYLOAD]
+    return rows.select(
+        *[F.col(f"_e.{name}").alias(name) for name in fields],
+        kept.alias(S.PAYLOAD), F.col("_bad").alias(S.CORRUPT), *others,
     )
 
 
@@ -86,6 +100,11 @@ def rejected(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col(S.CORRUPT).isNotNull())
 
 
+def rejects(raw: DataFrame) -> DataFrame:
+    """Lines that are no event, as they came, and why."""
+    return rejected(raw).select(F.col(S.CORRUPT).alias("line"), F.lit("unreadable").alias("reason"))
+
+
 def from_mapping(df: DataFrame, mapping: Mapping[str, str | Column]) -> DataFrame:
     """Rename foreign columns to the raw event schema.
 

@@ -1,12 +1,13 @@
 """Streams: enrichment, raw sink, duplicate removal, live sessions."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickmart import constants as C
 from clickmart.functions.scalar import event_time
 from clickmart.operators.dedup import EVENT_KEY
+from clickmart.sources import raw
 
 
 def with_event_time(events: DataFrame) -> DataFrame:
@@ -73,6 +74,56 @@ def table_sink(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def processed_records(query: StreamingQuery) -> int:
-    """Input records of all batches the query still reports on."""
-    return sum(p["numInputRows"] for p in query.recentProgress)
+class RecordCount:
+    """Input records of a query, exact over any number of batches.
+
+    A query keeps its newest progress entries only (100 by default), so they are added
+    up while it runs.  ``update`` must be called before that many batches have passed;
+    a batch that went by unseen raises instead of being left out.
+    """
+
+    def __init__(self, query: StreamingQuery):
+        self.query, self.total = query, 0
+        self._last, self._rows = -1, 0
+
+    def update(self) -> int:
+        for entry in self.query.recentProgress:
+            batch, rows = entry["batchId"], entry["numInputRows"]
+            if batch < self._last:
+                continue
+            if batch > self._last:
+                if self._last >= 0 and batch > self._last + 1:
+                    raise RuntimeError(f"batches {self._last + 1} to {batch - 1} were not seen")
+                self._last, self._rows = batch, 0
+            # an idle trigger reports the number of the next batch, without rows
+            more = max(0, rows - self._rows)
+            self.total, self._rows = self.total + more, self._rows + more
+        return self.total
+
+
+def count_until_done(query: StreamingQuery, poll_seconds: float = 0.2) -> int:
+    """Wait for a query that ends by itself; its input records."""
+    count = RecordCount(query)
+    while not query.awaitTermination(poll_seconds):
+        count.update()
+    return count.update()
+
+
+def delivered_records(spark: SparkSession, path: str) -> int:
+    """Records that raw delivery has committed to ``path``, over all runs of the query."""
+    return spark.read.text(path).count()
+
+
+def reject_sink(
+    rows: DataFrame, path: str, checkpoint: str, interval: str | None = C.DELIVERY_INTERVAL
+) -> StreamingQuery:
+    """Unreadable lines as they came, with the reason, as JSON lines."""
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return (
+        raw.rejects(rows)
+        .writeStream.format("json")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )

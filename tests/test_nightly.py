@@ -139,7 +139,7 @@ def test_catalog(spark, lake, raw_path):
         assert pruned.count() > 0
         assert "PartitionFilters: []" not in pruned._jdf.queryExecution().executedPlan().toString()
         assert spark.table("clickmart_test.dim_customer").count() > 0
-        schema = catalog.discover(spark, "clickmart_test", "found", raw_path, sampling_ratio=1.0)
+        schema = catalog.discover(spark, "clickmart_test", "found", raw_path)
         assert {"user_id", "year", "month", "day"} <= set(schema.names)
         assert spark.table("clickmart_test.found").count() == lake.read(
             spark, "curated/events", S.CURATED_EVENT
@@ -166,3 +166,96 @@ def test_views(spark, lake):
     )
     total = spark.sql("SELECT sum(lifetime_spend) FROM vw_customer_360").first()[0]
     assert total == spark.sql("SELECT sum(total_revenue) FROM vw_product_performance").first()[0]
+
+
+def _deliver(spark, path, delivered, rows, broken=()):
+    """Events (id, user, day of the event) into the folder of the day of delivery."""
+    import datetime as dt
+    import json
+    import os
+
+    year, month, day = delivered.split("-")
+    folder = f"{path}/year={year}/month={month}/day={day}"
+    os.makedirs(folder, exist_ok=True)
+    lines = []
+    for event_id, user, happened in rows:
+        at = dt.datetime.fromisoformat(f"{happened}T12:00:00+00:00").timestamp()
+        lines.append(json.dumps({"event_id": event_id, "user_id": user, "event_type": "view",
+                                 "product_id": "p", "timestamp": int(at * 1000)}))
+    with open(f"{folder}/{len(os.listdir(folder))}.json", "w") as out:
+        out.write("\n".join([*lines, *broken]) + "\n")
+
+
+def _curated(spark, layout):
+    rows = layout.read(spark, "curated/events", S.CURATED_EVENT).collect()
+    return {r.event_id: (str(r.date), r.session_seq) for r in rows}
+
+
+def test_late_and_early_events_are_not_lost(spark, tmp_path):
+    path, layout = str(tmp_path / "raw"), nightly.Layout(str(tmp_path / "lake"))
+    days = [f"2024-01-{d:02d}" for d in range(5, 11)]
+    for day in days:
+        rows = [(f"own-{day}", "u", day)]
+        if day == "2024-01-05":
+            rows.append(("early", "u", "2024-01-10"))  # stamped five days ahead
+        if day == "2024-01-10":
+            rows.append(("late", "u", "2024-01-05"))  # five days late, before the day's own event
+        _deliver(spark, path, day, rows, ["{broken"] if day == "2024-01-06" else ())
+        nightly.curate(spark, path, layout, day, since=days[0] if day == days[0] else None)
+    got = _curated(spark, layout)
+    assert set(got) == {"early", "late", *[f"own-{d}" for d in days]}
+    assert got["early"][0] == "2024-01-10" and got["late"][0] == "2024-01-05"
+    # one session per day, numbered as if all had come in time
+    assert [got[f"own-{d}"][1] for d in days] == [1, 2, 3, 4, 5, 6] and got["late"][1] == 1
+    refused = spark.read.parquet(layout.path("rejected/2024-01-06")).collect()
+    assert [(r.line, r.reason) for r in refused] == [("{broken", "unreadable")]
+    before = _curated(spark, layout)
+    nightly.curate(spark, path, layout, days[-1])
+    assert _curated(spark, layout) == before
+
+
+def test_late_days_refuse_with_a_reason(spark, tmp_path):
+    path, layout = str(tmp_path / "raw"), nightly.Layout(str(tmp_path / "lake"))
+    _deliver(spark, path, "2024-01-05", [("a", "u", "2024-01-05")])
+    nightly.curate(spark, path, layout, "2024-01-05", since="2024-01-05")
+    _deliver(spark, path, "2024-01-06", [("b", "u", "2024-01-06"), ("old", "u", "2024-01-02")])
+    nightly.curate(spark, path, layout, "2024-01-06", late_days=2)
+    assert set(_curated(spark, layout)) == {"a", "b"}
+    refused = spark.read.parquet(layout.path("rejected/2024-01-06")).collect()
+    assert [r.reason for r in refused] == ["late"] and '"event_id":"old"' in refused[0].line
+
+
+def test_a_failed_state_write_loses_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "state")
+    merge = lambda old, new: old.unionByName(new)
+    first = spark.createDataFrame([(1,)], "k int")
+    nightly._merged_state(spark, path, first, merge, "2024-01-01")
+
+    def fail(df, target):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(nightly.tables, "write_table", fail)
+    with pytest.raises(OSError):
+        nightly._merged_state(spark, path, first, merge, "2024-01-02")
+    monkeypatch.undo()
+    merged = nightly._merged_state(spark, path, spark.createDataFrame([(2,)], "k int"), merge, "2024-01-02")
+    assert sorted(r.k for r in merged.collect()) == [1, 2]
+
+
+def test_discovery_reads_every_line(spark, tmp_path):
+    folder = tmp_path / "raw" / "day=1"
+    folder.mkdir(parents=True)
+    lines = ['{"id": %d, "price": 5}' % i for i in range(2999)] + ['{"id": 2999, "price": 5.5, "coupon": "x"}']
+    (folder / "a.json").write_text("\n".join(lines) + "\n")
+    try:
+        spark.sql("CREATE DATABASE IF NOT EXISTS clickmart_found")
+        catalog.discover(spark, "clickmart_found", "found", str(tmp_path / "raw"))
+        row = spark.table("clickmart_found.found").filter("coupon IS NOT NULL").first()
+        assert (row.price, row.coupon, row.day) == (5.5, "x", 1)
+        other = tmp_path / "raw" / "hour=2"
+        other.mkdir()
+        (other / "b.json").write_text(lines[0] + "\n")
+        with pytest.raises(Exception, match="(?i)partition"):
+            catalog.discover(spark, "clickmart_found", "found", str(tmp_path / "raw"))
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS clickmart_found CASCADE")

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickmart import schemas as S
@@ -40,8 +41,8 @@ def test_enriched_delivery_equals_batch(spark, tmp_path):
     query = ingest.raw_sink(
         enrich.enrich(stream, segments), out, str(tmp_path / "state"), interval=None
     )
-    query.awaitTermination()
-    assert ingest.processed_records(query) == 50
+    assert ingest.count_until_done(query) == 50
+    assert ingest.delivered_records(spark, out) == 50
     delivered = raw.read_raw(spark, out)
     assert {"year", "month", "day"} <= set(delivered.columns)
     batch = enrich.enrich(raw.accepted(raw.read_raw(spark, str(src), S.RAW_EVENT)), segments)
@@ -81,3 +82,83 @@ def test_sessions_equal_batch_sessions(spark, tmp_path):
         ("a", 0, 1800, 2, None), ("a", 3601, 3601, 1, 5.0), ("b", 10, 10, 1, None),
         ("b", 7000, 7000, 1, None),
     ]
+
+
+class _Query:
+    """Progress entries as a query keeps them: the newest two."""
+
+    def __init__(self):
+        self.entries, self.isActive = [], True
+
+    def add(self, batch, rows):
+        self.entries.append({"batchId": batch, "numInputRows": rows})
+
+    @property
+    def recentProgress(self):
+        return self.entries[-2:]
+
+    @property
+    def lastProgress(self):
+        return self.entries[-1]
+
+
+def test_record_count_over_many_batches():
+    query = _Query()
+    count = ingest.RecordCount(query)
+    for batch in range(250):
+        query.add(batch, batch % 7)
+        query.add(batch, 0)  # an idle trigger repeats the number
+        count.update()
+    query.isActive = False
+    assert count.update() == sum(b % 7 for b in range(250))
+
+
+def test_unseen_batches_are_an_error():
+    query = _Query()
+    count = ingest.RecordCount(query)
+    query.add(0, 5)
+    count.update()
+    for batch in (1, 2, 3):
+        query.add(batch, 5)
+    with pytest.raises(RuntimeError, match="1 to 1"):
+        count.update()
+
+
+def test_unknown_fields_and_broken_lines_survive(spark, tmp_path):
+    src = tmp_path / "src"
+    rows = [_event(0, "u", 0), _event(1, "u", 1, coupon={"code": "x"}, rank=3)]
+    _write(src, "a.json", rows)
+    (src / "b.json").write_text('{"user_id": "cut off\n')
+    segments = geo.segments(geo.ranges(fixtures.geo_table(spark)))
+    lines = raw.stream_raw(spark, str(src))
+    out, bad = str(tmp_path / "raw"), str(tmp_path / "bad")
+    ingest.raw_sink(enrich.enrich(lines, segments), out, str(tmp_path / "s1"), None).awaitTermination()
+    ingest.reject_sink(lines, bad, str(tmp_path / "s2"), None).awaitTermination()
+    got = {r.user_id + str(r.timestamp)[-4:]: r for r in raw.accepted(raw.read_raw(spark, out)).collect()}
+    assert len(got) == 2
+    payloads = [r.payload for r in got.values()]
+    kept = json.loads(next(p for p in payloads if p))
+    assert payloads.count(None) == 1 and kept["coupon"] == {"code": "x"} and kept["rank"] == 3
+    refused = spark.read.json(bad).collect()
+    assert [(r.line, r.reason) for r in refused] == [('{"user_id": "cut off', "unreadable")]
+
+
+def test_delivery_goes_on_from_its_checkpoint(spark, tmp_path):
+    src, out, state = tmp_path / "src", str(tmp_path / "raw"), str(tmp_path / "state")
+    segments = geo.segments(geo.ranges(fixtures.geo_table(spark)))
+    for name in ("a.json", "b.json"):
+        _write(src, name, [_event(i, name, i) for i in range(5)])
+        stream = raw.accepted(raw.stream_raw(spark, str(src)))
+        ingest.raw_sink(enrich.enrich(stream, segments), out, state, None).awaitTermination()
+    rows = raw.accepted(raw.read_raw(spark, out))
+    assert rows.count() == rows.select("user_id", "timestamp").distinct().count() == 10
+    assert ingest.delivered_records(spark, out) == 10
+
+
+def test_the_raw_parse_stands_once_in_a_plan(spark, tmp_path):
+    from conftest import plan
+
+    src = tmp_path / "src"
+    _write(src, "a.json", [_event(0, "u", 0)])
+    text = plan(clean.clean(raw.accepted(raw.read_raw(spark, str(src), S.RAW_EVENT))))
+    assert text.count("from_json") == 1
