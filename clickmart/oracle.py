@@ -505,6 +505,73 @@ def statements() -> dict[str, str]:
                        AS BIGINT) AS rank, similar_id, round(s, 6) AS similarity
             FROM pairs
             QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY s DESC, similar_id) <= 10""",
+        "als_recommendations_check": _with(
+            "curated",
+            """SELECT user_id, n AS recommended, n AS products, true AS not_negative,
+                      CAST(0 AS BIGINT) AS not_rated
+               FROM (SELECT user_id, least(10, (SELECT count(DISTINCT product_id) FROM curated
+                            WHERE event_type IN ('view', 'cart_add', 'purchase'))) AS n
+                     FROM curated WHERE event_type IN ('view', 'cart_add', 'purchase')
+                     GROUP BY user_id)""",
+        ),
+        "als_unseen_check": _with(
+            "curated",
+            """SELECT user_id, n AS recommended, n AS products, true AS not_negative,
+                      CAST(0 AS BIGINT) AS not_rated, CAST(0 AS BIGINT) AS seen
+               FROM (SELECT user_id, least(10, (SELECT count(DISTINCT product_id) FROM curated
+                            WHERE event_type IN ('view', 'cart_add', 'purchase'))
+                            - count(DISTINCT product_id)) AS n
+                     FROM curated WHERE event_type IN ('view', 'cart_add', 'purchase')
+                     GROUP BY user_id)
+               WHERE n > 0""",
+        ),
+        "item_vectors_check": _with(
+            "curated",
+            """SELECT DISTINCT product_id, CAST(10 AS BIGINT) AS length, true AS finite
+               FROM curated WHERE event_type IN ('view', 'cart_add', 'purchase')""",
+        ),
+        "item_similarity_check": _with(
+            "curated",
+            """SELECT product_id AS item_id, least(10, (count(*) OVER ()) - 1) AS neighbours,
+                      CAST(1 AS BIGINT) AS first_rank, neighbours AS last_rank, true AS falling,
+                      false AS itself
+               FROM (SELECT DISTINCT product_id FROM curated
+                     WHERE event_type IN ('view', 'cart_add', 'purchase'))""",
+        ),
+        "ltv_regression_check": _with(
+            "facts",
+            """SELECT feature, true AS orthogonal, true AS finite,
+                      (SELECT count(DISTINCT user_id) FROM facts WHERE date_key <= DATE '2000-08-01')
+                          AS customers
+               FROM unnest(['recency_days', 'frequency', 'monetary', 'rfm_score', 'aov', 'intercept'])
+                   AS f(feature)""",
+        ),
+        "discover_events": _with(
+            "curated",
+            """SELECT event_id, CAST(price AS DOUBLE) AS price, CAST(day AS VARCHAR) AS day,
+                      CASE WHEN CAST(event_id AS BIGINT) % 331 = 7 THEN 'c' || event_id END AS coupon
+               FROM curated""",
+        ),
+        "enrich_keeps_fields": _with(
+            "curated",
+            """SELECT user_id, ms AS timestamp,
+                      CASE WHEN CAST(event_id AS BIGINT) % 10 = 3 THEN 'c' || event_id END AS coupon
+               FROM curated WHERE CAST(event_id AS BIGINT) % 100 <> 5""",
+        ),
+        "rejected_lines": _with(
+            "curated",
+            """SELECT substr('{"event_id":"' || event_id || '","user_id":"' || user_id
+                             || '","product_id":"' || product_id || '","event_type":"' || event_type,
+                             1, 40) AS line,
+                      'unreadable' AS reason, count(*) AS n
+               FROM curated WHERE CAST(event_id AS BIGINT) % 100 = 5 GROUP BY line""",
+        ),
+        "late_events": _with(
+            "sessioned",
+            """SELECT event_id, user_id, session_seq, session_id FROM sessioned
+               WHERE day <= DATE '2024-01-06'""",
+        ),
+        "stream_record_count": "SELECT count(*) AS records, count(*) AS delivered FROM events",
         "stream_enrich": _ENRICHED,
         "stream_raw_delivery": _with(
             "curated",

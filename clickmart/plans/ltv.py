@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmart import constants as C
@@ -50,10 +50,15 @@ def training_set(session_sales: DataFrame, as_of: str, horizon_months: int) -> D
     )
 
 
+def in_training() -> Column:
+    """Four fifths of the customers, by hash."""
+    return F.pmod(F.xxhash64("user_id"), F.lit(10)) < 8
+
+
 def fit(train: DataFrame) -> tuple[LinearRegressionModel, float, float]:
     """Fit on four fifths of the customers (by hash), report on the rest."""
     vectors = materialize(assemble(train).select("user_id", "features", "label"), "ltv-train")
-    in_train = F.pmod(F.xxhash64("user_id"), F.lit(10)) < 8
+    in_train = in_training()
     model = LinearRegression(featuresCol="features", labelCol="label").fit(vectors.filter(in_train))
     held_out = model.transform(vectors.filter(~in_train))
     evaluator = RegressionEvaluator(labelCol="label", predictionCol="prediction")

@@ -8,6 +8,7 @@ microseconds, arrays as joined text.
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +17,7 @@ from clickmart import schemas as S
 from clickmart.operators import (
     clean, dedup, enrich, geo, integrity, sales, sessions, similarity,
 )
-from clickmart.plans import aggregates, dims, facts, ltv, recommend, refresh, rfm
+from clickmart.plans import aggregates, dims, facts, ltv, nightly, recommend, refresh, rfm
 from clickmart.sinks import tables
 from clickmart.sources import catalog, fixtures, raw
 from clickmart.storage import materialize, scratch_path
@@ -77,9 +78,13 @@ def _orders_star(spark, sf_dir):
     )
 
 
-def _order_customers(spark, sf_dir):
-    """Customer dimension over the order tables."""
-    sold = fixtures.fact_sales(spark, sf_dir)
+def _stored_sales(spark, sf_dir):
+    """Sales facts as a stored table: order lines and orders are read once."""
+    return materialize(fixtures.fact_sales(spark, sf_dir), "fact-sales")
+
+
+def _order_customers(spark, sf_dir, sold):
+    """Customer dimension over sales facts."""
     scored = rfm.segments(rfm.scores(rfm.sale_metrics(sold, fixtures.SALES_AS_OF)))
     days = scored.select(
         "user_id",
@@ -149,6 +154,70 @@ def enrich_events(spark, sf_dir):
     return located.drop("processed_ts", "session_id", "price", "payload")
 
 
+@_query
+def discover_events(spark, sf_dir):
+    """A table discovered from JSON lines; few of them have a coupon."""
+    path = scratch_path(spark, "discovered")
+    events = fixtures.clean_events(spark, sf_dir).select("event_id", "price", "date")
+    coupon = F.when(F.col("event_id").cast("bigint") % 331 == 7, F.concat(F.lit("c"), "event_id"))
+    events.withColumn("coupon", coupon).write.partitionBy("date").json(f"{path}/events")
+    database = "clickmart_" + path.rsplit("-", 1)[1]
+    catalog.create_database(spark, database, f"{path}/database", use=False)
+    catalog.discover(spark, database, "found", f"{path}/events")
+    return spark.table(f"{database}.found").select(
+        F.col("event_id").cast("string").alias("event_id"), "coupon",
+        F.col("price").cast("double").alias("price"), F.col("date").cast("string").alias("day"),
+    )
+
+
+def _odd_lines(spark, sf_dir):
+    """Raw events as JSON lines: some with a field beyond the schema, some cut off."""
+    events = fixtures.raw_events(spark, sf_dir).withColumn(
+        "coupon", F.when(F.col("event_id").cast("bigint") % 10 == 3, F.concat(F.lit("c"), "event_id"))
+    )
+    line = F.to_json(F.struct(*events.columns))
+    cut = F.col("event_id").cast("bigint") % 100 == 5
+    return events.select(F.when(cut, F.substring(line, 1, 40)).otherwise(line).alias("data"))
+
+
+@_query
+def enrich_keeps_fields(spark, sf_dir):
+    """Fields that the schema lacks reach the enriched event."""
+    decoded = raw.decode(_odd_lines(spark, sf_dir))
+    located = enrich.enrich(decoded, materialize(_segments(spark), "geo"))
+    return located.select(
+        "user_id", "timestamp", F.get_json_object("payload", "$.coupon").alias("coupon")
+    )
+
+
+@_query
+def rejected_lines(spark, sf_dir):
+    return raw.rejects(raw.decode(_odd_lines(spark, sf_dir))).groupBy("line", "reason").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@_query
+def late_events(spark, sf_dir):
+    """Events delivered up to six days late or early; daily runs keep every one."""
+    path, root = scratch_path(spark, "late-raw"), scratch_path(spark, "late-lake")
+    shift = (F.col("event_id").cast("bigint") % 13 - 6).cast("int")
+    day = F.to_date(F.timestamp_millis("timestamp"))
+    first, last = F.lit("2024-01-01").cast("date"), F.lit("2024-01-06").cast("date")
+    delivered = F.greatest(first, F.least(last, F.date_add(day, shift)))
+    fields = {"year": "yyyy", "month": "MM", "day": "dd"}
+    events = fixtures.raw_events(spark, sf_dir).filter(day <= last)
+    events.withColumns({k: F.date_format(delivered, f) for k, f in fields.items()}).write.partitionBy(
+        *fields
+    ).json(path)
+    layout = nightly.Layout(root)
+    for n in (2, 4, 6):
+        nightly.curate(spark, path, layout, f"2024-01-0{n}", "2024-01-01" if n == 2 else None)
+    return layout.read(spark, "curated/events", S.CURATED_EVENT).select(
+        "event_id", "user_id", "session_seq", "session_id"
+    )
+
+
 # --- sessions ----------------------------------------------------------------
 
 
@@ -304,7 +373,8 @@ def daily_sales(spark, sf_dir):
 @_query
 def daily_sales_refresh(spark, sf_dir):
     """Old rows altered, the window recomputed: altered rows survive outside of it only."""
-    sold, dates, products = _orders_star(spark, sf_dir)
+    _, dates, products = _orders_star(spark, sf_dir)
+    sold = _stored_sales(spark, sf_dir)
     stale = aggregates.daily_sales(sold, dates, products).withColumn(
         "total_orders", F.col("total_orders") + 1000
     )
@@ -328,19 +398,17 @@ def cohort_refresh(spark, sf_dir):
 
 @_query
 def customer_360(spark, sf_dir):
+    sold = _stored_sales(spark, sf_dir)
     return aggregates.customer_360(
-        _order_customers(spark, sf_dir),
-        fixtures.fact_sales(spark, sf_dir),
-        fixtures.clean_events(spark, sf_dir),
+        _order_customers(spark, sf_dir, sold), sold, fixtures.clean_events(spark, sf_dir)
     )
 
 
 @_query
 def customer_360_literal(spark, sf_dir):
+    sold = _stored_sales(spark, sf_dir)
     return aggregates.customer_360_literal(
-        _order_customers(spark, sf_dir),
-        fixtures.fact_sales(spark, sf_dir),
-        fixtures.clean_events(spark, sf_dir),
+        _order_customers(spark, sf_dir, sold), sold, fixtures.clean_events(spark, sf_dir)
     )
 
 
@@ -387,7 +455,8 @@ def customer_activity(spark, sf_dir):
 
 @_query
 def integrity_report(spark, sf_dir):
-    sold, dates, products = _orders_star(spark, sf_dir)
+    _, dates, products = _orders_star(spark, sf_dir)
+    sold = _stored_sales(spark, sf_dir)
     customers = fixtures.customer_profile(spark, sf_dir)
     return integrity.report(
         [
@@ -499,6 +568,96 @@ def item_similarity(spark, sf_dir):
     return _recommender(spark, sf_dir).similar_items()
 
 
+# learned values have no twin in SQL; what holds for any right value has one
+
+
+def _recommendation_check(top: DataFrame) -> DataFrame:
+    """Per user: recommended products, all of them different, by falling rating."""
+    place = W.partitionBy("user_id").orderBy(F.desc("predicted_rating"))
+    return (
+        top.withColumn("before", F.lag("predicted_rating").over(place))
+        .groupBy("user_id")
+        .agg(
+            F.count(F.lit(1)).alias("recommended"),
+            F.count_distinct("recommended_product_id").alias("products"),
+            F.bool_and(F.col("predicted_rating") >= 0).alias("not_negative"),
+            F.count(F.when(F.isnan("predicted_rating") | F.col("predicted_rating").isNull(), 1)).alias("not_rated"),
+        )
+    )
+
+
+@_query
+def als_recommendations_check(spark, sf_dir):
+    return _recommendation_check(_recommender(spark, sf_dir).top())
+
+
+@_query
+def als_unseen_check(spark, sf_dir):
+    """The same among unseen products, and how many of them the user has seen (none)."""
+    rated = materialize(recommend.interactions(fixtures.clean_events(spark, sf_dir)), "rated")
+    top = materialize(recommend.fit(rated).top(exclude_seen=True), "unseen")
+    seen = rated.select("user_id", F.col("product_id").alias("recommended_product_id"), F.lit(1).alias("hit"))
+    hits = top.join(seen, ["user_id", "recommended_product_id"]).groupBy("user_id").agg(F.sum("hit").alias("seen"))
+    return _recommendation_check(top).join(hits, "user_id", "left").withColumn(
+        "seen", F.coalesce("seen", F.lit(0))
+    )
+
+
+@_query
+def item_vectors_check(spark, sf_dir):
+    """Per product: length of its vector, and whether all parts are finite."""
+    finite = F.forall("features", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return _recommender(spark, sf_dir).item_vectors().select(
+        "product_id", F.size("features").alias("length"), finite.alias("finite")
+    )
+
+
+@_query
+def item_similarity_check(spark, sf_dir):
+    """Per product: neighbours, ranked from 1 by falling similarity, none of them itself."""
+    similar = _recommender(spark, sf_dir).similar_items()
+    before = F.lag("similarity").over(W.partitionBy("item_id").orderBy("rank"))
+    falling = F.coalesce(F.col("similarity") <= F.col("before"), F.lit(True))
+    return similar.withColumn("before", before).groupBy("item_id").agg(
+        F.count(F.lit(1)).alias("neighbours"),
+        F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"),
+        F.bool_and(falling).alias("falling"),
+        F.bool_or(F.col("item_id") == F.col("similar_id")).alias("itself"),
+    )
+
+
+@_query
+def ltv_regression_check(spark, sf_dir):
+    """Per feature: customers in training, and whether the residuals are orthogonal to it.
+
+    That holds for a least squares fit and for no other line.
+    """
+    sold = fixtures.order_session_sales(spark, sf_dir)
+    train = materialize(
+        ltv.training_set(sold, fixtures.SALES_AS_OF, C.LTV_HORIZON_MONTHS), "ltv-set"
+    )
+    model, r2, rmse = ltv.fit(train)
+    fitted = model.transform(ltv.assemble(train).filter(ltv.in_training()))
+    rest = F.col("label") - F.col("prediction")
+    x = F.coalesce(F.col("value"), F.lit(0.0))
+    values = F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
+        for c in (*ltv.FEATURES, "intercept")
+    ])
+    sums = (
+        fitted.withColumn("intercept", F.lit(1.0))
+        .select("label", "prediction", F.inline(values))
+        .groupBy("feature")
+        .agg(
+            (F.abs(F.sum(rest * x)) <= 1e-6 * F.sum(F.abs(F.col("label") * x)) + 1e-6).alias("orthogonal"),
+        )
+    )
+    finite = all(abs(v) < float("inf") for v in (r2, rmse))
+    return sums.withColumns(
+        {"customers": F.lit(train.count()).cast("bigint"), "finite": F.lit(finite and rmse >= 0)}
+    )
+
+
 @_query
 def embedding_similarity_topk(spark, sf_dir):
     items = fixtures.table(spark, sf_dir, "embeddings")
@@ -541,6 +700,21 @@ def stream_raw_delivery(spark, sf_dir):
     )
 
 
+@_query
+def stream_record_count(spark, sf_dir):
+    """Records of a stream over twenty batches, and those that reached the raw zone."""
+    source, path = scratch_path(spark, "lines"), scratch_path(spark, "counted")
+    lines = enrich.json_lines(fixtures.raw_events(spark, sf_dir))
+    lines.repartition(20).write.text(source)
+    rows = raw.accepted(raw.stream_raw(spark, source, max_files=1))
+    located = enrich.enrich(rows, materialize(_segments(spark), "geo"))
+    query = ingest.raw_sink(located, path, scratch_path(spark, "counted-state"), interval=None)
+    counted = ingest.count_until_done(query)
+    return spark.read.text(path).agg(F.count(F.lit(1)).alias("delivered")).select(
+        F.lit(counted).cast("bigint").alias("records"), "delivered"
+    )
+
+
 def _stream_clean(spark, sf_dir):
     return clean.clean(fixtures.stream_events(spark, sf_dir))
 
