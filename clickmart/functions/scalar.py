@@ -22,14 +22,54 @@ def event_hash(user_id: Column, timestamp: Column) -> Column:
     )
 
 
-def ip_number(ip: Column) -> Column:
-    """Dotted IPv4 address as a number; null when it is not one."""
-    ok = ip.rlike(r"^(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}$")
-    octets = F.split(F.when(ok, ip), r"\.")
-    number = F.lit(0).cast("bigint")
-    for i in range(4):
-        number = number * 256 + octets.getItem(i).cast("bigint")
-    return number
+_OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_GROUP = r"[0-9a-f]{1,4}"
+#: an IPv4 address is the IPv6 address ::ffff:a.b.c.d
+IPV4_HEAD = "0" * 20 + "ffff"
+
+
+def _ipv4_hex(ip: Column) -> Column:
+    """Eight hexadecimal digits of a dotted address; null when it is not one."""
+    octets = F.split(F.when(ip.rlike(rf"^{_OCTET}(\.{_OCTET}){{3}}$"), ip), r"\.")
+    return F.concat(*[F.lpad(F.lower(F.hex(octets.getItem(i).cast("bigint"))), 2, "0") for i in range(4)])
+
+
+def _ipv6_hex(ip: Column) -> Column:
+    """32 hexadecimal digits of a colon address; null when it is not one."""
+    low = F.lower(ip)
+    # a dotted tail stands for the last two groups
+    tail = _ipv4_hex(F.substring_index(low, ":", -1))
+    groups_only = F.when(
+        low.contains("."),
+        F.concat(
+            F.regexp_replace(low, r"[^:]*$", ""), F.substring(tail, 1, 4), F.lit(":"), F.substring(tail, 5, 4)
+        ),
+    ).otherwise(low)
+    well_formed = groups_only.rlike(rf"^({_GROUP}(:{_GROUP})*)?(::({_GROUP}(:{_GROUP})*)?)?$")
+    halves = F.split(F.when(well_formed, groups_only), "::")
+
+    def padded(half: Column) -> Column:
+        return F.transform(
+            F.filter(F.split(F.coalesce(half, F.lit("")), ":"), lambda g: g != ""), lambda g: F.lpad(g, 4, "0")
+        )
+
+    left, right = padded(F.get(halves, F.lit(0))), padded(F.get(halves, F.lit(1)))
+    missing = F.lit(8) - F.size(left) - F.size(right)
+    # "::" stands for one group of zeros at least
+    right_count = F.when(F.size(halves) == 2, missing >= 1).otherwise(missing == 0)
+    zeros = F.array_repeat(F.lit("0000"), F.greatest(missing, F.lit(0)))
+    return F.when(right_count, F.array_join(F.concat(left, zeros, right), ""))
+
+
+def ip_key(ip: Column) -> Column:
+    """Address of either family as 32 hexadecimal digits that compare like the number."""
+    four = F.concat(F.lit(IPV4_HEAD), _ipv4_hex(ip))
+    return F.when(ip.contains(":"), _ipv6_hex(ip)).otherwise(four)
+
+
+def ip_number_key(number: Column) -> Column:
+    """The same for an IPv4 address that is given as a number."""
+    return F.concat(F.lit(IPV4_HEAD), F.lpad(F.lower(F.hex(number.cast("bigint"))), 8, "0"))
 
 
 def month_diff(start: Column, end: Column) -> Column:

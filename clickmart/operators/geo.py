@@ -1,65 +1,119 @@
-"""Address to place: a range join made into an equi-join.
+"""Address to place: a range join made into equi-joins.
 
-Network ranges are cut into disjoint segments that never leave a block of 2**16
-addresses.  An event finds its segment by its block number, so the join has an
-equality key, and matches at most one row, so it stays a narrow left join that
-also runs on streams.
+Addresses of both families are 32 hexadecimal digits that compare like the number; an
+IPv4 address is the IPv6 address that stands for it.  Network ranges are cut into
+disjoint segments that never leave a block, the addresses that share a prefix.  An
+event finds its segment by its block, so the join has an equality key and matches at
+most one row; it stays a narrow left join that also runs on streams.
+
+IPv4 ranges have blocks of 2**16 addresses.  IPv6 ranges differ too much in size for
+one kind of block: each takes the smallest blocks of which its width makes no more than 256,
+and a lookup tries the small blocks first, as the narrowest range wins.
 """
 
 import heapq
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickmart import constants as C
-from clickmart.functions.scalar import ip_number
-
-BLOCK_BITS = 16
-BLOCK = 1 << BLOCK_BITS
-# a segment row is three numbers and two short texts
-BROADCAST_ROWS = 1_000_000
+from clickmart.functions.scalar import IPV4_HEAD, ip_key, ip_number_key
 
-_SEGMENTS = "block bigint, lo bigint, hi bigint, country string, city string"
+DIGITS = 32
+#: hexadecimal digits of the prefix that names a block: IPv4, then IPv6 from small to large
+LEVELS = (28, 14, 10, 6)
+_SEGMENTS = "level int, block string, lo string, hi string, country string, city string"
 
 
 def ranges(table: DataFrame) -> DataFrame:
-    """Numeric bounds from ``ip_from, ip_to, country, city`` (dotted text or numbers)."""
-    def number(name):
+    """Bounds as keys from ``ip_from, ip_to, country, city`` (text, or IPv4 as numbers)."""
+    def key(name):
         if dict(table.dtypes)[name] == "string":
-            return ip_number(F.col(name))
-        return F.col(name).cast("bigint")
+            return ip_key(F.col(name))
+        return ip_number_key(F.col(name))
+
+    return table.select(key("ip_from").alias("lo"), key("ip_to").alias("hi"), "country", "city")
+
+
+def _half(key: str, at: int) -> Column:
+    """16 digits as an unsigned number."""
+    return F.conv(F.substring(key, at, 16), 16, 10).cast("decimal(20,0)")
+
+
+def _width() -> Column:
+    """hi - lo as a struct that compares like the number."""
+    low = _half("hi", 17) - _half("lo", 17)
+    borrow = low < 0
+    full = F.lit(str(2**64)).cast("decimal(20,0)")
+    return F.struct(
+        (_half("hi", 1) - _half("lo", 1) - borrow.cast("int")).cast("decimal(21,0)").alias("high"),
+        F.when(borrow, low + full).otherwise(low).cast("decimal(21,0)").alias("low"),
+    )
 
-    return table.select(number("ip_from").alias("lo"), number("ip_to").alias("hi"), "country", "city")
+
+def _prefix_number(key: str, digits: int) -> Column:
+    """Number of a block of an address: the last digits of its prefix."""
+    first = len(IPV4_HEAD) + 1 if digits == LEVELS[0] else 1
+    return F.conv(F.substring(key, first, digits - first + 1), 16, 10).cast("bigint")
+
+
+def _block_name(number: Column, digits: int) -> Column:
+    head = IPV4_HEAD if digits == LEVELS[0] else ""
+    return F.concat(F.lit(head), F.lpad(F.lower(F.hex(number)), digits - len(head), "0"))
+
+
+def _placed(network_ranges: DataFrame) -> DataFrame:
+    """Ranges with their level and one row per block they touch."""
+    four = F.col("lo").startswith(IPV4_HEAD) & F.col("hi").startswith(IPV4_HEAD)
+    level = F.when(four, LEVELS[0])
+    for digits in LEVELS[1:-1]:
+        # by width alone, so that a narrower range never takes larger blocks
+        level = level.when(F.col("width.high") < F.lit(2 ** (64 - 4 * digits + 8)), digits)
+    level = level.otherwise(LEVELS[-1])
+    numbers, names = F.lit(None).cast("array<bigint>"), F.lit(None).cast("string")
+    for digits in LEVELS:
+        own = F.col("level") == digits
+        numbers = F.when(
+            own, F.sequence(_prefix_number("lo", digits), _prefix_number("hi", digits))
+        ).otherwise(numbers)
+        names = F.when(own, _block_name(F.col("number"), digits)).otherwise(names)
+    return (
+        network_ranges.filter("lo <= hi")
+        .withColumn("width", _width())
+        .withColumn("level", level)
+        .withColumn("number", F.explode(numbers))
+        .withColumn("block", names)
+        .withColumn("lo", F.greatest("lo", F.rpad("block", DIGITS, "0")))
+        .withColumn("hi", F.least("hi", F.rpad("block", DIGITS, "f")))
+    )
 
 
 def segments(network_ranges: DataFrame) -> DataFrame:
     """Disjoint segments per block; where ranges overlap the narrowest one wins."""
-    blocks = F.sequence(F.shiftright("lo", BLOCK_BITS), F.shiftright("hi", BLOCK_BITS))
     pieces = (
-        network_ranges.filter("lo <= hi")
-        .withColumn("width", F.col("hi") - F.col("lo"))
-        .withColumn("block", F.explode(blocks))
-        .withColumn("lo", F.greatest("lo", F.col("block") * BLOCK))
-        .withColumn("hi", F.least("hi", F.col("block") * BLOCK + BLOCK - 1))
+        _placed(network_ranges)
         # ranges cut to the same piece: only the narrowest can win
-        .groupBy("block", "lo", "hi")
+        .groupBy("level", "block", "lo", "hi")
         .agg(F.min(F.struct("width", "country", "city")).alias("best"))
-        .select("block", "lo", "hi", "best.*")
+        .select("level", "block", "lo", "hi", "best.*")
     )
-    in_block = W.partitionBy("block")
+    in_block = W.partitionBy("level", "block")
     earlier = in_block.orderBy("lo", "hi").rowsBetween(W.unboundedPreceding, -1)
     overlaps = F.coalesce(F.max("hi").over(earlier) >= F.col("lo"), F.lit(False))
     judged = pieces.withColumn("_o", overlaps).withColumn("_any", F.max("_o").over(in_block))
     # address lists are mostly disjoint already; only overlapping blocks are swept
-    columns = ["block", "lo", "hi", "country", "city"]
+    columns = ["level", "block", "lo", "hi", "country", "city"]
     disjoint = judged.filter(~F.col("_any")).select(*columns)
     swept = (
         judged.filter("_any")
-        .select(*columns, "width")
-        .groupBy("block")
+        .select(
+            *columns, F.col("width.high").cast("string").alias("w_high"),
+            F.col("width.low").cast("string").alias("w_low"),
+        )
+        .groupBy("level", "block")
         .applyInPandas(_narrowest, _SEGMENTS)
     )
     return disjoint.unionByName(swept)
@@ -67,9 +121,15 @@ def segments(network_ranges: DataFrame) -> DataFrame:
 
 def _narrowest(pdf: pd.DataFrame) -> pd.DataFrame:
     """Sweep one block from low to high, keeping the narrowest open range on top."""
+    pdf = pdf.assign(
+        lo=[int(x, 16) for x in pdf["lo"]], hi=[int(x, 16) for x in pdf["hi"]],
+        width=[(int(a) << 64) + int(b) for a, b in zip(pdf["w_high"], pdf["w_low"])],
+    )
     rows = list(pdf.sort_values(["lo", "hi"]).itertuples(index=False))
-    out = [(r.block, lo, hi, r.country, r.city) for r, lo, hi in _sweep(rows)]
-    return pd.DataFrame(out, columns=["block", "lo", "hi", "country", "city"])
+    out = [
+        (r.level, r.block, f"{lo:032x}", f"{hi:032x}", r.country, r.city) for r, lo, hi in _sweep(rows)
+    ]
+    return pd.DataFrame(out, columns=["level", "block", "lo", "hi", "country", "city"])
 
 
 def _sweep(rows: list) -> Iterator[tuple]:
@@ -86,40 +146,31 @@ def _sweep(rows: list) -> Iterator[tuple]:
             yield rows[open_rows[0][1]], lo, following - 1
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows (reads no more than that)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def locate(
-    events: DataFrame, geo_segments: DataFrame, broadcast: bool | None = None
-) -> DataFrame:
+def locate(events: DataFrame, geo_segments: DataFrame) -> DataFrame:
     """Add ``country`` and ``city``; both ``Unknown`` where no range matches.
 
-    A place with a known country and no city keeps the null city.  The segments
-    are broadcast when few enough, otherwise both sides shuffle on the block.
-    ``broadcast`` forces the choice; streams decide once when they are built.
+    A place with a known country and no city keeps the null city.  There is no hint:
+    Spark broadcasts segments below its size limit; beyond it both sides shuffle on the
+    block, and the partitions of a block that holds many events are split.
     """
-    if broadcast is None:
-        broadcast = fits_broadcast(geo_segments)
-    right = geo_segments.withColumn("_found", F.lit(True))
-    if broadcast:
-        right = F.broadcast(right)
-    block = F.shiftright("_ip", BLOCK_BITS)
-    if not broadcast:
-        # rows without a usable address must not meet in one shuffle partition
-        spread = F.pmod(F.xxhash64(*events.columns), F.lit(4096)) + 1
-        block = F.coalesce(block, -spread)
-    numbered = events.withColumn("_ip", ip_number(F.col("ip_address"))).withColumn("_block", block)
-    matched = numbered.join(
-        right,
-        (F.col("_block") == F.col("block")) & F.col("_ip").between(F.col("lo"), F.col("hi")),
-        "left",
-    )
     unknown = F.lit(C.UNKNOWN_PLACE)
+    # rows without a usable address, or of the other family, must not meet in one partition
+    spread = F.concat(F.lit("-"), F.pmod(F.xxhash64(*events.columns), F.lit(4096)).cast("string"))
+    four = F.col("_ip").startswith(IPV4_HEAD)
+    matched = events.withColumn("_ip", ip_key(F.col("ip_address"))).withColumn("_spread", spread)
+    for level in LEVELS:
+        own = four if level == LEVELS[0] else ~four
+        block = F.coalesce(F.when(own, F.substring("_ip", 1, level)), F.col("_spread"))
+        side = geo_segments.filter(F.col("level") == level).select(
+            F.col("block").alias("_block"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"),
+            F.struct("country", "city").alias(f"_at{level}"),
+        )
+        inside = F.col("_ip").between(F.col("_lo"), F.col("_hi"))
+        matched = matched.join(side, (block == F.col("_block")) & inside, "left").drop("_block", "_lo", "_hi")
+    found = F.coalesce(*[F.col(f"_at{level}") for level in LEVELS])
     return matched.withColumns(
         {
-            c: F.when(F.col("_found"), F.col(c)).otherwise(unknown)
+            c: F.when(found.isNotNull(), found.getField(c)).otherwise(unknown)
             for c in ("country", "city")
         }
-    ).drop("_ip", "_block", "block", "lo", "hi", "_found")
+    ).drop("_ip", "_spread", *[f"_at{level}" for level in LEVELS])

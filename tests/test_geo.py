@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from clickmart.functions.scalar import ip_number
+from clickmart.functions.scalar import ip_key
 from clickmart.operators import enrich, geo
 from clickmart.sources import fixtures
 from conftest import plan
@@ -19,6 +19,11 @@ NETWORKS = [
     ("10.0.255.0", "10.1.0.255", "BR", "D"),
     ("11.0.0.0", "11.0.0.0", "DE", "E"),
     ("11.0.0.5", "11.0.0.9", "FR", "F"),
+    ("2001::", "200f:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "EU", "G"),
+    ("2001:db8::", "2001:db8:ffff:ffff:ffff:ffff:ffff:ffff", "NL", "H"),
+    ("2001:db8:0:ff00::", "2001:db8:1:ff::", "BE", "I"),
+    ("2001:db8:1:2:3:4:5:6", "2001:db8:1:2:3:4:5:9", "LU", "J"),
+    ("2001:db8:1:2:3:4:5:8", "2001:db8:1:2:3:4:5:8", "AT", None),
 ]
 
 
@@ -28,13 +33,15 @@ def _number(ip):
 
 def _brute(ip):
     try:
-        n = _number(ip)
+        at = ipaddress.ip_address(ip)
+        n = int(getattr(at, "ipv4_mapped", None) or at)
+        family = 4 if n < 2**32 else 6
     except ValueError:
         return "Unknown", "Unknown"
     hits = [
         (_number(hi) - _number(lo), country, city)
         for lo, hi, country, city in NETWORKS
-        if _number(lo) <= n <= _number(hi)
+        if _number(lo) <= n <= _number(hi) and ipaddress.ip_address(lo).version == family
     ]
     return min(hits)[1:] if hits else ("Unknown", "Unknown")
 
@@ -48,28 +55,41 @@ def segments(spark):
 
 
 def test_segments_are_disjoint(segments):
-    rows = sorted((r.lo, r.hi) for r in segments.collect())
-    assert all(a[1] < b[0] for a, b in zip(rows, rows[1:]))
+    rows = sorted((r.level, r.lo, r.hi) for r in segments.collect())
+    assert all(a[0] < b[0] or a[2] < b[1] for a, b in zip(rows, rows[1:]))
 
 
-@pytest.mark.parametrize("broadcast", [True, False, None])
-def test_lookup_equals_brute_force(spark, segments, broadcast):
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_lookup_equals_brute_force(spark, segments, limit):
     rng = random.Random(1)
     edges = [_number(x) + d for lo, hi, _, _ in NETWORKS for x in (lo, hi) for d in (-1, 0, 1)]
     ips = [str(ipaddress.ip_address(n)) for n in edges]
     ips += [f"10.{rng.randint(0, 2)}.{rng.randint(0, 3)}.{rng.randint(0, 255)}" for _ in range(300)]
-    ips += ["", "x", "1.2.3", "256.1.1.1", "192.168.1.1", None]
+    ips += [f"2001:db8:{rng.randint(0, 1):x}:{rng.choice([0, 2, 0xff00]):x}::{rng.randint(0, 9)}" for _ in range(100)]
+    ips += ["", "x", "1.2.3", "256.1.1.1", "192.168.1.1", None, "10.01.2.3", "::ffff:10.1.2.3",
+            "2001:DB8:1:2:3:4:5:8", "2001:db8:::1", "2001:db8", "1:2:3:4:5:6:7:8:9", "::", "::1%eth0"]
     events = spark.createDataFrame([(i, ip) for i, ip in enumerate(ips)], "id int, ip_address string")
-    found = {r.id: (r.country, r.city) for r in geo.locate(events, segments, broadcast).collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        found = {r.id: (r.country, r.city) for r in geo.locate(events, segments).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(found) == len(ips)
     assert found == {i: _brute(ip if ip is not None else "") for i, ip in enumerate(ips)}
 
 
-def test_ip_number(spark):
-    rows = [("0.0.0.0", 0), ("1.2.3.4", 16909060), ("255.255.255.255", 2**32 - 1), ("1.2.3.04", 16909060),
-            ("a.b.c.d", None), ("1.2.3.4.5", None), ("", None)]
-    df = spark.createDataFrame(rows, "ip string, n bigint").withColumn("got", ip_number(F.col("ip")))
-    assert [r.got for r in df.collect()] == [n for _, n in rows]
+def test_ip_key(spark):
+    good = ["0.0.0.0", "1.2.3.4", "255.255.255.255", "::", "::1", "1::", "2001:db8::8:800:200c:417a",
+            "1:2:3:4:5:6:7:8", "::ffff:1.2.3.4", "1::2:3:4:5:6:7", "fe80::1:2"]
+    bad = ["1.2.3.04", "01.2.3.4", "a.b.c.d", "1.2.3.4.5", "", None, "1::2::3", "1:2:3:4:5:6:7", ":1", "12345::",
+           "1:2:3:4:5:6:7:8::", "::g", "::1.2.3.256", ":::"]
+    df = spark.createDataFrame([(x,) for x in good + bad], "ip string").withColumn("key", ip_key(F.col("ip")))
+    got = {r.ip: r.key for r in df.collect()}
+    for x in good:
+        at = ipaddress.ip_address(x)
+        full = int(at) if at.version == 6 else 0xFFFF00000000 + int(at)
+        assert got[x] == f"{full:032x}", x
+    assert all(got[x] is None for x in bad), got
 
 
 def test_join_plan(spark, sf, segments):
@@ -78,15 +98,33 @@ def test_join_plan(spark, sf, segments):
     assert "NestedLoop" not in small and "Cartesian" not in small
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = plan(geo.locate(events, segments, broadcast=False))
+        large = plan(geo.locate(events, segments))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in large and "NestedLoop" not in large
 
 
-def test_broadcast_needs_a_checked_size(spark):
-    assert geo.fits_broadcast(spark.range(10), 10)
-    assert not geo.fits_broadcast(spark.range(11), 10)
+def test_one_busy_block_is_split(spark, segments):
+    """All events in one block, segments too large to broadcast: no task gets them all."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    rows = spark.range(0, 200_000, 1, 8).select("id", F.format_string("10.1.2.%d", F.col("id") % 256).alias("ip_address"))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = geo.locate(rows, segments)
+        found.write.format("noop").mode("overwrite").save()
+        assert found.count() == 200_000
+        found.collect()
+        assert "skew=true" in plan(found)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def test_event_hash(spark):
