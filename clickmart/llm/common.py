@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickmart.storage import materialize
+from clickmart import storage
 
 #: words are maximal runs of characters other than space, tab, LF, VT, FF, CR
 BREAKS = " \t\n\x0b\x0c\r"
@@ -21,6 +21,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: drop the shuffle files of a query when it ends
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
+    """Write ``df`` once in the shared folder and return the written table.
+
+    Its shuffle files are dropped with the write, so the disk holds those of one step and
+    not of all.
+    """
+    spark = df.sparkSession
+    path = storage.scratch_path(spark, label)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def words(text: Column) -> Column:
     """Array of words; empty for null, empty and blank texts."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BREAK), "")
@@ -62,16 +83,11 @@ def row_of(at: Column) -> Column:
     return at.bitwiseAND(F.lit(2**_ROW_BITS - 1))
 
 
-def positions(df: DataFrame, order: Sequence, name: str, label: str) -> DataFrame:
-    """``df`` written in global order with gapless positions from 0 in ``name``.
+def _numbered(written: DataFrame, name: str) -> DataFrame:
+    """Gapless numbers from 0 for a written table with ``_at`` (partition, row).
 
-    Rows are range-partitioned and numbered within their partition; the offsets of
-    the partitions (one row for each, so their broadcast is bounded) make the rest.
+    The offsets of the partitions, one row for each, make their broadcast bounded.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order)
-    written = materialize(local_order(ranged, order, "_at"), label)
     counts = written.groupBy(part_of(F.col("_at")).alias("_part")).agg(
         F.count(F.lit(1)).alias("_n")
     )
@@ -85,3 +101,15 @@ def positions(df: DataFrame, order: Sequence, name: str, label: str) -> DataFram
         .withColumn(name, F.col("_before") + row_of(F.col("_at")))
         .drop("_part", "_before", "_at")
     )
+
+
+def positions(df: DataFrame, order: Sequence, name: str, label: str) -> DataFrame:
+    """``df`` written in global order with gapless positions from 0 in ``name``."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order)
+    return _numbered(materialize(local_order(ranged, order, "_at"), label), name)
+
+
+def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
+    """``df`` written as it comes with gapless numbers from 0 in ``name``."""
+    return _numbered(materialize(df.withColumn("_at", F.monotonically_increasing_id()), label), name)

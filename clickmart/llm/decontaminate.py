@@ -25,8 +25,7 @@ carried by ``drop``.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import let, words
-from clickmart.storage import materialize
+from clickmart.llm.common import let, materialize, words
 
 WINDOW = 8
 MIN_LITERAL = 4

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.storage import materialize
+from clickmart.llm.common import materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -20,8 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import positions, uniform, word_count
-from clickmart.storage import materialize
+from clickmart.llm.common import materialize, positions, uniform, word_count
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5

@@ -26,8 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import local_order, part_of, row_of
-from clickmart.storage import materialize
+from clickmart.llm.common import local_order, materialize, part_of, row_of
 
 SHARDS = 24
 SEED = 5_113

@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickmart.storage import materialize
+from clickmart.llm.common import materialize
+
 
 # workers need not have the package on their path
 cloudpickle.register_pickle_by_value(clickmart.llm)
@@ -112,7 +113,7 @@ def write_flat(
         _writer(ranks, end, dtype, block),
         "doc_id long, file long, ordinal long, block long, tokens binary",
     )
-    written = materialize(both, "token-files")
+    written = materialize(both, "token-files", "zstd")
     blocks = written.filter("block is not null").select("file", "block", "tokens")
     return blocks, written.filter("ordinal is not null").select("file", "ordinal", "doc_id")
 

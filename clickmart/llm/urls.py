@@ -28,8 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import ascii_lower, local_order, part_of
-from clickmart.storage import materialize
+from clickmart.llm.common import ascii_lower, local_order, materialize, part_of
 
 RULES = (
     ("org", "/", "allow"),
