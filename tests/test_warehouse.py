@@ -243,3 +243,33 @@ def test_one_large_date_is_split_on_write(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert spark.read.parquet(path).select(F.input_file_name()).distinct().count() > 1
     assert spark.read.parquet(path).count() == 300_000
+
+
+def _scans(df, table):
+    """Scans of one file in the plan that ran, shared stages once."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    return len([line for line in final.splitlines() if "FileScan" in line and f"{table}.parquet" in line])
+
+
+def test_daily_sales_reads_the_facts_once(spark, sf):
+    from clickmart.plans import aggregates, dims
+    from clickmart.sources import fixtures
+
+    sold = fixtures.fact_sales(spark, sf)
+    dates = dims.dim_date(dims.date_bounds(fixtures.table(spark, sf, "orders"), "o_orderdate"))
+    products = dims.dim_product(fixtures.product_source(spark, sf))
+    assert _scans(aggregates.daily_sales(sold, dates, products), "lineitem") == 1
+
+
+@pytest.mark.parametrize("name", ["customer_360", "integrity_report", "daily_sales_refresh"])
+def test_order_lines_are_stored_once(spark, sf, name, monkeypatch):
+    """The plan of the result reads the stored facts; only the store reads the lines."""
+    from clickmart import queries
+
+    stored = []
+    keep = queries.materialize
+    monkeypatch.setattr(queries, "materialize", lambda df, label: stored.append(label) or keep(df, label))
+    df = queries.queries()[name](spark, sf)
+    assert stored.count("fact-sales") == 1 and _scans(df, "lineitem") == 0
