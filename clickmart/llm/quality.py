@@ -28,13 +28,13 @@ rows are judged alike; an empty table gives an empty result.
 """
 
 import functools
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import NON_BREAK, let, words
-from clickmart.storage import materialize
+from clickmart.llm.common import NON_BREAK, let, materialize, words
 
 SYMBOLS = r"[^#*$%&|<>]+"
 MIN_WORDS = 50
@@ -48,6 +48,7 @@ CONSISTENCY = 1.486
 #: chi-square quantile 0.9999, 4 degrees of freedom
 CUT = 23.51
 MIN_ROWS = 40
+VECTOR_ROWS = 50_000
 STEPS = 3
 BINS_PER_OCTAVE = 16
 KEYS = ["lang", "source"]
@@ -152,20 +153,18 @@ def _join_small(rows: DataFrame, side: DataFrame, keys: list[str], how: str) ->
     return rows.join(side, _same(keys, others), how).drop(*others)
 
 
-def _places(stats: DataFrame) -> DataFrame:
-    """The group that judges each language and source; written."""
-    counts = (
-        stats.groupBy(*KEYS)
-        .agg(F.count(F.when(~F.col("base_failed"), 1)).alias("n"))
-    )
-    of_lang = F.sum("n").over(W.partitionBy("lang"))
+def _places(stats: DataFrame) -> tuple[DataFrame, int]:
+    """The group that judges each language and source, written; rows that pass the base rules."""
+    passed = F.count(F.when(~F.col("base_failed"), 1))
+    counts = _small(stats.groupBy(*KEYS).agg(passed.alias("n")), "mcd-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
+    of_lang = F.sum("n").over(W.partitionBy("lang"))
     level = (
         F.when(F.col("n") >= MIN_ROWS, 0)
         .when(F.col("of_lang") >= MIN_ROWS, 1)
         .otherwise(2 if total >= MIN_ROWS else 3)
     )
-    return materialize(
+    places = _small(
         counts.withColumn("of_lang", of_lang).select(*KEYS, level.alias("level")).select(
             *KEYS, "level",
             F.when(F.col("level") < 2, F.col("lang")).alias("g_lang"),
@@ -173,10 +172,19 @@ def _places(stats: DataFrame) -> DataFrame:
         ),
         "mcd-places",
     )
+    return places, total
+
+
+def _small(df: DataFrame, label: str) -> DataFrame:
+    """A written table with one row per group, in few files."""
+    return materialize(df.coalesce(8), label)
+
 
+def _grouped(stats: DataFrame, places: DataFrame, total: int) -> DataFrame:
+    """Vectors of the rows that pass the base rules, once per group that they inform; written.
 
-def _grouped(stats: DataFrame, places: DataFrame) -> DataFrame:
-    """Vectors of the rows that pass the base rules, once per group that they inform."""
+    A vector takes a hundredth of its text, so there are fewer partitions than of texts.
+    """
     text = stats.schema["lang"].dataType, stats.schema["source"].dataType
     none = [F.lit(None).cast(t) for t in text]
     groups = F.array(*[
@@ -188,28 +196,9 @@ def _grouped(stats: DataFrame, places: DataFrame) -> DataFrame:
         for level in range(3)
     ])
     rows = stats.filter(~F.col("base_failed")).select(F.inline(groups), *_X)
-    return _join_small(rows, places.select(*GROUP).distinct(), GROUP, "left_semi")
-
-
-def _medians(rows: DataFrame) -> DataFrame:
-    """Exact lower medians per group and coordinate, from counts of the whole values."""
-    long = rows.select(
-        *GROUP,
-        F.posexplode(F.array(*[F.col(x) for x in _X])).alias("dim", "value"),
-    )
-    counts = long.groupBy(*GROUP, "dim", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = W.partitionBy(*GROUP, "dim")
-    upto = F.sum("n").over(w.orderBy("value").rowsBetween(W.unboundedPreceding, 0))
-    return (
-        counts.withColumn("upto", upto)
-        .withColumn("total", F.sum("n").over(w))
-        .filter(2 * F.col("upto") >= F.col("total"))
-        .groupBy(*GROUP)
-        .agg(
-            F.max("total").alias("rows"),
-            *[F.min(F.when(F.col("dim") == i, F.col("value"))).alias(f"m{i}") for i in range(DIMS)],
-        )
-    )
+    informed = _join_small(rows, places.select(*GROUP).distinct(), GROUP, "left_semi")
+    parts = max(1, math.ceil(total / VECTOR_ROWS))
+    return materialize(informed.coalesce(parts), "mcd-vectors")
 
 
 def _factor(params: DataFrame) -> DataFrame:
@@ -286,28 +275,36 @@ def _c_step(rows: DataFrame, params: DataFrame, label: str) -> DataFrame:
         .groupBy(*GROUP, "start")
         .agg(F.sum("n").alias("n"), *[F.sum(t).alias(t) for t in _TOTALS])
     )
-    return materialize(_estimate(totals, CONSISTENCY), label)
-
+    return _small(_estimate(totals, CONSISTENCY), label)
 
-def fit(stats: DataFrame) -> DataFrame:
-    """Centre and factor of the scatter that judge each language and source, written.
 
-    ``stats`` is read once per step; hand in a written table.
-    """
-    places = _places(stats)
-    rows = _grouped(stats, places)
+def _starts(rows: DataFrame) -> DataFrame:
+    """The coordinate-wise median with the floors as scatter, and the classical estimate."""
+    # exact: the values are whole numbers from a bounded range, counted before the shuffle
+    medians = [F.percentile(x, 0.5).alias(f"m{i}") for i, x in enumerate(_X)]
+    totals = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"), *_moments(), *medians)
+    totals = _small(totals, "mcd-totals")
     flat = {f"s{i}{j}": F.lit(0.0) for i, j in _PAIRS}
-    robust = _factor(_medians(rows).withColumns({"start": F.lit(0), **flat})).select(
+    robust = _factor(totals.withColumns({"start": F.lit(0), **flat})).select(
         *GROUP, "start", *_PARAMS
     )
-    totals = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"), *_moments())
     classical = _estimate(totals.withColumn("start", F.lit(1)), 1.0)
-    params = materialize(robust.unionByName(classical), "mcd-start")
+    return _small(robust.unionByName(classical), "mcd-start")
+
+
+def fit(stats: DataFrame) -> DataFrame:
+    """Centre and factor of the scatter that judge each language and source, written.
+
+    The vectors are read once per step; hand in a written table.
+    """
+    places, total = _places(stats)
+    rows = _grouped(stats, places, total)
+    params = _starts(rows)
     for step in range(STEPS):
         params = _c_step(rows, params, f"mcd-{step}")
     first = F.row_number().over(W.partitionBy(*GROUP).orderBy("spread", "start"))
     best = params.withColumn("place", first).filter(F.col("place") == 1)
-    return materialize(
+    return _small(
         _join_small(places, best.select(*GROUP, *_PARAMS), GROUP, "inner").select(*KEYS, *_PARAMS),
         "mcd",
     )

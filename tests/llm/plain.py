@@ -109,7 +109,7 @@ def mcd(vectors, share=0.75, steps=3, unit=64.0, bins=16, consistency=1.486):
     x = np.array(vectors, float)
     n, dims = x.shape
     ridge = np.eye(dims) * unit**2
-    medians = np.sort(x, axis=0)[(n + 1) // 2 - 1]
+    medians = np.median(x, axis=0)
     starts = [(medians, ridge), (x.mean(axis=0), np.cov(x.T, bias=True) + ridge)]
     best = None
     for centre, scatter in starts:
