@@ -2,9 +2,10 @@
 
 1. Labelled rows (those outside the held-out third) are the training set; at most about
    ``TRAIN_ROWS`` of them, drawn by a hash of the id, so the fit is bounded whatever the
-   corpus.  Equal texts count once.
-2. Lexicon: words, and word beginnings that stand for all their continuations, that
-   are far more frequent in toxic training texts than in others.
+   corpus.  Texts whose five-word shingles have the same smallest hash count once, else the
+   rare words of a text that is copied a few times would pass for terms.
+2. Lexicon: words that are far more frequent in toxic training texts than in others,
+   and word beginnings with several such continuations, which stand for all of them.
 3. Matching: the automaton of all words within one edit of a text word is intersected with
    the trie of the lexicon, so misspelled terms (of five letters or more) are found
    without comparing a word with every term.  Words whose first and last half both
@@ -35,7 +36,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.storage import materialize
+from clickmart.llm.common import ascii_lower, let, materialize, words
+
 
 # workers need not have the package on their path
 cloudpickle.register_pickle_by_value(clickmart.llm)
@@ -45,18 +47,21 @@ MAX_TERMS = 4_096
 MIN_DOCS, MIN_SHARE = 3, 0.004
 MIN_LOG_ODDS = 3.0
 FUZZY_LENGTH = 5
-STEMS = (4, 5, 6, 7)
+#: lengths of word beginnings, and continuations in toxic texts that one must have
+STEMS, ENDINGS = (4, 5, 6, 7), 4
 WINDOW = 10
 CUT = 0.7
 MEMO = 200_000
 EDGE = " \t.,;:!?|()[]{}<>*#$%&\"'“”„«»‘’…-"
+#: the same characters as a pattern, and the ASCII blanks
+_CUTS = "[" + "".join("\\" + c for c in EDGE) + r"\n\x0B\f\r]+"
 OPENING, CLOSING = "“„«\"‘", "”“»\"’"
 #: fixed values: words that report what somebody else said
 REPORTING = frozenset(
     "said says wrote writes called calls quoted quote quotes reported sagte schrieb nannte "
     "zitat dit écrit appelle citation dijo escribió llamó cita".split()
 )
-FEATURES = ("terms", "plain", "weight", "fuzzy", "quoted", "dense", "rate")
+FEATURES = ("terms", "plain", "weight", "fuzzy", "quoted", "dense")
 
 Lexicon = dict[str, float]
 
@@ -205,8 +210,7 @@ def features(text, match: Matcher) -> list[float]:
             plain += 1
             weight = max(weight, odds)
     distinct = len({w for _, w, _, _ in hits})
-    rate = 100.0 * len(hits) / len(tokens)
-    return [*map(math.log1p, (distinct, plain, weight, fuzzy, quoted, dense, rate))]
+    return [*map(math.log1p, (distinct, plain, weight, fuzzy, quoted, dense))]
 
 
 # ---------------------------------------------------------------- learning
@@ -229,26 +233,47 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text").join(
         F.broadcast(drawn), F.col("doc_id") == F.col("label_id")
     )
+    shingles = let(
+        words(ascii_lower(F.col("text"))),
+        lambda w: F.when(
+            F.size(w) >= 5,
+            F.transform(F.sequence(F.lit(1), F.size(w) - 4), lambda i: F.xxhash64(F.slice(w, i, 5))),
+        ).otherwise(F.array(F.xxhash64(w))),
+    )
+    keyed = materialize(rows.select("text", "toxic", F.array_min(shingles).alias("key")), "toxic-drawn")
     return materialize(
-        rows.groupBy(F.md5("text").alias("key")).agg(
-            F.first("text").alias("text"), F.max("toxic").alias("toxic")
+        keyed.groupBy("key").agg(
+            F.min_by("text", F.md5("text")).alias("text"), F.max("toxic").alias("toxic")
         ).select("text", "toxic"),
         "toxic-train",
     )
 
 
-def _document_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Distinct words and stems of each text."""
-    for batch in batches:
-        rows = []
-        for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-            own = {w for w in map(clean_word, text_words(text)) if len(w) > 2}
-            rows += [(w, False, int(toxic)) for w in own]
-            rows += [(s, True, int(toxic)) for s in {w[:n] for w in own for n in STEMS if len(w) > n}]
-            if len(rows) > 100_000:
-                yield pd.DataFrame(rows, columns=["term", "stem", "toxic"])
-                rows = []
-        yield pd.DataFrame(rows, columns=["term", "stem", "toxic"])
+def _counts(train: DataFrame) -> DataFrame:
+    """term, stem, bad, good: texts of each class that hold a word; a stem adds up its words."""
+    toxic = F.col("toxic") == 1
+    own = F.array_distinct(F.split(F.lower("text"), _CUTS))
+    held = train.select(toxic.alias("toxic"), F.explode(own).alias("term")).filter(
+        F.length("term") > 2
+    )
+    counted = held.groupBy("term").agg(
+        F.count(F.when(F.col("toxic"), 1)).alias("bad"), F.count(F.when(~F.col("toxic"), 1)).alias("good")
+    )
+    stems = F.transform(
+        F.filter(F.array(*[F.lit(n) for n in STEMS]), lambda n: n < F.length("term")),
+        lambda n: F.substring(F.col("term"), F.lit(1), n),
+    )
+    by_stem = (
+        counted.select(F.explode(stems).alias("term"), "bad", "good")
+        .groupBy("term")
+        .agg(
+            F.sum("bad").alias("bad"), F.sum("good").alias("good"),
+            F.count(F.when(F.col("bad") > 0, 1)).alias("endings"),
+        )
+        .filter(F.col("endings") >= ENDINGS)
+        .drop("endings")
+    )
+    return counted.withColumn("stem", F.lit(False)).unionByName(by_stem.withColumn("stem", F.lit(True)))
 
 
 def lexicon(train: DataFrame) -> tuple[Lexicon, Lexicon]:
@@ -260,16 +285,15 @@ def lexicon(train: DataFrame) -> tuple[Lexicon, Lexicon]:
     if not sizes.bad or not sizes.good:
         return {}, {}
     least = max(MIN_DOCS, math.ceil(MIN_SHARE * sizes.bad))
-    counts = (
-        train.mapInPandas(_document_words, "term string, stem boolean, toxic int")
-        .groupBy("term", "stem")
-        .agg(F.count(F.when(toxic, 1)).alias("bad"), F.count(F.when(~toxic, 1)).alias("good"))
-    )
+    counts = _counts(train)
     odds = F.log(
         (F.col("bad") + 0.5) / (sizes.bad + 1) / ((F.col("good") + 0.5) / (sizes.good + 1))
     )
-    chosen = counts.withColumn("odds", odds).filter(
-        (F.col("bad") >= least) & (F.col("odds") >= MIN_LOG_ODDS) & (F.col("bad") >= 4 * F.col("good"))
+    chosen = materialize(
+        counts.withColumn("odds", odds).filter(
+            (F.col("bad") >= least) & (F.col("odds") >= MIN_LOG_ODDS) & (F.col("bad") >= 4 * F.col("good"))
+        ),
+        "toxic-terms",
     )
     found = []
     for stem in (False, True):
