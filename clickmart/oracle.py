@@ -571,6 +571,10 @@ def statements() -> dict[str, str]:
             """SELECT event_id, user_id, session_seq, session_id FROM sessioned
                WHERE day <= DATE '2024-01-06'""",
         ),
+        "late_events_all": _with(
+            "sessioned",
+            "SELECT event_id, user_id, session_seq, session_id FROM sessioned",
+        ),
         "stream_record_count": "SELECT count(*) AS records, count(*) AS delivered FROM events",
         "stream_enrich": _ENRICHED,
         "stream_raw_delivery": _with(

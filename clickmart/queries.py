@@ -197,27 +197,43 @@ def rejected_lines(spark, sf_dir):
     )
 
 
-@_query
-def late_events(spark, sf_dir):
-    """Events delivered up to six days late or early; daily runs keep every one."""
+def _late_lake(spark, sf_dir):
+    """All events, delivered up to six days late or early; each run sees what came by its day."""
     path, root = scratch_path(spark, "late-raw"), scratch_path(spark, "late-lake")
     shift = (F.col("event_id").cast("bigint") % 13 - 6).cast("int")
     day = F.to_date(F.timestamp_millis("timestamp"))
-    first, last = F.lit("2024-01-01").cast("date"), F.lit("2024-01-06").cast("date")
+    first, last = F.lit("2024-01-01").cast("date"), F.lit(fixtures.EVENTS_AS_OF).cast("date")
     delivered = F.greatest(first, F.least(last, F.date_add(day, shift)))
     fields = {"year": "yyyy", "month": "MM", "day": "dd"}
-    events = fixtures.raw_events(spark, sf_dir).filter(day <= last)
-    events.withColumns({k: F.date_format(delivered, f) for k, f in fields.items()}).write.partitionBy(
-        *fields
-    ).json(path)
-    layout = nightly.Layout(root)
-    for n in (2, 4, 6):
-        nightly.curate(spark, path, layout, f"2024-01-0{n}", "2024-01-01" if n == 2 else None)
-    return layout.read(spark, "curated/events", S.CURATED_EVENT).select(
+    events = fixtures.raw_events(spark, sf_dir)
+    layout, before = nightly.Layout(root), None
+    for as_of in ("2024-01-04", "2024-01-17", fixtures.EVENTS_AS_OF):
+        came = delivered <= F.lit(as_of).cast("date")
+        if before:
+            came &= delivered > F.lit(before).cast("date")
+        events.filter(came).withColumns(
+            {k: F.date_format(delivered, f) for k, f in fields.items()}
+        ).write.mode("append").partitionBy(*fields).json(path)
+        nightly.curate(spark, path, layout, as_of, None if before else "2024-01-01")
+        before = as_of
+    return layout.read(spark, "curated/events", S.CURATED_EVENT)
+
+
+@_query
+def late_events(spark, sf_dir):
+    """The days its SQL twin compares, from runs over the whole table."""
+    compared = F.col("date") <= F.lit("2024-01-06").cast("date")
+    return _late_lake(spark, sf_dir).filter(compared).select(
         "event_id", "user_id", "session_seq", "session_id"
     )
 
 
+@_query
+def late_events_all(spark, sf_dir):
+    """Every event of the table after runs that met it late or early."""
+    return _late_lake(spark, sf_dir).select("event_id", "user_id", "session_seq", "session_id")
+
+
 # --- sessions ----------------------------------------------------------------
 
 
