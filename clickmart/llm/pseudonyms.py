@@ -7,7 +7,8 @@ key, the kind and the value alone: equal values get equal pseudonyms in every do
 different values of a kind different ones, and the key holder can undo it.
 
 kind   validated by                         permuted within
-card   13 to 19 digits, Luhn                all digits but the last; Luhn digit set anew
+card   13 to 19 digits, Luhn, also beside   all digits but the last; Luhn digit set anew
+       other digit groups
 phone  +1 and ten digits                    800 areas x 800 exchanges x 10,000 lines; numbers
                                             that no exchange has, among their like
 ssn    area 001-665, group, serial not 0    665 areas x 99 groups x 9,999 serials
@@ -37,7 +38,20 @@ PHONE = r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
 DATE = r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
-CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
+_GROUP = r"[0-9]++(?![A-Za-z])"
+#: digit groups from 13 digits on, up to the next value of another kind
+CARD = (
+    rf"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){{12}}){_GROUP}"
+    rf"(?:(?! (?:{PHONE}|{DATE}|{SSN}|{IP}))[ -]{_GROUP})*+"
+)
+#: how one card is written among such groups, the surest form first
+BARE = r"(?<![0-9])[0-9]{13,19}(?![0-9])"
+GROUPED = "|".join(
+    rf"[0-9]{{{sizes[0]}}}" + "".join(rf"{sep}[0-9]{{{n}}}" for n in sizes[1:])
+    for sizes in ((4, 4, 4, 4, 3), (4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 5))
+    for sep in " -"
+)
+LONGEST = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 ANY = "|".join([EMAIL, PHONE, DATE, SSN, IP, CARD])
 KINDS = ["email", "phone", "date", "ssn", "ip", "card"]
 FIRST_DAY = "1800-01-01"
@@ -108,11 +122,10 @@ def _padded(number: Column, width) -> Column:
     return F.lpad(number.cast("string"), width, "0")
 
 
-def _card(value: Column, key: str, undo: bool) -> Column:
+def _one_card(value: Column, key: str, undo: bool) -> Column:
     def swap(digits):
         n = F.length(digits)
         body = F.substring(digits, F.lit(1), n - 1)
-        valid = _check_digit(body) == F.substring(digits, n, F.lit(1))
         split = ((n - 1) / 2).cast("int")
         size = lambda k: F.pow(F.lit(10.0), k).cast("long")
         moved = feistel(
@@ -120,15 +133,76 @@ def _card(value: Column, key: str, undo: bool) -> Column:
             F.substring(body, split + 1, n).cast("long"),
             size(split), size(n - 1 - split), key, "card", undo,
         )
-        fresh = let(
+        return let(
             let(moved, lambda s: F.concat(_padded(s["l"], split), _padded(s["r"], n - 1 - split))),
             lambda b: F.concat(b, _check_digit(b)),
         )
-        return F.when(valid, fresh).otherwise(digits)
 
     return _refill(value, let(_digits(value), swap))
 
 
+def _luhn(value: Column) -> Column:
+    def valid(digits):
+        n = F.length(digits)
+        return _check_digit(F.substring(digits, F.lit(1), n - 1)) == F.substring(digits, n, F.lit(1))
+
+    return let(_digits(value), valid)
+
+
+def _spot(card: Column) -> Column:
+    return F.concat(F.lit("(?<![0-9])"), card, F.lit("(?![0-9])"))
+
+
+def _cards(value: Column) -> Column:
+    """The valid cards among the digit groups of ``value``: struct of them and of their number.
+
+    Bare digits come first, then the usual groupings at any place, then the longest run of
+    13 to 19 digits, and last the runs that begin or end with it.
+    """
+    every = lambda pattern, i=0: F.regexp_extract_all(value, F.lit(pattern), F.lit(i))
+
+    def shorter(run):
+        part = lambda pattern: F.regexp_extract(run, pattern, 1)
+        return F.array(*[
+            part(pattern) for n in range(18, 12, -1)
+            for pattern in (
+                rf"^([0-9](?:[ -]?[0-9]){{{n - 1}}})[ -]", rf"[ -]([0-9](?:[ -]?[0-9]){{{n - 1}}})$",
+            )
+        ])
+
+    def chosen(candidates):
+        start = F.struct(
+            value.alias("rest"), F.array().cast("array<string>").alias("cards"), F.lit(0).alias("n")
+        )
+
+        def take(state, card):
+            times = F.regexp_count(state["rest"], _spot(card))
+            return F.when(times > 0, F.struct(
+                F.regexp_replace(state["rest"], _spot(card), F.lit("x")).alias("rest"),
+                F.concat(state["cards"], F.array(card)).alias("cards"),
+                (state["n"] + times).alias("n"),
+            )).otherwise(state)
+
+        return F.aggregate(F.filter(candidates, lambda c: (c != "") & _luhn(c)), start, take)
+
+    candidates = let(every(LONGEST), lambda runs: F.array_distinct(F.concat(
+        every(BARE), every(rf"(?<![0-9])(?=((?:{GROUPED})(?![0-9])))", 1), runs,
+        F.flatten(F.transform(runs, shorter)),
+    )))
+    return let(candidates, chosen)
+
+
+def _card(value: Column, key: str, undo: bool) -> Column:
+    # what is done is held in letters, so that no later card meets its digits
+    def put(text, card):
+        fresh = F.translate(_one_card(card, key, undo), "0123456789", "abcdefghij")
+        return F.regexp_replace(text, _spot(card), fresh)
+
+    return F.aggregate(
+        _cards(value)["cards"], value, put, lambda text: F.translate(text, "abcdefghij", "0123456789")
+    )
+
+
 def _phone(value: Column, key: str, undo: bool) -> Column:
     """Numbers that can be dialled stay so; the others move among their like."""
 
@@ -237,7 +311,13 @@ def digest(docs: DataFrame, key: str = KEY) -> DataFrame:
     changed = F.filter(
         F.arrays_zip("found", "swapped"), lambda x: x["found"] != x["swapped"]
     )
-    kinds = F.transform(changed, lambda x: kind_of(x["found"]))
+
+    def kinds_of(found):
+        return let(kind_of(found), lambda kind: F.array_repeat(
+            kind, F.when(kind == "card", _cards(found)["n"]).otherwise(1)
+        ))
+
+    kinds = F.flatten(F.transform(changed, lambda x: kinds_of(x["found"])))
 
     def count(name: str) -> Column:
         own = F.size(F.filter("kinds", lambda k: k == name))

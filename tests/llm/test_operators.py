@@ -202,6 +202,28 @@ def test_pseudonyms_round_trip(spark):
     assert restored.replace(mail, "bosbt.42@mail8.example.com") == PRIVATE
 
 
+def test_cards_beside_short_numbers(spark):
+    beside = [
+        "card 4111111111111111 12/27", "4111111111111111 123", "7 4111111111111111", "12 4111111111111111 345",
+        "4111111111111111 5500000000000004", "1234 4111 1111 1111 1111", "4111-1111-1111-1111 123",
+        "4111 11111111 1111 123", "4111111111111111 12a", "4111111111111111 123-45-6789",
+    ]
+    df = frame(spark, [*enumerate(beside), (99, "only 4111111111111111"), (100, "no 4111111111111112 12")])
+    rows = {r.doc_id: r for r in pseudonyms.digest(df).collect()}
+    card = rows[99].text.removeprefix("only ")
+    assert plain.luhn(card) and card != "4111111111111111"
+    written = {
+        0: f"card {card} 12/27", 1: f"{card} 123", 2: f"7 {card}", 3: f"12 {card} 345", 8: f"{card} 12a",
+        5: "1234 " + " ".join(card[i : i + 4] for i in range(0, 16, 4)),
+        6: "-".join(card[i : i + 4] for i in range(0, 16, 4)) + " 123",
+        7: f"{card[:4]} {card[4:12]} {card[12:]} 123", 100: "no 4111111111111112 12",
+    }
+    assert {i: rows[i].text for i in written} == written
+    assert rows[4].text.startswith(f"{card} ") and "5500000000000004" not in rows[4].text
+    assert rows[9].text.startswith(f"{card} ") and "123-45-6789" not in rows[9].text
+    assert [rows[i].n_card for i in range(10)] == [1, 1, 1, 1, 2, 1, 1, 1, 1, 1] and rows[9].n_ssn == 1
+
+
 def test_feistel_is_a_permutation(spark):
     F = pseudonyms.F
     df = spark.range(30 * 7).select(
