@@ -9,12 +9,18 @@ different values of a kind different ones, and the key holder can undo it.
 kind   validated by                         permuted within
 card   13 to 19 digits, Luhn, also beside   all digits but the last; Luhn digit set anew
        other digit groups
-phone  +1 and ten digits                    800 areas x 800 exchanges x 10,000 lines; numbers
-                                            that no exchange has, among their like
-ssn    area 001-665, group, serial not 0    665 areas x 99 groups x 9,999 serials
+phone  North America: ten digits with +1,   800 areas x 800 exchanges x 10,000 lines; numbers
+       1 or neither, in groups              that no exchange has, among their like
+       + and a country code, or a trunk 0,  numbers of that length behind the code or the 0
+       in groups
+ssn    area 001-899 without 666, group,     898 areas x 99 groups x 9,999 serials
+       serial not 0
 ip     four octets to 255                   2^32 addresses
-date   real day from 1800 to 2158, ISO or   2^17 days, written in the same form
-       day/month/year
+date   real day from 1800 to 2158, ISO,     2^17 days, written in the same form
+       day/month/year or day.month.year
+       to 2199, with one-digit day or       400 years x the days that are written so
+       month, or month/day/year where
+       day/month/year is no day
 email  -                                    the part before @ by a keyed digest
 
 Separators stay where they are.  What does not validate stays as it is.  E-mail addresses
@@ -34,11 +40,35 @@ KEY = "change me"
 ROUNDS = 10
 #: fixed values: how personal numbers and dates are written
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-PHONE = r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
-DATE = r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-])"
+#: usual groupings of a card, with one separator
+GROUPED = "|".join(
+    rf"[0-9]{{{sizes[0]}}}" + "".join(rf"{sep}[0-9]{{{n}}}" for n in sizes[1:])
+    for sizes in ((4, 4, 4, 4, 3), (4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 5))
+    for sep in " -"
+)
+_NATIONAL = r"[2-9][0-9]{2}"
+#: +1; other countries; North America without +1; numbers that begin with a trunk 0
+PHONE = "|".join([
+    r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
+    r"\+[2-9][0-9]{0,2}(?:[ ./-]?\(?[0-9]\)?){6,13}(?![0-9])",
+    r"(?<![0-9A-Za-z./+-])(?:1[ .-])?(?:"
+    + "|".join(
+        [rf"\({_NATIONAL}\) ?{_NATIONAL}[ .-][0-9]{{4}}"]
+        + [rf"{_NATIONAL}{sep}{_NATIONAL}{sep}[0-9]{{4}}" for sep in ("-", r"\.", " ")]
+    )
+    + r")(?![0-9A-Za-z]|[.-][0-9])",
+    rf"(?<![0-9A-Za-z./+-])(?!(?:{GROUPED})(?![0-9A-Za-z]))(?:"
+    r"0[1-9](?:(?: [0-9]{2}){4}|(?:\.[0-9]{2}){4}|(?:-[0-9]{2}){4})"
+    r"|(?:\(0[1-9][0-9]{1,3}\) ?|0[1-9][0-9]{1,3}[ /-])(?:[0-9]{3,4}[ -][0-9]{3,4}|[0-9]{5,8})"
+    r")(?![0-9A-Za-z]|[.-][0-9])",
+])
+DATE = (
+    r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
+    r"|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}(?!\.[0-9]))(?![0-9/-])"
+)
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
-_GROUP = r"[0-9]++(?![A-Za-z])"
+_GROUP = rf"(?:(?:{GROUPED})(?![0-9A-Za-z])|[0-9]++(?![A-Za-z]))"
 #: digit groups from 13 digits on, up to the next value of another kind
 CARD = (
     rf"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){{12}}){_GROUP}"
@@ -46,15 +76,13 @@ CARD = (
 )
 #: how one card is written among such groups, the surest form first
 BARE = r"(?<![0-9])[0-9]{13,19}(?![0-9])"
-GROUPED = "|".join(
-    rf"[0-9]{{{sizes[0]}}}" + "".join(rf"{sep}[0-9]{{{n}}}" for n in sizes[1:])
-    for sizes in ((4, 4, 4, 4, 3), (4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 5))
-    for sep in " -"
-)
 LONGEST = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 ANY = "|".join([EMAIL, PHONE, DATE, SSN, IP, CARD])
 KINDS = ["email", "phone", "date", "ssn", "ip", "card"]
 FIRST_DAY = "1800-01-01"
+FIRST_YEAR, YEARS = 1800, 400
+#: country codes of one and two digits; the others have three
+COUNTRY = r"^(7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 
 
 def _keyed(key: str, *parts) -> Column:
@@ -203,12 +231,12 @@ def _card(value: Column, key: str, undo: bool) -> Column:
     )
 
 
-def _phone(value: Column, key: str, undo: bool) -> Column:
+def _american(value: Column, key: str, undo: bool) -> Column:
     """Numbers that can be dialled stay so; the others move among their like."""
 
-    def swap(digits):  # 1, area, exchange, line
-        area = F.substring(digits, 2, 3).cast("long")
-        rest = F.substring(digits, 5, 7).cast("long")
+    def swap(digits):  # area, exchange, line
+        area = F.substring(digits, 1, 3).cast("long")
+        rest = F.substring(digits, 4, 7).cast("long")
         no_area, no_exchange = area < 200, rest < 2_000_000
         low_area = F.when(no_area, 0).otherwise(200)
         low_rest = F.when(no_area | no_exchange, 0).otherwise(2_000_000)
@@ -216,24 +244,62 @@ def _phone(value: Column, key: str, undo: bool) -> Column:
         rests = F.when(no_area, 10_000_000).when(no_exchange, 2_000_000).otherwise(8_000_000)
         moved = feistel(area - low_area, rest - low_rest, areas, rests, key, "phone", undo)
         return let(moved, lambda s: F.concat(
-            F.lit("1"), _padded(s["l"] + low_area, 3), _padded(s["r"] + low_rest, 7)
+            _padded(s["l"] + low_area, 3), _padded(s["r"] + low_rest, 7)
         ))
 
+    digits = _digits(value)
+    # the country's 1 is or is not written
+    return _refill(value, let(digits, lambda d: F.concat(
+        F.substring(d, F.lit(1), F.length(d) - 10), swap(F.right(d, F.lit(10)))
+    )))
+
+
+def _abroad(value: Column, key: str, undo: bool) -> Column:
+    """Country code or trunk 0 stay; the others move within their length, a leading 0 stays one."""
+
+    def swap(digits):
+        code = F.when(value.startswith("+"), F.regexp_extract(digits, COUNTRY, 1)).otherwise("0")
+
+        def move(code):
+            own = F.substring(digits, F.length(code) + 1, F.length(digits))
+            n = F.length(own)
+            split = (n / 2).cast("int")
+            power = lambda k: F.pow(F.lit(10.0), k).cast("long")
+            left = F.substring(own, F.lit(1), split).cast("long")
+            low = F.when(own.startswith("0"), F.lit(0).cast("long")).otherwise(power(split - 1))
+            size = F.when(own.startswith("0"), power(split - 1)).otherwise(9 * power(split - 1))
+            moved = feistel(
+                left - low, F.substring(own, split + 1, n).cast("long"), size, power(n - split),
+                f"{key}:abroad", "phone", undo,
+            )
+            return let(moved, lambda s: F.concat(
+                code, _padded(s["l"] + low, split), _padded(s["r"], n - split)
+            ))
+
+        return let(code, move)
+
     return _refill(value, let(_digits(value), swap))
 
 
+def _phone(value: Column, key: str, undo: bool) -> Column:
+    american = value.startswith("+1") | value.rlike(r"^(?:1[ .-])?\(?[2-9]")
+    return F.when(american, _american(value, key, undo)).otherwise(_abroad(value, key, undo))
+
+
 def _ssn(value: Column, key: str, undo: bool) -> Column:
     def swap(digits):
         area, group, serial = (
             F.substring(digits, at, n).cast("long") for at, n in ((1, 3), (4, 2), (6, 4))
         )
         rest = (group - 1) * 9_999 + serial - 1
-        moved = feistel(area - 1, rest, F.lit(665), F.lit(99 * 9_999), key, "ssn", undo)
+        place = area - F.when(area > 666, 2).otherwise(1)
+        moved = feistel(place, rest, F.lit(898), F.lit(99 * 9_999), key, "ssn", undo)
         fresh = let(moved, lambda s: F.concat(
-            _padded(s["l"] + 1, 3),
+            _padded(s["l"] + F.when(s["l"] < 665, 1).otherwise(2), 3),
             _padded(F.floor(s["r"] / 9_999) + 1, 2), _padded(s["r"] % 9_999 + 1, 4),
         ))
-        return F.when(area.between(1, 665) & (group > 0) & (serial > 0), fresh).otherwise(digits)
+        valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
+        return F.when(valid, fresh).otherwise(digits)
 
     return _refill(value, let(_digits(value), swap))
 
@@ -251,20 +317,94 @@ def _ip(value: Column, key: str, undo: bool) -> Column:
     return let(F.split(value, r"\."), swap)
 
 
-def _date(value: Column, key: str, undo: bool) -> Column:
-    iso = value.contains("-")
-    day = F.when(iso, F.try_to_date(value, "yyyy-MM-dd")).otherwise(F.try_to_date(value, "dd/MM/yyyy"))
+def _day_number(found: Column, key: str, undo: bool) -> Column:
+    """Another day of the 2^17 from ``FIRST_DAY`` on; null for days beyond them."""
+    first = F.lit(FIRST_DAY).cast("date")
 
-    def swap(found):
-        n = F.datediff(found, F.lit(FIRST_DAY).cast("date")).cast("long")
+    def swap(n):
         moved = feistel(F.floor(n / 256), n % 256, F.lit(512), F.lit(256), key, "date", undo)
-        fresh = let(moved, lambda s: F.date_add(
-            F.lit(FIRST_DAY).cast("date"), (s["l"] * 256 + s["r"]).cast("int")
-        ))
-        written = F.when(iso, F.date_format(fresh, "yyyy-MM-dd")).otherwise(F.date_format(fresh, "dd/MM/yyyy"))
-        return F.when(found.isNotNull() & n.between(0, 2**17 - 1), written).otherwise(value)
+        return F.when(n.between(0, 2**17 - 1), let(moved, lambda s: F.date_add(
+            first, (s["l"] * 256 + s["r"]).cast("int")
+        )))
+
+    return let(F.datediff(found, first).cast("long"), swap)
+
+
+def _short_date(value: Column, key: str, undo: bool) -> Column:
+    """Dates with one-digit days or months or with the month first, among those written alike.
+
+    A year moves among 400, month and day among those that the width of both allows (and,
+    month first, that can't be read day first); 29 February stays one in another leap year.
+    """
+    days = [31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31]
+    every = [(m + 1, d + 1) for m in range(12) for d in range(days[m])]
+    leaps = [
+        y for y in range(FIRST_YEAR, FIRST_YEAR + YEARS) if y % 4 == 0 and (y % 100 or y % 400 == 0)
+    ]
+
+    def listed(keep):
+        return F.array(*[F.lit(100 * m + d) for m, d in every if keep(m, d)])
+
+    def swap(part):
+        one, two, year = (F.get(part, F.lit(i)) for i in range(3))
+        real = lambda m, d: F.try_to_date(
+            F.concat_ws("-", year, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd"
+        ).isNotNull()
+        day_first = real(two, one)
+        month_first = ~day_first & value.contains("/") & real(one, two)
+        month, day = (F.when(day_first, x).otherwise(y) for x, y in ((two, one), (one, two)))
+        short_month, short_day = F.length(month) == 1, F.length(day) == 1
+        among = (
+            F.when(month_first & short_month, listed(lambda m, d: d > 12 and m < 10))
+            .when(month_first, listed(lambda m, d: d > 12))
+            .when(short_month & short_day, listed(lambda m, d: d < 10 and m < 10))
+            .when(short_month, listed(lambda m, d: m < 10))
+            .otherwise(listed(lambda m, d: d < 10))
+        )
+        kind = F.concat_ws(
+            "-", F.when(month_first, "month").otherwise("day"), F.length(month), F.length(day)
+        )
+
+        def move(among):
+            spot = F.array_position(among, (month.cast("int") * 100 + day.cast("int")))
+            leap = spot == 0
+            at = F.array_position(F.array(*[F.lit(y) for y in leaps]), year.cast("int"))
+            moved = feistel(
+                F.when(leap, at - 1).otherwise(year.cast("long") - FIRST_YEAR),
+                F.when(leap, 0).otherwise(spot - 1),
+                F.when(leap, len(leaps)).otherwise(YEARS), F.when(leap, 1).otherwise(F.size(among)),
+                key, kind, undo,
+            )
+
+            def write(s):
+                years = F.when(leap, F.get(F.array(*[F.lit(y) for y in leaps]), s["l"].cast("int")))
+                new = F.when(leap, 229).otherwise(F.get(among, s["r"].cast("int")))
+                m = _padded(F.floor(new / 100), 2)
+                d = _padded(new % 100, 2)
+                m, d = F.right(m, F.length(month)), F.right(d, F.length(day))
+                sign = F.when(value.contains("/"), "/").otherwise(".")
+                return F.concat(
+                    F.when(day_first, d).otherwise(m), sign, F.when(day_first, m).otherwise(d), sign,
+                    F.coalesce(years, (s["l"] + FIRST_YEAR).cast("int")).cast("string"),
+                )
 
-    return let(day, swap)
+            return let(moved, write)
+
+        valid = (day_first | month_first) & year.cast("int").between(FIRST_YEAR, FIRST_YEAR + YEARS - 1)
+        return F.when(valid, let(among, move)).otherwise(value)
+
+    return let(F.split(value, "[/.]"), swap)
+
+
+def _date(value: Column, key: str, undo: bool) -> Column:
+    out = F.when(value.contains("-"), F.coalesce(
+        F.date_format(_day_number(F.try_to_date(value, "yyyy-MM-dd"), key, undo), "yyyy-MM-dd"), value
+    ))
+    for form in ("dd/MM/yyyy", "dd.MM.yyyy"):
+        found = F.when(F.length(value) == 10, F.try_to_date(value, form))
+        moved = F.date_format(_day_number(found, key, undo), form)
+        out = out.when(found.isNotNull(), F.coalesce(moved, value))
+    return out.otherwise(_short_date(value, key, undo))
 
 
 def _email(value: Column, key: str) -> Column:
@@ -274,7 +414,7 @@ def _email(value: Column, key: str) -> Column:
 
 def kind_of(value: Column) -> Column:
     kind = F.when(value.contains("@"), "email").when(value.startswith("+"), "phone")
-    for name, pattern in (("date", DATE), ("ssn", SSN), ("ip", IP)):
+    for name, pattern in (("phone", PHONE), ("date", DATE), ("ssn", SSN), ("ip", IP)):
         kind = kind.when(value.rlike(f"^(?:{pattern})$"), name)
     return kind.otherwise("card")
 

@@ -224,6 +224,36 @@ def test_cards_beside_short_numbers(spark):
     assert [rows[i].n_card for i in range(10)] == [1, 1, 1, 1, 2, 1, 1, 1, 1, 1] and rows[9].n_ssn == 1
 
 
+def test_values_in_other_forms(spark):
+    values = [
+        "667-12-3456", "899-01-0001", "665-01-0001", "(743) 555-3824", "743-555-3824", "743.555.3824", "743 555 3824",
+        "+44 20 7946 0958", "+49 (0)30 1234567", "+33 1 23 45 67 89", "01 23 45 67 89", "030/1234567",
+        "(020) 7946 0958", "03/25/1984", "3/25/1984", "25.03.1984", "3/5/1984", "3.5.1984", "3/10/1984",
+        "25/3/1984", "29/2/1984", "02/29/1984", "10/31/1984",
+    ]
+    left = ["666-12-3456", "900-12-3456", "000-12-3456", "31/31/1984", "29/2/1985", "30.02.1984", "1.2.3"]
+    df = frame(spark, list(enumerate(f"is {v} here" for v in values + left)))
+    rows = {r.doc_id: r.text for r in pseudonyms.digest(df).collect()}
+    shape = lambda text: "".join("9" if c.isdigit() else c for c in text)
+    for i, v in enumerate(values):
+        assert rows[i] != f"is {v} here" and shape(rows[i]) == shape(f"is {v} here"), v
+    assert [rows[len(values) + i] for i in range(len(left))] == [f"is {v} here" for v in left]
+    back = frame(spark, sorted(rows.items()))
+    for r in pseudonyms._swapped(back, pseudonyms.KEY, undo=True).select("doc_id", "fresh").collect():
+        assert r.fresh == f"is {(values + left)[r.doc_id]} here"
+
+
+def test_dates_of_one_form_are_permuted(spark):
+    F = pseudonyms.F
+    day = F.expr("date_add(date'1800-01-01', cast(id as int))")
+    dates = spark.range(20_000).select(
+        F.when(F.dayofmonth(day) > 12, F.date_format(day, "M/d/yyyy")).otherwise(F.date_format(day, "d/M/yyyy")).alias("v")
+    ).distinct()
+    rows = dates.select("v", pseudonyms.pseudonym(F.col("v")).alias("p"))
+    found = rows.agg(F.count("v").alias("n"), F.countDistinct("p").alias("d")).first()
+    assert found.n == found.d and rows.filter("v != p").count() > 0.99 * found.n
+
+
 def test_feistel_is_a_permutation(spark):
     F = pseudonyms.F
     df = spark.range(30 * 7).select(
