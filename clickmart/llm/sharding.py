@@ -14,7 +14,7 @@ The driver holds the matrix only, partitions x shards integers; no row passes it
 A shard is never in one task: its cells are.
 
 Nulls and edges: rows with null id or null text are sharded like others; a null
-text has size 8 and null crc; equal rows differ in nothing and get different slots;
+text has size 8 and null crc; equal rows are dealt independently by their places;
 empty input gives an empty result; with fewer rows than shards some shards stay
 empty.  Further columns are carried, whatever their names.
 """
@@ -97,13 +97,12 @@ def shuffle(
 ) -> DataFrame:
     """``df`` with shard (int, 0 to shards - 1) and slot (long, gapless from 0).
 
-    ``keys`` seed the local permutation; rows that agree in them stay adjacent in
-    their partition, the second permutation separates them.
+    ``keys`` and the row's place seed the local permutation: copies of a row are dealt
+    independently of each other.
     """
     spark = df.sparkSession
-    rows = df.select(
-        F.struct("*").alias("doc"), F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]).alias("key")
-    )
+    own = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys], F.monotonically_increasing_id())
+    rows = df.select(F.struct("*").alias("doc"), own.alias("key"))
     placed = materialize(local_order(rows, ["key"], "at").drop("key"), "shard-local")
     # one row per partition
     counted = placed.groupBy(part_of(F.col("at")).alias("part")).agg(F.count(F.lit(1)).alias("n"))

@@ -76,6 +76,15 @@ def test_slots_are_gapless_over_cells(spark):
         assert abs(np.corrcoef(range(750), ids)[0, 1]) < 0.15
 
 
+def test_copies_are_dealt_independently(spark):
+    df = spark.range(0, 4800, numPartitions=2).select((pseudonyms.F.col("id") / 2).cast("long").alias("doc_id"))
+    shards: dict = {}
+    for r in sharding.shuffle(df, ["doc_id"]).collect():
+        shards.setdefault(r.doc_id, []).append(r.shard)
+    together = sum(a == b for a, b in shards.values())
+    assert len(shards) == 2400 and 50 < together < 160  # 100 in a uniform shuffle
+
+
 # ------------------------------------------------------------------ 2 quality
 
 
