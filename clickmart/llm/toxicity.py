@@ -2,8 +2,8 @@
 
 1. Labelled rows (those outside the held-out third) are the training set; at most about
    ``TRAIN_ROWS`` of them, drawn by a hash of the id, so the fit is bounded whatever the
-   corpus.  Texts whose five-word shingles have the same smallest hash count once, else the
-   rare words of a text that is copied a few times would pass for terms.
+   corpus.  Equal texts and near copies (groups of ``minhash``, confirmed at 0.75) of one label
+   count once, else the rare words of a text that is copied a few times would pass for terms.
 2. Lexicon: words that are far more frequent in toxic training texts than in others,
    and word beginnings with several such continuations, which stand for all of them.
 3. Matching: the automaton of all words within one edit of a text word is intersected with
@@ -36,7 +36,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import ascii_lower, let, materialize, words
+from clickmart.llm import minhash
+from clickmart.llm.common import materialize
 
 
 # workers need not have the package on their path
@@ -222,7 +223,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, toxic of the drawn training rows, equal texts once; written."""
+    """text, toxic of the drawn training rows, near copies of one label once; written."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     known = known.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = materialize(known, "toxic-labels")
@@ -233,18 +234,15 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text").join(
         F.broadcast(drawn), F.col("doc_id") == F.col("label_id")
     )
-    shingles = let(
-        words(ascii_lower(F.col("text"))),
-        lambda w: F.when(
-            F.size(w) >= 5,
-            F.transform(F.sequence(F.lit(1), F.size(w) - 4), lambda i: F.xxhash64(F.slice(w, i, 5))),
-        ).otherwise(F.array(F.xxhash64(w))),
-    )
-    keyed = materialize(rows.select("text", "toxic", F.array_min(shingles).alias("key")), "toxic-drawn")
+    once = rows.select("text", "toxic").distinct()
+    once = materialize(once.withColumn("row", F.monotonically_increasing_id()), "toxic-drawn")
+    groups = minhash.group(once.select(F.col("row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
     return materialize(
-        keyed.groupBy("key").agg(
-            F.min_by("text", F.md5("text")).alias("text"), F.max("toxic").alias("toxic")
-        ).select("text", "toxic"),
+        once.join(groups, "row")
+        .groupBy("component", "toxic")
+        .agg(F.min_by("text", F.md5("text")).alias("text"))
+        .select("text", "toxic"),
         "toxic-train",
     )
 

@@ -385,6 +385,24 @@ def test_templates(spark):
 # ------------------------------------------------------------------ 9 toxicity
 
 
+def test_training_rows_keep_different_texts_and_labels(spark):
+    rng, shared = random.Random(9), " ".join(f"licence{i}" for i in range(60))
+    own = [f"{shared} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(30)]
+    texts = [*enumerate(own), (100, own[0] + " end"), (101, own[0]), (102, own[1] + " end"), (103, own[2])]
+    # own[0] and its copies are clean; a toxic near copy and a toxic exact copy of clean texts
+    labels = [(i, int(i in (102, 103))) for i, _ in texts]
+    # ids that are all in the training part
+    ids = spark.range(5000).filter(~toxicity.held_out(toxicity.F.col("id"))).limit(200).collect()
+    place = {i: ids[n].id for n, (i, _) in enumerate(texts)}
+    docs = spark.createDataFrame([(place[i], t) for i, t in texts], "doc_id long, text string")
+    known = spark.createDataFrame([(place[i], t) for i, t in labels], "doc_id long, toxic int")
+    train = [(r.text, r.toxic) for r in toxicity.training_rows(docs, known).collect()]
+    toxic = [t for t, label in train if label == 1]
+    clean = [t for t, label in train if label == 0]
+    assert sorted(toxic) == sorted([own[1] + " end", own[2]])
+    assert len(clean) == 30 and set(own[1:]) <= set(clean)
+
+
 def test_automaton_is_the_edit_distance():
     rng = random.Random(3)
     terms = {"".join(rng.choice("abc") for _ in range(rng.randrange(5, 8))) for _ in range(60)}
