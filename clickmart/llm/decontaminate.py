@@ -8,15 +8,18 @@ with other numbers, units or names is still met.
 
 A meeting counts if its slots are consistent: wherever the benchmark repeats a number,
 unit or name, the document must repeat its replacement.  A document is contaminated by
-an item when consistent windows make up half of the item's windows or more.
+an item when consistent windows make up half of the item's windows or more; when, at one
+shift with consistent slots, 13 words in a row are the item's as they stand (an excerpt); or when, at one shift,
+three quarters of the item's words agree with consistent slots (single words were changed).
+Items without windows to search for (under 8 words, or hardly a word that is no placeholder)
+are met by their whole sequence of words as it stands.
 
 Only the windows that meet leave their row; the texts of the few candidates are fetched
 by id and checksum for the slot check.  No hint decides how the benchmark's windows are
 joined: Spark broadcasts them below its size limit, else both sides shuffle.
 
-Nulls and edges: null and empty texts meet nothing; items under 8 words are not searched
-for, as they would meet ordinary prose; windows with fewer than 4 words that are no
-placeholder are not searched for; an item listed twice counts as one; equal items of
+Nulls and edges: null and empty texts meet nothing; windows with fewer than 4 words that
+are no placeholder are not searched for; an item listed twice counts as one; equal items of
 different ids are all reported; repeated rows are reported once per id; rows with a null
 id are reported with a null id; empty tables give an empty result; further columns are
 carried by ``drop``.
@@ -30,6 +33,8 @@ from clickmart.llm.common import let, materialize, words
 WINDOW = 8
 MIN_LITERAL = 4
 SHARE = 0.5
+#: words in a row that make an excerpt, and the share of words that makes an edited item
+EXCERPT, AGREED = 13, 0.75
 NUMBER, UNIT, NAME = "0", "00", "000"
 PLACEHOLDERS = [NUMBER, UNIT, NAME]
 #: fixed values
@@ -69,23 +74,28 @@ def _window_hashes(tokens: Column) -> Column:
     return F.when(F.size(tokens) >= WINDOW, hashed)
 
 
+def _literals(tokens: Column, at: Column) -> Column:
+    window = F.slice(tokens, at + 1, WINDOW)
+    return F.size(F.filter(window, lambda t: ~t.isin(PLACEHOLDERS)))
+
+
 def items(benchmark: DataFrame) -> DataFrame:
-    """item_id, template, raw, windows of each distinct item; written."""
+    """item_id, item_template, item_raw, searched (has windows) of each distinct item; written."""
     distinct = benchmark.select("item_id", "text").distinct()
     shaped = distinct.select(
         "item_id", template(F.col("text")).alias("item_template"), raw(F.col("text")).alias("item_raw")
     )
-    return materialize(shaped.filter(F.size("item_template") >= WINDOW), "bench-items")
+    n = F.size("item_template")
+    searched = F.when(n >= WINDOW, F.exists(
+        F.sequence(F.lit(0), n - WINDOW), lambda i: _literals(F.col("item_template"), i) >= MIN_LITERAL
+    )).otherwise(False)
+    return materialize(shaped.filter(F.size("item_raw") > 0).withColumn("searched", searched), "bench-items")
 
 
 def item_windows(listed: DataFrame) -> DataFrame:
     """item_id, item_at, hash, item_windows (their number per item); written."""
     hashes = _window_hashes(F.col("item_template"))
-    literal = F.size(
-        F.filter(
-            F.slice("item_template", F.col("item_at") + 1, WINDOW), lambda t: ~t.isin(PLACEHOLDERS)
-        )
-    )
+    literal = _literals(F.col("item_template"), F.col("item_at"))
     placed = listed.select("item_id", "item_template", F.posexplode(hashes).alias("item_at", "hash"))
     searched = placed.filter(literal >= MIN_LITERAL).select("item_id", "item_at", "hash")
     counts = searched.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
@@ -133,20 +143,97 @@ def _slots(low: Column, high: Column, shift: Column) -> Column:
     return F.filter(pair, lambda p: p["kind"].isin(PLACEHOLDERS) & (p["kind"] == p["doc_kind"]))
 
 
+def _aligned(shift: Column) -> Column:
+    """Every item word beside the document word at its place."""
+    return F.transform(
+        F.sequence(F.lit(0), F.size("item_raw") - 1),
+        lambda i: F.struct(
+            F.get("item_template", i).alias("kind"), F.get("doc_template", i + shift).alias("doc_kind"),
+            F.get("item_raw", i).alias("was"), F.get("doc_raw", i + shift).alias("now"),
+        ),
+    )
+
+
+def _longest_run(pairs: Column) -> Column:
+    """Most words in a row that are the same as they stand."""
+    start = F.struct(F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def step(state, p):
+        run = F.when(p["was"].eqNullSafe(p["now"]), state["run"] + 1).otherwise(0)
+        return F.struct(run.alias("run"), F.greatest(state["best"], run).alias("best"))
+
+    return F.aggregate(pairs, start, step, lambda state: state["best"])
+
+
+def _consistent(slots: Column) -> Column:
+    return let(slots, lambda s: (
+        F.size(F.array_distinct(F.transform(s, lambda p: F.struct(p["kind"], p["was"], p["now"]))))
+        == F.size(F.array_distinct(F.transform(s, lambda p: F.struct(p["kind"], p["was"]))))
+    ))
+
+
+def _whole(docs: DataFrame, listed: DataFrame) -> DataFrame | None:
+    """Documents that hold the whole word sequence of an item without windows."""
+    short = listed.filter(~F.col("searched")).select("item_id", "item_raw").distinct()
+    head = F.least(F.size("item_raw"), F.lit(WINDOW))
+    keyed = materialize(
+        short.select(
+            F.col("item_id").alias("short_id"), F.col("item_raw").alias("short_raw"),
+            head.alias("head"), F.xxhash64(F.slice("item_raw", F.lit(1), head)).alias("hash"),
+        ),
+        "bench-short",
+    )
+    # at most WINDOW different numbers
+    heads = sorted(r["head"] for r in keyed.select("head").distinct().collect())
+    if not heads:
+        return None
+
+    def windows(w, n):
+        places = F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0)))
+        hashed = F.transform(
+            places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(w, i + 1, n)).alias("hash"))
+        )
+        return F.when(F.size(w) >= n, hashed).otherwise(F.array().cast("array<struct<at:int,hash:bigint>>"))
+
+    def starts(w):
+        return F.flatten(F.array(*[windows(w, n) for n in heads]))
+
+    met = (
+        _identified(docs)
+        .select("doc_id", "checksum", F.inline(let(raw(F.col("text")), starts)))
+        .join(keyed, "hash")
+        .select("doc_id", "checksum", "at", "short_id", "short_raw")
+    )
+    met = materialize(met, "bench-short-met")
+    texts = (
+        _identified(docs)
+        .join(_side(met), _own("c_id", "c_sum"), "left_semi")
+        .dropDuplicates(["doc_id", "checksum"])
+        .select(F.col("doc_id").alias("t_id"), F.col("checksum").alias("t_sum"), raw(F.col("text")).alias("doc_raw"))
+    )
+    here = F.slice("doc_raw", F.col("at") + 1, F.size("short_raw")) == F.col("short_raw")
+    return met.join(texts, _own("t_id", "t_sum")).filter(here).select(
+        "doc_id", "checksum", F.col("short_id").alias("item_id"), F.lit(1.0).alias("share"),
+        F.lit(0).cast("long").alias("slots"), F.lit(0).cast("long").alias("changed"),
+    ).distinct()
+
+
+def _own(other_id: str, other_sum: str) -> Column:
+    return F.col("doc_id").eqNullSafe(F.col(other_id)) & (F.col("checksum") == F.col(other_sum))
+
+
+def _side(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("doc_id").alias("c_id"), F.col("checksum").alias("c_sum")).distinct()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, checksum, item_id, share, slots, changed (slots with another value)."""
     listed = items(benchmark)
     meetings = materialize(_meetings(docs, item_windows(listed)), "bench-meetings")
-    # an item can't reach its share by fewer windows than it takes
-    enough = meetings.groupBy("doc_id", "checksum", "item_id").agg(
-        F.sum("n").alias("all"), F.max("item_windows").alias("of")
-    ).filter(F.col("all") >= share * F.col("of"))
-    candidates = materialize(enough.select("doc_id", "checksum").distinct(), "bench-candidates")
-    side = candidates.select(F.col("doc_id").alias("c_id"), F.col("checksum").alias("c_sum"))
-    same = F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("checksum") == F.col("c_sum"))
+    candidates = materialize(_side(meetings), "bench-candidates")
     texts = materialize(
         _identified(docs)
-        .join(side, same, "left_semi")
+        .join(candidates, _own("c_id", "c_sum"), "left_semi")
         .dropDuplicates(["doc_id", "checksum"])
         .select(
             F.col("doc_id").alias("t_id"), F.col("checksum").alias("t_sum"),
@@ -154,27 +241,38 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFr
         ),
         "bench-texts",
     )
-    own = F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("checksum") == F.col("t_sum"))
-    its = listed.withColumnRenamed("item_id", "listed_id")
+    its = listed.filter("searched").withColumnRenamed("item_id", "listed_id").drop("searched")
+    is_slot = lambda p: p["kind"].isin(PLACEHOLDERS) & (p["kind"] == p["doc_kind"])
+    agreed = F.size(F.filter("pairs", lambda p: F.coalesce(p["kind"] == p["doc_kind"], F.lit(False))))
     checked = (
-        meetings.join(texts, own)
+        meetings.join(texts, _own("t_id", "t_sum"))
         .join(its, F.col("item_id").eqNullSafe(F.col("listed_id")))
         .withColumn("slots", _slots(F.col("low"), F.col("high"), F.col("shift")))
+        .withColumn("pairs", _aligned(F.col("shift")))
         .select(
             "doc_id", "checksum", "item_id", "n", "item_windows",
             F.size("slots").alias("slots"),
             F.size(F.filter("slots", lambda p: p["was"] != p["now"])).alias("changed"),
+            _consistent(F.col("slots")).alias("consistent"),
             (
-                F.size(F.array_distinct(F.transform("slots", lambda p: F.struct(p["kind"], p["was"], p["now"]))))
-                == F.size(F.array_distinct(F.transform("slots", lambda p: F.struct(p["kind"], p["was"]))))
-            ).alias("consistent"),
+                (_consistent(F.col("slots")) & (_longest_run(F.col("pairs")) >= EXCERPT))
+                | ((agreed >= AGREED * F.size("pairs")) & _consistent(F.filter("pairs", is_slot)))
+            ).alias("held"),
         )
     )
-    found = checked.filter("consistent").groupBy("doc_id", "checksum", "item_id").agg(
-        (F.sum("n") / F.max("item_windows")).alias("share"),
-        F.sum("slots").alias("slots"), F.sum("changed").alias("changed"),
+    counted = F.col("consistent") | F.col("held")
+    found = checked.filter(counted).groupBy("doc_id", "checksum", "item_id").agg(
+        (F.sum(F.when(F.col("consistent"), F.col("n")).otherwise(0)) / F.max("item_windows")).alias("share"),
+        F.sum("slots").alias("slots"), F.sum("changed").alias("changed"), F.max("held").alias("held"),
+    )
+    found = found.filter(F.col("held") | (F.col("share") >= share)).drop("held")
+    found = found.withColumn("share", F.least("share", F.lit(1.0)))
+    whole = _whole(docs, listed)
+    if whole is None:
+        return found
+    return found.unionByName(whole).groupBy("doc_id", "checksum", "item_id").agg(
+        F.max("share").alias("share"), F.max("slots").alias("slots"), F.max("changed").alias("changed")
     )
-    return found.filter(F.col("share") >= share).withColumn("share", F.least("share", F.lit(1.0)))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -382,6 +382,23 @@ def test_templates(spark):
     assert kept == [3, 4]
 
 
+def test_excerpts_edits_and_short_items(spark):
+    long = " ".join(f"term{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59))
+    words = long.split()
+    edit = lambda n, *at: " ".join("other" if i in at else w for i, w in enumerate(words[:n]))
+    items = [(1, long), (2, " ".join(words[:20])), (3, "what is the capital"), (4, "1 2 3 4 5 6 7 8 9 10 11 12")]
+    docs = [
+        (1, "before " + " ".join(words[30:45]) + " after"), (2, "so " + edit(20, 10) + " end"),
+        (3, "asked: What is the capital? of nothing"), (4, "count 1 2 3 4 5 6 7 8 9 10 11 12 now"),
+        (5, "what is the best capital"), (6, "count 1 2 3 4 5 6 7 8 9 10 11 13 now"),
+        (7, "before " + " ".join(words[40:50]) + " after"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.digest(frame(spark, docs), bench).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3), (4, 4)}
+    assert sorted(r.doc_id for r in decontaminate.drop(frame(spark, docs), bench).collect()) == [5, 6, 7]
+
+
 # ------------------------------------------------------------------ 9 toxicity
 
 
