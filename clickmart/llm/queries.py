@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickmart.llm import (
-    decontaminate, minhash, mixing, phrases, pseudonyms, quality, sharding, tokens, toxicity, urls,
+    conversations, decontaminate, minhash, mixing, phrases, pseudonyms, quality, sharding, tokens, toxicity, urls,
+    warc, whitening,
 )
 from clickmart.llm.common import table
 from clickmart.llm.oracle import statements  # noqa: F401
@@ -30,4 +31,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": _over(mixing.digest, "documents"),
         "op9_toxicity": _over(toxicity.score, "documents", "labels"),
         "op10_phrases": _over(phrases.digest, "documents"),
+        "op11_conversations": _over(conversations.digest, "conversations"),
+        "op12_whitening": _over(whitening.digest, "embeddings"),
+        "op13_warc": _over(warc.digest, "pages"),
     }
