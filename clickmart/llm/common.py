@@ -25,20 +25,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
-    """Write ``df`` once in the shared folder and return the written table.
-
-    Its shuffle files are dropped with the write, so the disk holds those of one step and
-    not of all.
-    """
+def _write(df: DataFrame, path: str, codec: str) -> None:
     spark = df.sparkSession
-    path = storage.scratch_path(spark, label)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
         df.write.option("compression", codec).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
+
+
+def materialize(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
+    """Write ``df`` once in the shared folder and return the written table.
+
+    Its shuffle files are dropped with the write, so the disk holds those of one step and
+    not of all.
+    """
+    path = storage.scratch_path(df.sparkSession, label)
+    _write(df, path, codec)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The result of ``build``, written; the tables it wrote on the way are removed."""
+    path = storage.scratch_path(spark, label)
+    with storage.scratch_scope(spark):
+        df = build()
+        _write(df, path, "snappy")
     return spark.read.schema(df.schema).parquet(path)
 
 

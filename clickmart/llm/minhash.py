@@ -16,8 +16,9 @@ are linked when 100 * intersection >= 75 * union.
    components that are left in a bucket, in square blocks of bounded size.
 4. A candidate must agree in at least 0.56 of the minima (five standard errors below
    0.75) and is confirmed on the full sets.  In the last round pairs are many, so there
-   it is the agreement in 2,048 further minima, a byte of each, that must be at least 0.705
-   (4.8 standard errors below), and a pair is taken in the first band that it shares only.
+   the classes in buckets that are still open get 2,048 further minima, two bits of each (512 bytes);
+   a pair must agree in as many of them as a similarity of 0.695 does (4.8 standard errors
+   below), and is taken in the first band that it shares only.
 5. Confirmed links are joined to components by alternating large-star and small-star.
 
 Nulls and edges: a text that is null or has no word has set size 0 and is linked
@@ -35,10 +36,10 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.llm.common import ascii_lower, materialize, words
+from clickmart.llm.common import materialize, settled, words
 from clickmart.llm.graph import components
 
 # workers need not have the package on their path
@@ -49,13 +50,12 @@ PERCENT = 75
 ROWS, BANDS = 4, 32
 HASHES = ROWS * BANDS
 MIN_AGREE = 0.56
-BLOCK = 256
-#: further minima of candidates, of which a byte is kept, and the share that must agree
-FINE, MIN_FINE = 2_048, 0.705
-#: minima that are compared first, and their share: five standard errors below 0.75
-COARSE, MIN_COARSE = 256, 0.61
-_DIGEST = "doc_id long, digest string, n_shingles long, signature binary"
-_SETS = "node long, shingles binary, fine binary"
+BLOCK = 1_024
+#: further minima of candidates of the last round, of which two bits are kept: minima that differ agree in
+#: these by chance one time in four, so similarity s shows as s + (1 - s) / 4
+FINE, MIN_FINE = 2_048, 0.695 + 0.305 / 4
+_DIGEST = "doc_id long, text_hash long, digest string, n_shingles long, signature binary"
+_SETS = "node long, shingles binary"
 _CHUNK = 1 << 19
 
 
@@ -118,25 +118,43 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sizes.append(len(shingles))
             signatures.append(minima(shingles, a, b).tobytes() if len(shingles) else None)
         yield pd.DataFrame(
-            {"doc_id": batch["doc_id"].astype("Int64"), "digest": digests, "n_shingles": sizes,
-             "signature": signatures}
+            {"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"], "digest": digests,
+             "n_shingles": sizes, "signature": signatures}
         )
 
 
 def _full_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Shingles of the class a row stands for; rows with another text of the same id give none."""
-    mix, (a, b) = _mix(), _hashes(FINE, 2)
+    """Shingles of the class a row stands for."""
+    mix = _mix()
     for batch in batches:
-        nodes, sets, fine = [], [], []
+        nodes, sets = [], []
         for node, digest, text in zip(batch["node"], batch["digest"], batch["text"], strict=True):
             tokens = text_words(text)
             if words_digest(tokens) == digest:
                 nodes.append(node)
-                shingles = shingle_set(tokens, mix)
-                sets.append(shingles.tobytes())
-                # low bytes of a linear hash are weak, its high bytes are small at a minimum
-                fine.append((minima(shingles, a, b) * np.uint32(0x9E3779B1) >> 24).astype(np.uint8).tobytes())
-        yield pd.DataFrame({"node": nodes, "shingles": sets, "fine": fine})
+                sets.append(shingle_set(tokens, mix).tobytes())
+        yield pd.DataFrame({"node": nodes, "shingles": sets})
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Two bits of each of the minima, four to a byte."""
+    # low bits of a linear hash are weak, its high bits are small at a minimum
+    bits = (values * np.uint32(0x9E3779B1) >> np.uint32(30)).astype(np.uint8).reshape(-1, 4)
+    return (bits[:, 0] | bits[:, 1] << 2 | bits[:, 2] << 4 | bits[:, 3] << 6).tobytes()
+
+
+def _fine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    a, b = _hashes(FINE, 2)
+    for batch in batches:
+        found = [_packed(minima(np.frombuffer(s, np.uint64), a, b)) for s in batch["shingles"]]
+        yield pd.DataFrame({"node": batch["node"], "fine": found})
+
+
+def _agreement(fine: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Share of the two-bit values of each row of ``fine`` that equal those of ``one``."""
+    differ = fine ^ one
+    differ = (differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)
+    return 1 - np.bitwise_count(differ).sum(axis=1, dtype=np.int64) / FINE
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -167,9 +185,8 @@ def _block_pairs(block: pd.DataFrame) -> pd.DataFrame:
     A pair that meets in several bands is taken in the first of them.
     """
     i, j, band = int(block["i"].iloc[0]), int(block["j"].iloc[0]), int(block["band"].iloc[0])
-    sig = _matrix(block["signature"])
-    fine = np.frombuffer(b"".join(block["fine"]), np.uint8).reshape(-1, FINE)
-    coarse = np.ascontiguousarray(fine[:, :COARSE])
+    keys = np.frombuffer(b"".join(block["keys"]), np.int64).reshape(-1, BANDS)
+    fine = np.frombuffer(b"".join(block["fine"]), np.uint64).reshape(-1, FINE // 32)
     node, comp = block["node"].to_numpy(), block["component"].to_numpy()
     size, part = block["n_shingles"].to_numpy(), block["part"].to_numpy()
     found = []
@@ -181,45 +198,51 @@ def _block_pairs(block: pd.DataFrame) -> pd.DataFrame:
         other &= 100 * np.minimum(size, size[at]) >= PERCENT * np.maximum(size, size[at])
         others = np.flatnonzero(other)
         if len(others):
-            others = others[(coarse[others] == coarse[at]).mean(axis=1) >= MIN_COARSE]
+            others = others[_agreement(fine[others], fine[at]) >= MIN_FINE]
         if len(others):
-            others = others[(fine[others] == fine[at]).mean(axis=1) >= MIN_FINE]
-        if len(others):
-            shared = (sig[others] == sig[at]).reshape(len(others), BANDS, ROWS).all(axis=2)
-            others = others[shared.argmax(axis=1) == band]
+            others = others[(keys[others] == keys[at]).argmax(axis=1) == band]
         found += [(min(node[at], node[o]), max(node[at], node[o])) for o in others]
     return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, n_shingles, signature of every row, written."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """doc_id, text_hash, digest, n_shingles, signature of every row, written."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     return materialize(rows.mapInPandas(_sketches, _DIGEST), "minhash-sketches")
 
 
 def _classes(sketches: DataFrame) -> DataFrame:
     """One row per distinct word sequence, with a node number fixed by the write."""
+    # null ids last
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
     grouped = (
         sketches.filter("n_shingles > 0")
         .groupBy("digest")
         .agg(
-            F.min("doc_id").alias("first_id"),
+            F.min(row).alias("row"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
         )
     )
     return materialize(
-        grouped.withColumn("node", F.monotonically_increasing_id()), "minhash-classes"
+        grouped.select(
+            "digest", F.col("row.doc_id").alias("first_id"), F.col("row.text_hash").alias("first_hash"),
+            "n_shingles", "signature", F.monotonically_increasing_id().alias("node"),
+        ),
+        "minhash-classes",
     )
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
-    """(key, band, node, low) of the buckets with two classes or more, written."""
-    band_keys = F.transform(
+def _band_keys() -> Column:
+    return F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.xxhash64(b, F.substring(F.col("signature"), b * 4 * ROWS + 1, F.lit(4 * ROWS))),
     )
-    placed = classes.select("node", F.posexplode(band_keys).alias("band", "key"))
+
+
+def _buckets(classes: DataFrame) -> DataFrame:
+    """(key, band, node, low) of the buckets with two classes or more, written."""
+    placed = classes.select("node", F.posexplode(_band_keys()).alias("band", "key"))
     shared = (
         placed.groupBy("key")
         .agg(F.min("node").alias("low"), F.max("node").alias("high"))
@@ -235,21 +258,27 @@ class _Confirmer:
     def __init__(self, docs: DataFrame, classes: DataFrame, buckets: DataFrame):
         self.known = classes.join(buckets.select("node").distinct(), "node", "left_semi")
         self.known = materialize(
-            self.known.select("node", "digest", "first_id", "n_shingles", "signature"), "minhash-known"
-        )
-        wanted = self.known.select("node", "digest", "first_id")
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-            wanted, F.col("doc_id").eqNullSafe(F.col("first_id"))
+            self.known.select("node", "digest", "first_id", "first_hash", "n_shingles", "signature"), "minhash-known"
         )
+        wanted = self.known.select("node", "digest", "first_id", "first_hash")
+        # the hash keeps ids that repeat, or are null, from meeting all their texts
+        same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.xxhash64("text") == F.col("first_hash"))
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, same)
         sets = texts.select("node", "digest", "text").mapInPandas(_full_sets, _SETS)
         # a repeated row gives its class twice
         self.sets = materialize(
-            sets.groupBy("node").agg(
-                F.first("shingles").alias("shingles"), F.first("fine").alias("fine")
-            ),
-            "minhash-sets",
+            sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "minhash-sets"
         )
 
+    def fine(self, placed: DataFrame) -> DataFrame:
+        """node, n_shingles, band keys and fine sketch of the members of ``placed``, written."""
+        members = placed.select("node").distinct()
+        sketched = self.sets.join(members, "node", "left_semi").mapInPandas(_fine, "node long, fine binary")
+        # big-endian per key; only equality counts
+        keys = F.unhex(F.array_join(F.transform(_band_keys(), lambda k: F.lpad(F.hex(k), 16, "0")), ""))
+        own = self.known.select("node", "n_shingles", keys.alias("keys"))
+        return materialize(own.join(sketched, "node"), "minhash-fine")
+
     def _with(self, pairs: DataFrame, side: DataFrame, name: str, columns: dict[str, str]) -> DataFrame:
         return pairs.join(side.select(F.col("node").alias(name), *[
             F.col(c).alias(f"{alias}_{name}") for c, alias in columns.items()
@@ -309,7 +338,7 @@ def _hub_pairs(placed: DataFrame) -> DataFrame:
     )
 
 
-def _remaining_pairs(placed: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
+def _remaining_pairs(placed: DataFrame, about: DataFrame) -> DataFrame:
     """All pairs across components in the open buckets, block by block."""
     sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -319,7 +348,6 @@ def _remaining_pairs(placed: DataFrame, known: DataFrame, sets: DataFrame) -> Da
         "key", "band", "node", "component", "part",
         F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
     )
-    about = known.select("node", "n_shingles", "signature").join(sets.select("node", "fine"), "node")
     full = met.join(about, "node")
     return full.groupBy("key", "i", "j").applyInPandas(_block_pairs, "u long, v long").distinct()
 
@@ -346,7 +374,7 @@ def _class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         if turn == 1:
             links = check.links(_hub_pairs(placed))
         else:
-            links = check.links(_remaining_pairs(placed, check.known, check.sets), agreeing=True)
+            links = check.links(_remaining_pairs(placed, check.fine(placed)), agreeing=True)
         edges = comps.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(
             _component_links(links, comps)
         )
@@ -355,10 +383,10 @@ def _class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, n_shingles, component_id, kept of every row."""
+    """doc_id, text_hash, n_shingles, component, component_id, kept of every row."""
     sketches = _sketched(docs)
     classes = _classes(sketches)
-    comps = _class_components(docs, classes)
+    comps = settled(docs.sparkSession, "minhash-components", lambda: _class_components(docs, classes))
     thin = classes.select("digest", "first_id", "node").join(comps, "node", "left")
     thin = thin.withColumn("component", F.coalesce("component", "node"))
     lowest = thin.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -368,10 +396,10 @@ def _grouped(docs: DataFrame) -> DataFrame:
     worded = (
         sketches.filter("n_shingles > 0")
         .join(by_digest, "digest")
-        .select("doc_id", "digest", "n_shingles", "component", "component_id")
+        .select("doc_id", "text_hash", "n_shingles", "component", "component_id")
     )
     empty = sketches.filter("n_shingles = 0").select(
-        "doc_id", "digest", "n_shingles", F.lit(None).cast("long").alias("component"),
+        "doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("component"),
         F.col("doc_id").alias("component_id"),
     )
     return worded.unionByName(empty).withColumn(
@@ -386,16 +414,17 @@ def group(docs: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """One document of each group, and every document without a word, as they were."""
-    stays = (
-        _grouped(docs)
-        .filter("kept and n_shingles > 0")
-        .groupBy("component")
-        .agg(F.min(F.struct("doc_id", "digest")).alias("stay"))
-        .select(F.col("stay.doc_id").alias("stay_id"), F.col("stay.digest").alias("stay_digest"))
+
+    def stays() -> DataFrame:
+        row = F.min(F.struct("doc_id", "text_hash")).alias("stay")
+        grouped = _grouped(docs).filter("kept and n_shingles > 0").groupBy("component").agg(row)
+        return grouped.select(F.col("stay.doc_id").alias("stay_id"), F.col("stay.text_hash").alias("stay_hash"))
+
+    kept = settled(docs.sparkSession, "minhash-stays", stays)
+    rows = docs.select(
+        F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash")
     )
-    digest = F.md5(F.array_join(words(ascii_lower(F.col("text"))), " "))
-    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), digest.alias("digest"))
-    same = F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("digest") == F.col("stay_digest"))
-    once = rows.join(stays, same, "left_semi").dropDuplicates(["id", "digest"]).select("doc.*")
+    same = F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("hash") == F.col("stay_hash"))
+    once = rows.join(kept, same, "left_semi").dropDuplicates(["id", "hash"]).select("doc.*")
     blank = F.size(words(F.col("text"))) == 0
     return once.unionByName(docs.filter(blank))
