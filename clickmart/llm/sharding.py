@@ -31,6 +31,7 @@ from clickmart.llm.common import local_order, materialize, part_of, row_of
 SHARDS = 24
 SEED = 5_113
 CELL_ROWS = 65_536
+BOUNDS_BYTES = 64 << 20
 
 
 def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
@@ -82,13 +83,18 @@ def communication_matrix(sizes: list[int], shards: int, seed: int) -> list[list[
 
 
 def _bounds(spark, counts, shards: int, seed: int) -> DataFrame:
-    """Per partition the local positions at which shards 1, 2, ... begin."""
+    """Per partition the local positions at which shards 1, 2, ... begin; written.
+
+    Broadcast up to ``BOUNDS_BYTES``, so that the rows move once, to their shards.  Beyond that, at some
+    hundred thousand partitions, Spark joins it as it sees fit.
+    """
     matrix = communication_matrix([n for _, n in counts], shards, seed)
     rows = []
     for (part, _), row in zip(counts, matrix, strict=True):
         ends = [sum(row[: j + 1]) for j in range(shards - 1)]
         rows.append((part, ends))
-    return spark.createDataFrame(rows, "part long, ends array<long>")
+    bounds = materialize(spark.createDataFrame(rows, "part long, ends array<long>"), "shard-bounds")
+    return F.broadcast(bounds) if len(rows) * (shards + 4) * 8 <= BOUNDS_BYTES else bounds
 
 
 def shuffle(

@@ -255,3 +255,20 @@ def test_files_of_lost_tasks_are_not_seen(spark, tmp_path):
     warc.write(spark.range(4).selectExpr("'resource' record_type", "cast(id as string) record_id"), path)
     warc.write(spark.range(2).selectExpr("'resource' record_type", "cast(id as string) record_id"), path, mode="overwrite")
     assert warc.read(spark, path).count() == 2
+
+
+# ------------------------------------------------------------------ 1 sharding: one move of the texts
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_texts_move_once_to_their_shards(spark, monkeypatch, limit):
+    from clickmart.llm import sharding
+
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    if not limit:
+        monkeypatch.setattr(sharding, "BOUNDS_BYTES", 0)
+    out = sharding.place(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "shard" in line]
+    assert len(moves) >= 1 and plan.count("Exchange hashpartitioning(part") == 0
+    assert out.count() == df.count()
