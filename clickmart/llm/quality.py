@@ -39,7 +39,7 @@ from clickmart.llm.common import NON_BREAK, let, materialize, words
 SYMBOLS = r"[^#*$%&|<>]+"
 MIN_WORDS = 50
 #: standard deviations below which differences don't count
-FLOORS = (0.1, 0.05, 0.15, 0.15)
+FLOORS = (0.1, 0.05, 0.1, 0.1)
 UNIT = 64
 DIMS = len(FLOORS)
 SHARE = 0.75
@@ -316,7 +316,8 @@ def judge(stats: DataFrame, params: DataFrame) -> DataFrame:
     return (
         _join_small(stats, params, KEYS, "left")
         .withColumn("distance", F.when(~F.col("base_failed"), _distance()))
-        .withColumn("kept", ~F.col("base_failed") & ~far)
+        # as one condition: its first half would go below the join, with all statistics it needs
+        .withColumn("kept", F.when(F.col("base_failed"), False).otherwise(~far))
         .drop(*_PARAMS)
     )
 
