@@ -1,11 +1,19 @@
 """Scalar column expressions."""
 
-from pyspark.sql import Column
+import functools
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmart import constants as C
 
 
+def same_row(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal in all ``keys``, nulls being equal."""
+    return functools.reduce(Column.__and__, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
 def event_time(millis: Column) -> Column:
     """Epoch milliseconds to a real timestamp (sub-second part kept)."""
     return F.timestamp_millis(millis)

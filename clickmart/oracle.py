@@ -209,6 +209,12 @@ _ENRICHED = _with(
               ms AS timestamp, category, brand, device_type, ip_address, country, city,
               'kinesis_stream' AS source FROM curated""",
 )
+_DIM_SESSION = """SELECT session_id, user_id, min(ms) * 1000 AS session_start,
+           max(ms) * 1000 AS session_end, (max(ms) - min(ms)) // 1000 AS duration_secs,
+           CAST(count(*) FILTER (WHERE event_type = 'view') AS BIGINT) AS page_views,
+           arg_min(device_type, (ms, event_id)) AS device_type
+    FROM sessioned GROUP BY session_id, user_id"""
+
 _DEDUP = _with(
     "curated",
     """SELECT event_id, event_type, product_id, user_id, ms * 1000 AS event_ts,
@@ -353,14 +359,7 @@ def statements() -> dict[str, str]:
                   FROM (SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_size,
                                CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 100 AS BIGINT) AS price
                         FROM part))""",
-        "dim_session": _with(
-            "sessioned",
-            """SELECT session_id, user_id, min(ms) * 1000 AS session_start,
-                      max(ms) * 1000 AS session_end, (max(ms) - min(ms)) // 1000 AS duration_secs,
-                      CAST(count(*) FILTER (WHERE event_type = 'view') AS BIGINT) AS page_views,
-                      arg_min(device_type, (ms, event_id)) AS device_type
-               FROM sessioned GROUP BY session_id, user_id""",
-        ),
+        "dim_session": _with("sessioned", _DIM_SESSION),
         "user_activity": _with(
             "curated",
             """SELECT user_id, CAST(min(day) AS VARCHAR) AS first_seen,
@@ -568,9 +567,11 @@ def statements() -> dict[str, str]:
         ),
         "late_events": _with(
             "sessioned",
-            """SELECT event_id, user_id, session_seq, session_id FROM sessioned
-               WHERE day <= DATE '2024-01-06'""",
+            """SELECT event_id, user_id,
+                      min(ms) OVER (PARTITION BY user_id, session_seq) * 1000 AS session_start
+               FROM sessioned""",
         ),
+        "late_sessions": _with("sessioned", _DIM_SESSION),
         "late_events_all": _with(
             "sessioned",
             "SELECT event_id, user_id, session_seq, session_id FROM sessioned",

@@ -171,6 +171,22 @@ def sessions_of_curated(curated: DataFrame) -> DataFrame:
     )
 
 
+def sessions_of_intervals(intervals: DataFrame) -> DataFrame:
+    """The same rollup from the stored session intervals; no event is read."""
+    seconds = F.unix_micros("last_ts") - F.unix_micros("session_start")
+    return S.conform(
+        intervals.withColumns(
+            {
+                "session_id": sessions.session_id(),
+                "session_end": F.col("last_ts"),
+                "duration_secs": F.floor(seconds / 1_000_000).cast("int"),
+                "start_date": F.to_date("session_start"),
+            }
+        ),
+        S.DIM_SESSION_STORED,
+    )
+
+
 def dim_customer(activity: DataFrame, scored: DataFrame, ltv: DataFrame) -> DataFrame:
     """All users seen, with scores and value where they bought something.
 

@@ -1,191 +1,24 @@
 """The daily run: raw files to curated tables, warehouse, features.
 
 Every step replaces whole partitions or merges minima and maxima, so a rerun for
-the same date leaves the same tables.  From the raw zone only what was delivered since
-the last run is read; the days its events belong to are recomputed.
+the same date leaves the same tables.  ``curation`` brings the curated zone up to date; the
+warehouse follows in the days and sessions that it has changed.
 """
 
-import functools
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from clickmart import constants as C
 from clickmart import schemas as S
-from clickmart.operators import clean, dedup, sales, sessions
-from clickmart.plans import dims, facts, ltv, recommend, refresh, rfm
+from clickmart.plans import curation, dims, facts, ltv, recommend, refresh, rfm
+from clickmart.plans.curation import curate, prune_states  # noqa: F401
+from clickmart.plans.layout import Layout
 from clickmart.sinks import tables
-from clickmart.sources import raw as raw_source
-from clickmart.storage import (
-    list_names, materialize, path_exists, remove_path, scratch_scope,
-)
-
-# session states are kept from days that most late events no longer reach
-SETTLED_DAYS = 2
-_SESSION = ("session_seq", "session_start", "session_id")
-
-
-@dataclass(frozen=True)
-class Layout:
-    """Folders of one lake, as the catalog registers them."""
-
-    root: str
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def read(self, spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
-        # partition columns come last on reading; the schema's order is restored
-        return spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
-
+from clickmart.storage import list_names, materialize, path_exists, scratch_scope
 
 def _day(value: str) -> Column:
     return F.lit(value).cast("date")
 
 
-def _shift(spark: SparkSession, day: str, days: int) -> str:
-    return str(spark.range(1).select(F.date_add(_day(day), days)).first()[0])
-
-
-def _delivered(spark: SparkSession, raw_path: str, since: str | None) -> DataFrame:
-    found = raw_source.read_raw(spark, raw_path)
-    if {"year", "month", "day"} <= set(found.columns):
-        if since is not None:
-            delivered = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
-            found = found.filter(delivered >= _day(since))
-        found = found.drop("year", "month", "day")
-    return found
-
-
-def read_recent(spark: SparkSession, raw_path: str, since: str) -> DataFrame:
-    """Accepted raw events delivered on or after ``since``; older folders are not opened."""
-    return raw_source.accepted(_delivered(spark, raw_path, since))
-
-
-def _last_run(spark: SparkSession, layout: Layout, as_of: str) -> str | None:
-    """The last run before ``as_of``: every run leaves the events it found too early."""
-    runs = [d for d in list_names(spark, layout.path("state/pending")) if d < as_of]
-    return runs[-1] if runs else None
-
-
-def _same_event(left: DataFrame, right: DataFrame) -> Column:
-    pairs = [left[k].eqNullSafe(right[k]) for k in dedup.EVENT_KEY]
-    return functools.reduce(Column.__and__, pairs)
-
-
-def _refused(delivered: DataFrame, late: DataFrame | None) -> DataFrame:
-    """What does not enter the curated zone, as text, and why."""
-    incomplete = F.greatest(*[F.col(c).isNull() for c in ("user_id", "event_type", "timestamp")])
-    rows = raw_source.rejects(delivered).unionByName(
-        raw_source.accepted(delivered).filter(incomplete).select(
-            F.to_json(F.struct("*")).alias("line"), F.lit("incomplete").alias("reason")
-        )
-    )
-    if late is not None:
-        rows = rows.unionByName(
-            late.select(F.to_json(F.struct("*")).alias("line"), F.lit("late").alias("reason"))
-        )
-    return rows
-
-
-def _open_from(
-    spark: SparkSession, layout: Layout, stored: DataFrame, first: str
-) -> tuple[str, DataFrame | None]:
-    """First day to recompute, and the session state of the day before it."""
-    states = [d for d in list_names(spark, layout.path("state/sessions")) if d < first]
-    if states:
-        newest = states[-1]
-        carry = spark.read.parquet(layout.path(f"state/sessions/{newest}"))
-        return _shift(spark, newest, 1), carry
-    oldest = stored.agg(F.min("date")).first()[0]
-    return min(first, str(oldest)) if oldest else first, None
-
-
-def curate(
-    spark: SparkSession,
-    raw_path: str,
-    layout: Layout,
-    as_of: str,
-    since: str | None = None,
-    gap_seconds: float = C.SESSION_GAP_SECONDS,
-    late_days: int | None = None,
-) -> str:
-    """Curated events and session sales of the days that changed.
-
-    Read is what was delivered since the last run (or since ``since``).  The earliest
-    day among its new events is where recomputation begins, from the session state
-    before it: an event may be late by any time, joins its session, and sessions
-    continue over midnight.  Events stamped after ``as_of`` wait in ``state/pending``
-    for the run of their day.  With ``late_days``, events older than that are refused.
-    Refused and unreadable lines are written to ``rejected`` with a reason.  Returns the
-    first recomputed day.
-    """
-    before = _last_run(spark, layout, as_of)
-    delivered = materialize(_delivered(spark, raw_path, since or before), "delivered")
-    fresh = clean.clean(raw_source.accepted(delivered))
-    if before is not None:
-        waiting = spark.read.schema(fresh.schema).parquet(layout.path(f"state/pending/{before}"))
-        fresh = fresh.unionByName(waiting)
-    fresh = materialize(dedup.dedup(fresh), "fresh")
-    tables.write_table(
-        fresh.filter(F.col("date") > _day(as_of)), layout.path(f"state/pending/{as_of}")
-    )
-
-    events = layout.path("curated/events")
-    due = fresh.filter(F.col("date") <= _day(as_of))
-    if path_exists(spark, events):
-        stored = spark.read.schema(S.CURATED_EVENT).parquet(events).drop(*_SESSION)
-    else:
-        stored = fresh.limit(0)
-    stored = stored.select(*fresh.columns).filter(F.col("date") <= _day(as_of))
-    oldest = due.agg(F.min("date")).first()[0]
-    if oldest is not None:
-        # the folder of the last run is read again
-        known = stored.filter(F.col("date") >= F.lit(oldest))
-        due = due.join(known, _same_event(due, known), "left_anti")
-    late = None
-    if late_days is not None and since is None:
-        too_old = F.col("date") < F.date_add(_day(as_of), -late_days)
-        late, due = due.filter(too_old), due.filter(~too_old)
-    tables.write_table(_refused(delivered, late), layout.path(f"rejected/{as_of}"))
-
-    due = materialize(due, "due")
-    changed = due.agg(F.min("date")).first()[0]
-    first, carry = _open_from(spark, layout, stored, str(changed) if changed else as_of)
-    rows = stored.filter(F.col("date") >= _day(first)).unionByName(due)
-    # read by the session cells, by the join and by the state
-    cleaned = materialize(rows, "cleaned")
-
-    curated = S.conform(sessions.sessionize(cleaned, gap_seconds, carry), S.CURATED_EVENT)
-    tables.write_partitions(curated, events, ["date"], ["user_id", "event_ts"])
-    written = spark.read.schema(S.CURATED_EVENT).parquet(events).filter(
-        F.col("date").between(_day(first), _day(as_of))
-    )
-    tables.write_partitions(
-        sales.sales_of_sessions(written), layout.path("curated/sales"), ["date"]
-    )
-    for day in list_names(spark, layout.path("state/sessions")):
-        if day >= first:  # computed without the new events
-            remove_path(spark, layout.path(f"state/sessions/{day}"))
-    settled = _shift(spark, as_of, -SETTLED_DAYS)
-    if settled >= first:
-        known = cleaned.filter(F.col("date") <= _day(settled))
-        tables.write_table(
-            sessions.last_sessions(known, gap_seconds, carry),
-            layout.path(f"state/sessions/{settled}"),
-        )
-    return first
-
-
-def prune_states(spark: SparkSession, layout: Layout, before: str) -> None:
-    """Forget session states older than any date that will be rerun."""
-    for day in list_names(spark, layout.path("state/sessions")):
-        if day < before:
-            remove_path(spark, layout.path(f"state/sessions/{day}"))
-
-
 def _merged_state(spark: SparkSession, path: str, new: DataFrame, merge, as_of: str) -> DataFrame:
     """Merge ``new`` into the newest state of a day up to ``as_of``; one folder per day.
 
@@ -199,11 +32,26 @@ def _merged_state(spark: SparkSession, path: str, new: DataFrame, merge, as_of:
     return spark.read.parquet(f"{path}/{as_of}")
 
 
-def build_warehouse(spark: SparkSession, layout: Layout, as_of: str, since: str) -> None:
-    """Star schema and aggregates, from the curated days ``since`` to ``as_of``."""
+def _load_sessions(spark: SparkSession, layout: Layout, plan: curation.Plan) -> None:
+    """Replace the sessions a run has changed, in the partitions of the days they begin."""
+    path = layout.path("warehouse/dim_session")
+    fresh, gone = dims.sessions_of_intervals(plan.came), dims.sessions_of_intervals(plan.went)
+    both = fresh.unionByName(gone)
+    starts = sorted(str(r[0]) for r in both.select("start_date").distinct().collect())
+    if path_exists(spark, path):
+        stored = spark.read.schema(S.DIM_SESSION_STORED).parquet(path).filter(refresh.in_days("start_date", starts))
+        kept = stored.join(both.select("session_id"), "session_id", "left_anti")
+        fresh = kept.select(*S.DIM_SESSION_STORED.names).unionByName(fresh)
+    tables.replace_partitions(spark, path, fresh, "start_date", starts)
+
+
+def build_warehouse(spark: SparkSession, layout: Layout, as_of: str) -> None:
+    """Star schema and aggregates, after the runs of ``curate`` that it has not taken in yet."""
+    plans = curation.unloaded(spark, layout)
+    days = sorted({d for plan in plans for d in plan.days})
     upto = F.col("date") <= _day(as_of)
     events = layout.read(spark, "curated/events", S.CURATED_EVENT).filter(upto)
-    recent = events.filter(F.col("date") >= _day(since))
+    recent = events.filter(refresh.in_days("date", days))
 
     for name, build, order in (
         ("fact_sales", facts.fact_sales, "user_id"),
@@ -212,16 +60,8 @@ def build_warehouse(spark: SparkSession, layout: Layout, as_of: str, since: str)
         tables.write_partitions(
             build(recent), layout.path(f"warehouse/{name}"), ["date_key"], [order]
         )
-
-    # a session that reaches into the recent days may have begun before them
-    begun = recent.agg(F.to_date(F.min("session_start"))).first()[0]
-    if begun is not None:
-        touched = events.filter(
-            (F.col("date") >= F.lit(begun)) & (F.to_date("session_start") >= F.lit(begun))
-        )
-        tables.write_partitions(
-            dims.sessions_of_curated(touched), layout.path("warehouse/dim_session"), ["start_date"]
-        )
+    for plan in plans:
+        _load_sessions(spark, layout, plan)
 
     users = _merged_state(
         spark, layout.path("state/users"), dims.user_state(recent),
@@ -252,9 +92,10 @@ def build_warehouse(spark: SparkSession, layout: Layout, as_of: str, since: str)
             layout.path("warehouse/aggr_daily_sales"),
             layout.path("warehouse/aggr_customer_cohort"),
         ),
-        since,
+        days,
     )
-    refresh.refresh_category_metrics(spark, layout.path("mv/daily_category"), events, since)
+    refresh.refresh_category_metrics(spark, layout.path("mv/daily_category"), events, days)
+    curation.loaded(plans)
 
 
 def build_features(spark: SparkSession, layout: Layout, as_of: str) -> None:
@@ -282,6 +123,6 @@ def run(
 ) -> None:
     """The whole run for one date; any scheduler may call it."""
     with scratch_scope(spark):
-        first = curate(spark, raw_path, layout, as_of, since, late_days=late_days)
-        build_warehouse(spark, layout, as_of, first)
+        curate(spark, raw_path, layout, as_of, since, late_days=late_days)
+        build_warehouse(spark, layout, as_of)
         build_features(spark, layout, as_of)

@@ -1,5 +1,6 @@
 """Refresh of the aggregate tables for a given day."""
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,34 +52,35 @@ def refresh(
     dates: DataFrame,
     products: DataFrame,
     paths: AggregatePaths,
-    since: str | None = None,
+    days: Sequence[str] = (),
 ) -> None:
     """Bring both stored aggregates up to date; running it twice changes nothing.
 
-    ``since`` widens the windows when sales of earlier days were loaded as well.
+    ``days`` are days before the windows whose sales were changed as well.
     """
-    daily, cohort = daily_cutoff(as_of), cohort_cutoff(as_of)
-    if since is not None:
-        daily = F.least(daily, _day(since))
-        cohort = F.least(cohort, F.trunc(_day(since), "MM"))
-    daily_from, cohort_from = (
-        spark.range(1).select(daily.cast("string"), cohort.cast("string")).first()
-    )
-    recent = sales.filter(F.col("date_key") >= _day(daily_from))
+    window = in_days("date_key", days) | (F.col("date_key") >= daily_cutoff(as_of))
     tables.refresh_window(
-        spark, paths.daily_sales, aggregates.daily_sales(recent, dates, products),
-        "date_key", daily_from,
+        spark, paths.daily_sales, aggregates.daily_sales(sales.filter(window), dates, products),
+        "date_key", window,
     )
+    cohort = cohort_cutoff(as_of)
+    if days:
+        cohort = F.least(cohort, F.trunc(_day(min(days)), "MM"))
     tables.refresh_window(
-        spark, paths.customer_cohort, aggregates.cohorts(sales), "cohort_month", cohort_from
+        spark, paths.customer_cohort, aggregates.cohorts(sales), "cohort_month", F.col("cohort_month") >= cohort
     )
 
 
+def in_days(column: str, days: Sequence[str]) -> Column:
+    """A filter on a date column that prunes partitions."""
+    return F.col(column).isin([_day(d) for d in days]) if days else F.lit(False)
+
+
 def refresh_category_metrics(
-    spark: SparkSession, path: str, curated: DataFrame, changed_from: str
+    spark: SparkSession, path: str, curated: DataFrame, days: Sequence[str]
 ) -> None:
     """Materialized daily category metrics, recomputed for the dates that changed."""
-    changed = curated.filter(F.col("date") >= F.lit(changed_from).cast("date"))
+    changed = in_days("date", days)
     tables.refresh_window(
-        spark, path, aggregates.daily_category_metrics(changed), "date", changed_from
+        spark, path, aggregates.daily_category_metrics(curated.filter(changed)), "date", changed
     )

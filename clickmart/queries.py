@@ -17,7 +17,8 @@ from clickmart import schemas as S
 from clickmart.operators import (
     clean, dedup, enrich, geo, integrity, sales, sessions, similarity,
 )
-from clickmart.plans import aggregates, dims, facts, ltv, nightly, recommend, refresh, rfm
+from clickmart.plans import aggregates, curation, dims, facts, ltv, recommend, refresh, rfm
+from clickmart.plans.layout import Layout
 from clickmart.sinks import tables
 from clickmart.sources import catalog, fixtures, raw
 from clickmart.storage import materialize, scratch_path
@@ -206,7 +207,7 @@ def _late_lake(spark, sf_dir):
     delivered = F.greatest(first, F.least(last, F.date_add(day, shift)))
     fields = {"year": "yyyy", "month": "MM", "day": "dd"}
     events = fixtures.raw_events(spark, sf_dir)
-    layout, before = nightly.Layout(root), None
+    layout, before = Layout(root), None
     for as_of in ("2024-01-04", "2024-01-17", fixtures.EVENTS_AS_OF):
         came = delivered <= F.lit(as_of).cast("date")
         if before:
@@ -214,24 +215,32 @@ def _late_lake(spark, sf_dir):
         events.filter(came).withColumns(
             {k: F.date_format(delivered, f) for k, f in fields.items()}
         ).write.mode("append").partitionBy(*fields).json(path)
-        nightly.curate(spark, path, layout, as_of, None if before else "2024-01-01")
+        curation.curate(spark, path, layout, as_of, None if before else "2024-01-01")
         before = as_of
-    return layout.read(spark, "curated/events", S.CURATED_EVENT)
+    return layout
+
+
+def _late_events(spark, sf_dir):
+    return _late_lake(spark, sf_dir).read(spark, "curated/events", S.CURATED_EVENT)
 
 
 @_query
 def late_events(spark, sf_dir):
-    """The days its SQL twin compares, from runs over the whole table."""
-    compared = F.col("date") <= F.lit("2024-01-06").cast("date")
-    return _late_lake(spark, sf_dir).filter(compared).select(
-        "event_id", "user_id", "session_seq", "session_id"
-    )
+    """Start of the session of every event, after runs that met events late or early."""
+    return _late_events(spark, sf_dir).select("event_id", "user_id", "session_start")
 
 
 @_query
 def late_events_all(spark, sf_dir):
     """Every event of the table after runs that met it late or early."""
-    return _late_lake(spark, sf_dir).select("event_id", "user_id", "session_seq", "session_id")
+    return _late_events(spark, sf_dir).select("event_id", "user_id", "session_seq", "session_id")
+
+
+@_query
+def late_sessions(spark, sf_dir):
+    """The session dimension from the stored intervals that the same runs have merged."""
+    intervals = _late_lake(spark, sf_dir).read(spark, curation.INTERVALS, S.SESSION_INTERVAL)
+    return dims.sessions_of_intervals(intervals).drop("browser", "traffic_source", "start_date")
 
 
 # --- sessions ----------------------------------------------------------------
@@ -448,7 +457,8 @@ def category_metrics_refresh(spark, sf_dir):
         "event_count", F.col("event_count") + 1000
     )
     tables.write_partitions(stale, path, ["date"])
-    refresh.refresh_category_metrics(spark, path, events, "2024-01-20")
+    changed = [f"2024-01-{d}" for d in range(20, 31)]
+    refresh.refresh_category_metrics(spark, path, events, changed)
     return spark.read.schema(S.DAILY_CATEGORY_METRICS).parquet(path)
 
 

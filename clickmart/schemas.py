@@ -107,6 +107,12 @@ DIM_SESSION = _struct(
 # stored by the day a session starts
 DIM_SESSION_STORED = T.StructType(DIM_SESSION.fields + _struct("start_date date").fields)
 
+# state of the curated zone, stored by the day a session ends so far
+SESSION_INTERVAL = _struct(
+    "user_id string, session_start timestamp, last_ts timestamp, session_seq bigint, "
+    "page_views bigint, first_id string, device_type string, last_date date"
+)
+
 FACT_SALES = _struct(
     "sale_id string, session_id string, user_id string, product_id string, date_key date, "
     "hour smallint, quantity int, unit_price price, total_amount amount, "

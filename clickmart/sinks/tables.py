@@ -69,15 +69,28 @@ def replace_window(existing: DataFrame, recomputed: DataFrame, in_window: Column
     return keep.unionByName(recomputed.filter(in_window))
 
 
+def replace_partitions(
+    spark: SparkSession, path: str, df: DataFrame, column: str, values: Sequence[str], sort_by: Sequence[str] = ()
+) -> None:
+    """Replace the partitions named by ``values``; those that got no row are removed.
+
+    ``df`` may read the table itself.
+    """
+    fresh = materialize(df, "partitions")
+    write_partitions(fresh, path, [column], sort_by)
+    present = {str(r[0]) for r in fresh.select(column).distinct().collect()}
+    for value in sorted(set(values) - present):
+        remove_path(spark, f"{path}/{column}={value}")
+
+
 def refresh_window(
-    spark: SparkSession, path: str, recomputed: DataFrame, column: str, cutoff: str
+    spark: SparkSession, path: str, recomputed: DataFrame, column: str, window: Column
 ) -> list:
     """The same on storage, for a table partitioned by the date ``column``.
 
-    Writes the recomputed partitions from ``cutoff`` on, then drops partitions in
-    the window that got no row.  Returns the dropped partition values.
+    Writes the recomputed partitions in the window, then drops partitions in
+    it that got no row.  Returns the dropped partition values.
     """
-    window = F.col(column) >= F.lit(cutoff).cast("date")
     had = _values(spark.read.parquet(path), column, window) if path_exists(spark, path) else set()
     # computed once: the rows are written and their partition values listed
     fresh = materialize(recomputed.filter(window), "window")

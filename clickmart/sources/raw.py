@@ -1,6 +1,6 @@
 """Raw zone readers, batch and stream."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,14 @@ def read_raw(spark: SparkSession, path: str, schema: T.StructType = S.ENRICHED_E
     return _lines(spark.read.text(path), schema)
 
 
+def read_files(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType = S.ENRICHED_EVENT
+) -> DataFrame:
+    """The same of listed files, which may be none."""
+    text = spark.read.text(list(paths)) if paths else spark.createDataFrame([], "value string")
+    return _lines(text.select("value"), schema)
+
+
 def stream_raw(
     spark: SparkSession,
     path: str,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from clickmart import schemas as S
 from clickmart import storage
 from clickmart.operators import clean, geo, sales, sessions
-from clickmart.plans import aggregates, dims, facts, nightly
+from clickmart.plans import aggregates, curation, dims, facts, nightly
 from clickmart.sources import catalog, fixtures
 
 DAYS = ["2024-01-03", "2024-01-04"]
@@ -43,8 +43,8 @@ def lake(spark, raw_path, tmp_path_factory):
     layout = nightly.Layout(str(tmp_path_factory.mktemp("lake")))
     since = "2024-01-01"
     for as_of in DAYS:
-        first = nightly.curate(spark, raw_path, layout, as_of, since)
-        nightly.build_warehouse(spark, layout, as_of, first)
+        nightly.curate(spark, raw_path, layout, as_of, since)
+        nightly.build_warehouse(spark, layout, as_of)
         since = None
     nightly.run(spark, raw_path, layout, DAYS[-1])
     return layout
@@ -62,10 +62,10 @@ def test_scratch_is_removed(spark, lake):
 
 def test_old_states_are_pruned(spark, tmp_path):
     layout = nightly.Layout(str(tmp_path))
-    for day in DAYS:
-        spark.range(1).write.parquet(layout.path(f"state/sessions/{day}"))
-    nightly.prune_states(spark, layout, DAYS[-1])
-    assert storage.list_names(spark, layout.path("state/sessions")) == [DAYS[-1]]
+    for n in range(4):
+        spark.range(1).write.parquet(layout.path(f"{curation.LAST}/{n}"))
+    nightly.prune_states(spark, layout)
+    assert storage.list_names(spark, layout.path(curation.LAST)) == ["2", "3"]
 
 
 def test_events_and_sales(spark, sf, lake):
@@ -120,12 +120,12 @@ def test_features(spark, lake):
     assert spark.read.parquet(lake.path("features/item_similarity")).count() > 0
 
 
-def test_only_recent_folders_are_read(spark, raw_path):
-    recent = nightly.read_recent(spark, raw_path, DAYS[-1])
-    assert recent.count() > 0
-    assert {str(r[0]) for r in recent.select(F.to_date("processed_ts")).distinct().collect()} == {DAYS[-1]}
-    text = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: []" not in text
+def test_files_are_read_once(spark, raw_path, lake, tmp_path):
+    everything = curation.new_files(spark, raw_path, nightly.Layout(str(tmp_path)))
+    since = curation.new_files(spark, raw_path, nightly.Layout(str(tmp_path)), DAYS[-1])
+    assert 0 < since.count() < everything.count()
+    assert all("day=04" in r.path for r in since.collect())
+    assert curation.new_files(spark, raw_path, lake).count() == 0
 
 
 def test_catalog(spark, lake, raw_path):
@@ -209,6 +209,7 @@ def test_late_and_early_events_are_not_lost(spark, tmp_path):
     assert [got[f"own-{d}"][1] for d in days] == [1, 2, 3, 4, 5, 6] and got["late"][1] == 1
     refused = spark.read.parquet(layout.path("rejected/2024-01-06")).collect()
     assert [(r.line, r.reason) for r in refused] == [("{broken", "unreadable")]
+    assert not spark.read.parquet(layout.path("rejected/2024-01-07")).count()
     before = _curated(spark, layout)
     nightly.curate(spark, path, layout, days[-1])
     assert _curated(spark, layout) == before
@@ -259,3 +260,138 @@ def test_discovery_reads_every_line(spark, tmp_path):
             catalog.discover(spark, "clickmart_found", "found", str(tmp_path / "raw"))
     finally:
         spark.sql("DROP DATABASE IF EXISTS clickmart_found CASCADE")
+
+
+def _listing(layout, table):
+    """File names by partition folder."""
+    import os
+
+    root = layout.path(table)
+    return {
+        folder: sorted(n for n in os.listdir(f"{root}/{folder}") if n.endswith(".parquet"))
+        for folder in os.listdir(root) if "=" in folder
+    }
+
+
+def _rebuilt(spark, path):
+    """Sessions of all events of a raw zone, computed at once."""
+    from clickmart.sources import raw
+
+    rows = sessions.sessionize(clean.clean(raw.accepted(raw.read_raw(spark, path)))).collect()
+    return {r.event_id: (str(r.date), r.session_seq, r.session_id) for r in rows}
+
+
+def _sessioned(spark, layout):
+    rows = layout.read(spark, "curated/events", S.CURATED_EVENT).collect()
+    return {r.event_id: (str(r.date), r.session_seq, r.session_id) for r in rows}
+
+
+@pytest.fixture
+def zone(spark, tmp_path):
+    """Four days of three users; the last one is there on one day only."""
+    path, layout = str(tmp_path / "raw"), nightly.Layout(str(tmp_path / "lake"))
+    for d in range(5, 9):
+        day = f"2024-01-0{d}"
+        rows = [(f"{u}-{d}", u, day) for u in ("a", "b")] + ([("c-6", "c", day)] if d == 6 else [])
+        _deliver(spark, path, day, rows)
+        nightly.curate(spark, path, layout, day)
+    return path, layout
+
+
+def test_an_event_a_year_late_changes_its_users_days_only(spark, zone):
+    path, layout = zone
+    before, ends = _listing(layout, "curated/events"), _listing(layout, curation.INTERVALS)
+    _deliver(spark, path, "2024-01-09", [("stray", "c", "2023-01-09"), ("a-9", "a", "2024-01-09")])
+    days = nightly.curate(spark, path, layout, "2024-01-09")
+    assert days == ["2023-01-09", "2024-01-06", "2024-01-09"]
+    after = _listing(layout, "curated/events")
+    changed = {folder for folder in after if after[folder] != before.get(folder)}
+    assert changed == {f"date={d}" for d in days}
+    found = _listing(layout, curation.INTERVALS)
+    assert {f for f in found if found[f] != ends.get(f)} == {f"last_date={d}" for d in days}
+    assert _sessioned(spark, layout) == _rebuilt(spark, path)
+    assert _sessioned(spark, layout)["c-6"][1] == 2
+
+
+def test_late_events_extend_and_join_sessions(spark, tmp_path):
+    """Minutes apart, in the worst order: starts move, sessions join, later numbers fall."""
+    import datetime as dt
+    import json
+    import random
+
+    path, layout = str(tmp_path / "raw"), nightly.Layout(str(tmp_path / "lake"))
+    rng = random.Random(11)
+    start = dt.datetime(2024, 1, 5, 20, tzinfo=dt.timezone.utc).timestamp()
+    rows = [(f"{u}{i}", u, start + rng.randrange(0, 60 * 60 * 30, 300)) for u in "xyz" for i in range(60)]
+    rng.shuffle(rows)
+    views = {}
+    for n in range(4):
+        folder = tmp_path / "raw" / "year=2024" / "month=01" / f"day=0{5 + n % 2}"
+        folder.mkdir(parents=True, exist_ok=True)
+        lines = [json.dumps({"event_id": e, "user_id": u, "event_type": "view", "product_id": e,
+                             "timestamp": int(t * 1000)}) for e, u, t in rows[n::4]]
+        (folder / f"{n}.json").write_text("\n".join(lines) + "\n")
+        nightly.curate(spark, path, layout, "2024-01-07")
+        assert _sessioned(spark, layout) == _rebuilt(spark, path)
+        from clickmart.sources import raw
+
+        events = clean.clean(raw.accepted(raw.read_raw(spark, path)))
+        stored = dims.sessions_of_intervals(layout.read(spark, curation.INTERVALS, S.SESSION_INTERVAL))
+        assert _same(stored.select(*S.DIM_SESSION.names), dims.dim_session(events))
+        views[n] = stored.agg(F.sum("page_views")).first()[0]
+    assert list(views.values()) == [45, 90, 135, 180]
+
+
+def test_a_run_that_was_cut_off_is_finished(spark, zone, monkeypatch):
+    path, layout = zone
+    _deliver(spark, path, "2024-01-09", [("stray", "c", "2023-01-09"), ("a-9", "a", "2024-01-09")], ["{broken"])
+
+    def cut(*_args, **_kwargs):
+        raise OSError("gone")
+
+    for step in ("write_partitions", "replace_partitions"):
+        with monkeypatch.context() as patch:
+            patch.setattr(curation.tables, step, cut)
+            with pytest.raises(OSError):
+                nightly.curate(spark, path, layout, "2024-01-09")
+    _deliver(spark, path, "2024-01-06", [("b-old", "b", "2024-01-07")])
+    nightly.curate(spark, path, layout, "2024-01-09")
+    assert _sessioned(spark, layout) == _rebuilt(spark, path)
+    assert curation.new_files(spark, path, layout).count() == 0
+    refused = spark.read.parquet(layout.path("rejected/2024-01-09")).collect()
+    assert [r.line for r in refused] == ["{broken"]
+
+
+def test_a_file_in_an_older_folder_is_read_once(spark, zone):
+    path, layout = zone
+    _deliver(spark, path, "2024-01-05", [("b-more", "b", "2024-01-08")])
+    read = []
+    for _ in range(2):
+        nightly.curate(spark, path, layout, "2024-01-08", on_plan=lambda p: read.append(p.read("files", "path string").count()))
+    assert read == [1, 0] and "b-more" in _sessioned(spark, layout)
+
+
+def test_an_active_client_moves_only_its_own_days(spark, tmp_path):
+    """A session that has lasted for days: its start's partition of the dimension changes, no other old one."""
+    import datetime as dt
+    import json
+
+    path, layout = str(tmp_path / "raw"), nightly.Layout(str(tmp_path / "lake"))
+    for n in range(4):
+        day = dt.datetime(2024, 1, 5 + n, tzinfo=dt.timezone.utc)
+        folder = tmp_path / "raw" / "year=2024" / "month=01" / f"day=0{5 + n}"
+        folder.mkdir(parents=True)
+        rows = [("on", day + dt.timedelta(minutes=20 * i)) for i in range(72)] + [("short", day + dt.timedelta(hours=9))]
+        lines = [json.dumps({"event_id": f"{u}{t}", "user_id": u, "event_type": "view", "product_id": "p",
+                             "timestamp": int(t.timestamp() * 1000)}) for u, t in rows]
+        (folder / "0.json").write_text("\n".join(lines) + "\n")
+        before = _listing(layout, "warehouse/dim_session") if n else {}
+        with storage.scratch_scope(spark):
+            nightly.curate(spark, path, layout, f"2024-01-0{5 + n}")
+            for plan in curation.unloaded(spark, layout):
+                nightly._load_sessions(spark, layout, plan)
+                curation.loaded([plan])
+        after = _listing(layout, "warehouse/dim_session")
+        assert {f for f in after if after[f] != before.get(f)} == {"start_date=2024-01-05", f"start_date=2024-01-0{5 + n}"}
+    stored = layout.read(spark, "warehouse/dim_session", S.DIM_SESSION_STORED)
+    assert {(r.user_id, r.page_views) for r in stored.collect()} == {("on", 288), ("short", 1)}

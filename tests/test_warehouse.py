@@ -159,7 +159,7 @@ def test_refresh_on_storage(spark, tmp_path):
         "d", F.to_date("d")
     )
     for _ in range(2):
-        tables.refresh_window(spark, path, new, "d", "2024-01-02")
+        tables.refresh_window(spark, path, new, "d", F.col("d") >= F.lit("2024-01-02").cast("date"))
         rows = sorted((str(r.d), r.n) for r in spark.read.parquet(path).collect())
         assert rows == [("2024-01-01", 1), ("2024-01-02", 20)]
 
