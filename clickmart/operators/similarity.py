@@ -1,68 +1,287 @@
-"""Exact cosine top-k between items by blocked matrix products.
+"""Exact cosine top-k between items by blocked matrix products, without the blocks that can't matter.
 
-Items are packed into blocks of about two thousand vectors.  Any two blocks meet
-once; the meeting multiplies two small matrices and keeps only k neighbours per
-item, so rows moved grow with items times blocks, never with pairs of items.  No
-block passes through the driver.
+1. Vectors are scaled to length one and written once, with the nearest of some pivots (far apart, out of
+   vectors drawn by hash) and the angle to it.  Items of a pivot are cut by angle into blocks of about ``BLOCK_ITEMS``, so a block is a
+   pivot and a range of angles.
+2. On a sphere angles obey the triangle inequality: two blocks' pivots and ranges bound the similarity of any
+   two of their items from above.
+3. Every block first meets the few blocks with the highest bounds.  The worst k-th best similarity of its items is
+   then a threshold: only blocks whose bound reaches it are met at all.
+4. A task holds one block and streams the others by falling bound, with the running k best of each item, and
+   passes over what can't improve any.  Long lists of blocks are parts of up to ``PART_BLOCKS`` meetings for several
+   tasks; the best k of the parts are merged.
+
+Of equal vectors only the k + 1 with the smallest ids can be anyone's neighbours, so copies never meet copies in
+full.  The driver sees the pivots and one row per block, of which there are at most ``MAX_BLOCKS``: beyond
+that blocks grow.  Vectors of length zero are similar to nothing (0); among equals the smaller id comes first.
 """
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from clickmart.storage import materialize
+
 BLOCK_ITEMS = 2048
+MAX_BLOCKS = 65_536
+MAX_PIVOTS = 1_024
+#: vectors drawn per pivot
+DRAWN = 8
+#: blocks that are met to find the threshold; as few blocks are not worth a plan
+FIRST = 3
+PART_BLOCKS = 64
+ANGLE_BINS = 4_096
+#: rounding of a bound and of a product
+SLACK = 1e-9
+_PAIRS = "a long, part int, place int, b long, bound double"
 
 
-def _blocks(items: DataFrame, count: int) -> DataFrame:
-    return (
-        items.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(count)).cast("int"))
-        .groupBy("b")
-        .agg(F.collect_list(F.struct("id", "features")).alias("rows"))
-        .select("b", F.col("rows.id").alias("ids"), F.col("rows.features").alias("vectors"))
+def _stacked(vectors) -> np.ndarray:
+    return np.vstack([np.asarray(v, dtype=np.float64) for v in vectors])
+
+
+def _placer(pivots: np.ndarray | None):
+    """Unit vectors with the nearest pivot (-1 for a zero vector) and the angle to it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            m = _stacked(batch["vector"])
+            norm = np.linalg.norm(m, axis=1)
+            # scaled first: the square of a tiny or huge entry is no number
+            norm[(norm == 0) | ~np.isfinite(norm)] = 0
+            largest = np.abs(m).max(axis=1)
+            odd = (norm == 0) & (largest > 0)
+            m[odd] /= largest[odd, None]
+            norm[odd] = np.linalg.norm(m[odd], axis=1)
+            unit = np.divide(m, norm[:, None], out=np.zeros_like(m), where=norm[:, None] > 0)
+            pivot, angle = np.zeros(len(m), np.int64), np.zeros(len(m))
+            if pivots is not None:
+                near = unit @ pivots.T
+                pivot = near.argmax(axis=1)
+                angle = np.arccos(np.clip(near.max(axis=1), -1, 1))
+            pivot[norm == 0], angle[norm == 0] = -1, 0
+            yield pd.DataFrame({"id": batch["id"], "vector": list(unit), "pivot": pivot, "angle": angle})
+
+    return run
+
+
+def _pivots(rows: DataFrame, count: int) -> np.ndarray:
+    """``count`` unit vectors that lie far apart, each next the farthest from those before, out of some drawn by hash."""
+    nonzero = rows.filter(F.exists("vector", lambda x: x != 0))
+    drawn = nonzero.orderBy(F.xxhash64("id"), "id").limit(DRAWN * count).select("vector").collect()
+    m = _stacked([r.vector for r in drawn] or [[1.0]])
+    m = m / np.abs(m).max(axis=1, keepdims=True)
+    m = m / np.linalg.norm(m, axis=1, keepdims=True)
+    chosen, near = [0], m @ m[0]
+    while len(chosen) < min(count, len(m)):
+        chosen.append(int(near.argmin()))
+        near = np.maximum(near, m @ m[chosen[-1]])
+    return m[chosen]
+
+
+def _block(pivot, piece, sub):
+    return F.shiftleft(pivot, 40).bitwiseOR(F.shiftleft(piece.cast("long"), 16)).bitwiseOR(sub.cast("long"))
+
+
+def _blocked(placed: DataFrame, size: int) -> DataFrame:
+    """``placed`` with ``block``: items of one pivot and a range of angles, ``size`` of them or little more."""
+    binned = placed.withColumn("bin", F.floor(F.col("angle") * (ANGLE_BINS / np.pi)).cast("int"))
+    counts = binned.groupBy("pivot", "bin").agg(F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("pivot").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
+    # a bin that alone is more than a block is dealt by hash
+    cuts = counts.select(
+        F.col("pivot").alias("_pivot"), F.col("bin").alias("_bin"),
+        F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / size).alias("piece"),
+        F.least(F.ceil(F.col("n") / size), F.lit(2**15)).alias("subs"),
     )
+    sub = F.pmod(F.xxhash64("id"), F.col("subs"))
+    return binned.join(cuts, (F.col("pivot") == F.col("_pivot")) & (F.col("bin") == F.col("_bin"))).select(
+        "id", "vector", "pivot", "angle", _block(F.col("pivot"), F.col("piece"), sub).alias("block")
+    )
+
+
+@dataclass(frozen=True)
+class _Blocks:
+    """What is known about each block: bounded in number, so it travels with the tasks."""
 
+    ids: np.ndarray
+    pivot: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    between: np.ndarray  # angles of the pivots
 
-def _unit(vectors) -> np.ndarray:
-    m = np.vstack([np.asarray(v, dtype=np.float64) for v in vectors])
-    norm = np.linalg.norm(m, axis=1, keepdims=True)
-    return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
-
-
-def _neighbours(ids: np.ndarray, others: np.ndarray, sims: np.ndarray, k: int) -> pd.DataFrame:
-    """The k most similar ``others`` per row of ``sims``, smaller id first among equals."""
-    keep = min(k, len(others))
-    by_id = np.argsort(others, kind="stable")
-    order = np.argsort(-sims[:, by_id], axis=1, kind="stable")[:, :keep]
-    top = by_id[order]
-    score = np.take_along_axis(sims, top, axis=1).ravel()
-    real = np.isfinite(score)
-    return pd.DataFrame(
-        {
-            "item_id": np.repeat(ids, keep)[real],
-            "similar_id": others[top.ravel()][real],
-            "similarity": score[real],
-        }
+    def bounds(self, at: int) -> np.ndarray:
+        """Highest similarity that an item of block ``at`` can have with one of each block."""
+        apart = self.between[self.pivot[at]][self.pivot]
+        least = np.maximum(0, apart - self.high[at] - self.high)
+        least = np.maximum(least, self.low - apart - self.high[at])
+        least = np.maximum(least, self.low[at] - apart - self.high)
+        # nothing is similar to a zero vector
+        return np.where(self.pivot < 0, 0.0, np.cos(np.minimum(least, np.pi)))
+
+
+def _known(rows: DataFrame, pivots: np.ndarray | None) -> _Blocks:
+    found = rows.groupBy("block", "pivot").agg(F.min("angle").alias("low"), F.max("angle").alias("high")).collect()
+    found = sorted(found, key=lambda r: r.block)
+    p = np.ones((1, 1)) if pivots is None else pivots
+    between = np.arccos(np.clip(p @ p.T, -1, 1))
+    return _Blocks(
+        np.array([r.block for r in found], np.int64), np.array([r.pivot for r in found], np.int64),
+        np.array([r.low for r in found]), np.array([r.high for r in found]), between,
     )
 
 
-def _meet(k: int):
-    """Multiply each pair of blocks once and keep the neighbours of both sides."""
+def _lister(known: _Blocks, limit: int | None):
+    """Blocks to meet, by falling bound: the first ``limit``, or all whose bound reaches the threshold."""
 
-    def pairs(batches):
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                left, right = np.asarray(row.ids), np.asarray(row.other_ids)
-                sims = _unit(row.vectors) @ _unit(row.other_vectors).T
-                if row.b == row.ob:
-                    # an item is no neighbour of itself
-                    sims[left[:, None] == right[None, :]] = -np.inf
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a, threshold in zip(batch["a"], batch["threshold"], strict=True):
+                at = int(np.searchsorted(known.ids, a))
+                bound = known.bounds(at)
+                order = np.lexsort((known.ids != a, -bound))
+                if limit is not None:
+                    order = order[:limit]
                 else:
-                    yield _neighbours(right, left, sims.T, k)
-                yield _neighbours(left, right, sims, k)
+                    order = order[bound[order] >= threshold - SLACK]
+                place = np.arange(len(order))
+                yield pd.DataFrame({
+                    "a": a, "part": place // PART_BLOCKS, "place": place, "b": known.ids[order], "bound": bound[order],
+                })
+
+    return run
+
+
+class _Best:
+    """The running k best of the items of one block."""
 
-    return pairs
+    def __init__(self, ids, vectors, k: int):
+        self.ids, self.vectors, self.k = np.asarray(list(ids)), _stacked(vectors), k
+        self.rows = np.empty(0, np.int64)
+        self.others, self.score = self.ids[:0], np.empty(0)
+        self.kth = np.full(len(self.ids), -np.inf)
+
+    def meet(self, ids, vectors) -> None:
+        others = np.asarray(list(ids))
+        score = self.vectors @ _stacked(vectors).T
+        # an item is no neighbour of itself
+        score[self.ids[:, None] == others[None, :]] = -np.inf
+        least = self.kth
+        if len(others) > self.k:
+            least = np.maximum(least, np.partition(score, -self.k, axis=1)[:, -self.k])
+        rows, columns = np.nonzero((score >= least[:, None]) & np.isfinite(score))
+        self._take(rows, others[columns], score[rows, columns])
+
+    def _take(self, rows, others, score) -> None:
+        rows, others = np.concatenate([self.rows, rows]), np.concatenate([self.others, others])
+        score = np.concatenate([self.score, score])
+        order = np.lexsort((others, -score, rows))
+        rows = rows[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        kept = order[place < self.k]
+        self.rows, self.others, self.score = rows[place < self.k], others[kept], score[kept]
+        full = place == self.k - 1
+        self.kth[rows[full]] = score[order[full]]
+
+    def found(self) -> pd.DataFrame:
+        return pd.DataFrame(
+            {"item_id": self.ids[self.rows], "similar_id": self.others, "similarity": self.score}
+        )
+
+
+def _meetings(k: int, thresholds: bool):
+    """Stream of a block followed by those it meets; the k best of its items, or their worst k-th."""
+
+    def result(a: int, best: _Best) -> pd.DataFrame:
+        if thresholds:
+            return pd.DataFrame({"a": [a], "threshold": [best.kth.min()]})
+        return best.found()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best, a = None, None
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                if row.place < 0:
+                    if best is not None:
+                        yield result(a, best)
+                    best, a = _Best(row.ids, row.vectors, k), row.a
+                elif row.bound >= best.kth.min() - SLACK:
+                    best.meet(row.ids, row.vectors)
+        if best is not None:
+            yield result(a, best)
+
+    return run
+
+
+def _streams(blocks: DataFrame, candidates: DataFrame, pairs: DataFrame) -> DataFrame:
+    """For each block and part of its list: the block itself, then the candidates of the others in order."""
+    heads = pairs.select("a", "part").distinct().join(blocks, F.col("a") == F.col("block")).select(
+        "a", "part", F.lit(-1).alias("place"), F.lit(1.0).alias("bound"), "ids", "vectors"
+    )
+    others = pairs.join(candidates, F.col("b") == F.col("block")).select(
+        "a", "part", "place", "bound", "ids", "vectors"
+    )
+    return heads.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", "place")
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("block").agg(F.collect_list(F.struct("id", "vector")).alias("rows")).select(
+        "block", F.col("rows.id").alias("ids"), F.col("rows.vector").alias("vectors")
+    )
+
+
+@dataclass(frozen=True)
+class Meetings:
+    """Blocks, the items of each that can be neighbours, and which blocks meet (a, part, place, b, bound)."""
+
+    items: DataFrame
+    blocks: DataFrame
+    candidates: DataFrame
+    pairs: DataFrame
+    block_count: int
+
+
+def plan_meetings(rows: DataFrame, k: int, block_items: int = BLOCK_ITEMS) -> Meetings:
+    """Which blocks of ``rows`` (id, vector) have to meet for the k nearest of every item."""
+    spark = rows.sparkSession
+    n = rows.count()
+    size = max(block_items, -(-n // MAX_BLOCKS))
+    count = -(-n // size)
+    pivots = _pivots(rows, min(count, MAX_PIVOTS)) if count > FIRST else None
+    kind = f"id {rows.schema['id'].dataType.simpleString()}, vector array<double>, pivot long, angle double"
+    placed = rows.mapInPandas(_placer(pivots), kind)
+    if count > 1:
+        placed = _blocked(materialize(placed, "unit-vectors"), size)
+    else:
+        placed = placed.withColumn("block", F.when(F.col("pivot") < 0, -1).otherwise(0).cast("long"))
+    items = materialize(placed, "similarity-items")
+    # smaller ids first: of equal vectors no others can be among anyone's k nearest
+    copy = F.row_number().over(W.partitionBy("vector").orderBy("id"))
+    candidates = _packed(items.withColumn("copy", copy).filter(F.col("copy") <= k + 1))
+    blocks = _packed(items.filter("pivot >= 0"))
+    if count > 1:
+        blocks, candidates = materialize(blocks, "similarity-blocks"), materialize(candidates, "similarity-candidates")
+    known = _known(items, pivots)
+    own = [int(b) for b, p in zip(known.ids, known.pivot, strict=True) if p >= 0]
+    tasks = spark.createDataFrame([(b, float("-inf")) for b in own], "a long, threshold double")
+    if len(own) > FIRST:
+        tasks = tasks.repartition("a")
+        first = tasks.mapInPandas(_lister(known, FIRST), _PAIRS)
+        tasks = materialize(
+            _streams(blocks, candidates, first).mapInPandas(_meetings(k, True), "a long, threshold double"),
+            "similarity-thresholds",
+        )
+    pairs = tasks.mapInPandas(_lister(known, None), _PAIRS)
+    if len(own) > FIRST:
+        pairs = materialize(pairs, "similarity-pairs")
+    return Meetings(items, blocks, candidates, pairs, len(own))
 
 
 def cosine_topk(
@@ -70,23 +289,22 @@ def cosine_topk(
     block_items: int = BLOCK_ITEMS,
 ) -> DataFrame:
     """``item_id, rank, similar_id, similarity``: the k nearest other items of each item."""
-    rows = items.select(F.col(id_col).alias("id"), F.col(vector_col).alias("features"))
-    count = max(1, -(-rows.count() // block_items))
-    blocks = _blocks(rows, count)
-    last = F.lit(count - 1)
-    left = blocks.withColumn("ob", F.explode(F.sequence(F.col("b"), last)))
-    right = blocks.select(
-        F.col("b").alias("ob"), F.col("ids").alias("other_ids"), F.col("vectors").alias("other_vectors")
-    ).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("ob"))))
-    id_type = rows.schema["id"].dataType.simpleString()
-    # one row per pair of blocks, spread over the shuffle by both block numbers
-    partial = (
-        left.join(right.hint("merge"), ["b", "ob"])
-        .mapInPandas(_meet(k), f"item_id {id_type}, similar_id {id_type}, similarity double")
+    rows = items.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    plan = plan_meetings(rows, k, block_items)
+    kind = rows.schema["id"].dataType.simpleString()
+    partial = _streams(plan.blocks, plan.candidates, plan.pairs).mapInPandas(
+        _meetings(k, False), f"item_id {kind}, similar_id {kind}, similarity double"
+    )
+    # zero vectors are equally far from everything: the smallest ids are their neighbours
+    smallest = plan.items.select("id").orderBy("id").limit(k + 1).agg(F.collect_list("id").alias("ids"))
+    zeros = (
+        plan.items.filter("pivot < 0").select(F.col("id").alias("item_id")).join(smallest)
+        .select("item_id", F.explode("ids").alias("similar_id")).filter("item_id != similar_id")
+        .withColumn("similarity", F.lit(0.0))
     )
     nearest = W.partitionBy("item_id").orderBy(F.desc("similarity"), "similar_id")
     return (
-        partial.withColumn("rank", F.row_number().over(nearest))
+        partial.unionByName(zeros).withColumn("rank", F.row_number().over(nearest))
         .filter(F.col("rank") <= k)
         .select("item_id", "rank", "similar_id", "similarity")
     )

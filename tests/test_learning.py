@@ -52,23 +52,82 @@ def test_item_vectors(recommender):
     assert np.allclose(row.features, row.vec.toArray())
 
 
+def _brute(ids, m, k):
+    """The k nearest of every item: (similar id, similarity)."""
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    unit = np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
+    sims = unit @ unit.T
+    order = [sorted((j for j in range(len(ids)) if j != i), key=lambda j: (-round(sims[i, j], 12), ids[j]))[:k]
+             for i in range(len(ids))]
+    return {ids[i]: [(ids[j], sims[i, j]) for j in row] for i, row in enumerate(order)}
+
+
+def _found(df):
+    got = {}
+    for r in df.collect():
+        got.setdefault(r.item_id, []).append((r.rank, r.similar_id, r.similarity))
+    return {i: [(s, v) for _, s, v in sorted(rows)] for i, rows in got.items()}
+
+
+def _same_neighbours(got, want):
+    assert set(got) == set(want)
+    for i, rows in want.items():
+        assert [j for j, _ in got[i]] == [j for j, _ in rows], i
+        assert np.allclose([s for _, s in got[i]], [s for _, s in rows])
+
+
 @pytest.mark.parametrize("block_items", [7, 1000])
 def test_similarity_equals_brute_force(spark, block_items):
     rng = np.random.default_rng(3)
     m = rng.normal(size=(60, 8))
-    m[5] = 0
+    m[[5, 17]] = 0
     items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, features array<double>")
-    got = {}
-    for r in similarity.cosine_topk(items, 4, block_items=block_items).collect():
-        got.setdefault(r.item_id, []).append((r.rank, r.similar_id, r.similarity))
-    norm = np.linalg.norm(m, axis=1, keepdims=True)
-    unit = np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
-    sims = unit @ unit.T
-    for i in range(60):
-        order = sorted((j for j in range(60) if j != i), key=lambda j: (-round(sims[i, j], 12), j))[:4]
-        rows = sorted(got[i])
-        assert [j for _, j, _ in rows] == order
-        assert np.allclose([s for _, _, s in rows], sims[i, order])
+    _same_neighbours(_found(similarity.cosine_topk(items, 4, block_items=block_items)), _brute(list(range(60)), m, 4))
+
+
+def _clustered(spark, clusters=40, each=30, noise=0.02):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(clusters, 12))
+    m = np.repeat(centres, each, axis=0) + noise * rng.normal(size=(clusters * each, 12))
+    # 200 copies of one vector, under ids that are not their order
+    m[100:300] = m[100]
+    ids = [f"p{x:05d}" for x in rng.permutation(len(m))]
+    return ids, m, spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, m)], "id string, features array<double>")
+
+
+def test_far_blocks_do_not_meet(spark):
+    ids, m, items = _clustered(spark)
+    plan = similarity.plan_meetings(items.select("id", F.col("features").alias("vector")), 5, 30)
+    met = plan.pairs.count()
+    assert plan.block_count >= 30 and met < 0.15 * plan.block_count**2
+    _same_neighbours(_found(similarity.cosine_topk(items, 5, block_items=30)), _brute(ids, m, 5))
+
+
+def test_long_lists_are_parts(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "PART_BLOCKS", 3)
+    rng = np.random.default_rng(4)
+    m = rng.normal(size=(90, 20))
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, features array<double>")
+    _same_neighbours(_found(similarity.cosine_topk(items, 3, block_items=6)), _brute(list(range(90)), m, 3))
+
+
+def test_bounds_hold():
+    """No two items are more similar than the bound of their blocks."""
+    rng = np.random.default_rng(2)
+    m = rng.normal(size=(300, 4))
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    pivots = m[:8]
+    near = m @ pivots.T
+    pivot, angle = near.argmax(axis=1), np.arccos(np.clip(near.max(axis=1), -1, 1))
+    block = pivot * 2 + (angle > np.median(angle))
+    ids = np.unique(block)
+    known = similarity._Blocks(
+        ids, np.array([b // 2 for b in ids]), np.array([angle[block == b].min() for b in ids]),
+        np.array([angle[block == b].max() for b in ids]), np.arccos(np.clip(pivots @ pivots.T, -1, 1)),
+    )
+    for at, b in enumerate(ids):
+        for bound, other in zip(known.bounds(at), ids, strict=True):
+            assert (m[block == b] @ m[block == other].T).max() <= bound + 1e-9
 
 
 def test_regression(spark, sf):
