@@ -9,7 +9,7 @@ from clickmart.functions.scalar import event_hash
 from clickmart.operators import geo
 
 
-def enrich(raw: DataFrame, geo_segments: DataFrame, source: str = C.STREAM_SOURCE) -> DataFrame:
+def enrich(raw: DataFrame, places: geo.Places, source: str = C.STREAM_SOURCE) -> DataFrame:
     """Place from the address, hashed event id, processing time, lineage.
 
     Unreadable lines are left to the reject sink; a payload with fields beyond the
@@ -20,7 +20,7 @@ def enrich(raw: DataFrame, geo_segments: DataFrame, source: str = C.STREAM_SOURC
     if S.PAYLOAD not in raw.columns:
         raw = raw.withColumn(S.PAYLOAD, F.lit(None).cast("string"))
     located = geo.locate(
-        raw.withColumn("ip_address", F.coalesce("ip_address", F.lit(""))), geo_segments
+        raw.withColumn("ip_address", F.coalesce("ip_address", F.lit(""))), places
     )
     return located.withColumns(
         {

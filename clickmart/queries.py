@@ -150,7 +150,7 @@ def dedup_events(spark, sf_dir):
 @_query
 def enrich_events(spark, sf_dir):
     located = enrich.enrich(
-        fixtures.raw_events(spark, sf_dir), materialize(_segments(spark), "geo")
+        fixtures.raw_events(spark, sf_dir), _segments(spark).stored()
     )
     return located.drop("processed_ts", "session_id", "price", "payload")
 
@@ -185,7 +185,7 @@ def _odd_lines(spark, sf_dir):
 def enrich_keeps_fields(spark, sf_dir):
     """Fields that the schema lacks reach the enriched event."""
     decoded = raw.decode(_odd_lines(spark, sf_dir))
-    located = enrich.enrich(decoded, materialize(_segments(spark), "geo"))
+    located = enrich.enrich(decoded, _segments(spark).stored())
     return located.select(
         "user_id", "timestamp", F.get_json_object("payload", "$.coupon").alias("coupon")
     )
@@ -365,7 +365,7 @@ def user_activity(spark, sf_dir):
 
 @_query
 def dim_customer(spark, sf_dir):
-    events = geo.locate(fixtures.clean_events(spark, sf_dir), materialize(_segments(spark), "geo"))
+    events = geo.locate(fixtures.clean_events(spark, sf_dir), _segments(spark).stored())
     sold = sales.session_sales(events)
     scored = rfm.segments(rfm.scores(rfm.metrics(sold, fixtures.EVENTS_AS_OF)))
     value = rfm.ltv_formula(scored).select("user_id", "ltv_12m")
@@ -705,7 +705,7 @@ def _drain(spark, rows: DataFrame, label: str) -> DataFrame:
 @_query
 def stream_enrich(spark, sf_dir):
     events = fixtures.stream_events(spark, sf_dir)
-    located = enrich.enrich(events, materialize(_segments(spark), "geo"))
+    located = enrich.enrich(events, _segments(spark).stored())
     return _drain(spark, located, "enriched").drop(
         "processed_ts", "session_id", "price", "payload"
     )
@@ -715,7 +715,7 @@ def stream_enrich(spark, sf_dir):
 def stream_raw_delivery(spark, sf_dir):
     """Enriched events delivered as JSON lines by day, then cleaned from the raw zone."""
     located = enrich.enrich(
-        fixtures.stream_events(spark, sf_dir), materialize(_segments(spark), "geo")
+        fixtures.stream_events(spark, sf_dir), _segments(spark).stored()
     )
     path = scratch_path(spark, "delivered")
     ingest.raw_sink(
@@ -733,7 +733,7 @@ def stream_record_count(spark, sf_dir):
     lines = enrich.json_lines(fixtures.raw_events(spark, sf_dir))
     lines.repartition(20).write.text(source)
     rows = raw.accepted(raw.stream_raw(spark, source, max_files=1))
-    located = enrich.enrich(rows, materialize(_segments(spark), "geo"))
+    located = enrich.enrich(rows, _segments(spark).stored())
     query = ingest.raw_sink(located, path, scratch_path(spark, "counted-state"), interval=None)
     counted = ingest.count_until_done(query)
     return spark.read.text(path).agg(F.count(F.lit(1)).alias("delivered")).select(

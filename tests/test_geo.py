@@ -46,17 +46,53 @@ def _brute(ip):
     return min(hits)[1:] if hits else ("Unknown", "Unknown")
 
 
-@pytest.fixture(scope="module")
-def segments(spark):
+@pytest.fixture(scope="module", params=[128, 1, 0])
+def segments(spark, request):
+    """Few ranges split no block; a limit of one or none begets blocks of every size."""
     table = spark.createDataFrame(
         NETWORKS, "ip_from string, ip_to string, country string, city string"
     )
-    return geo.segments(geo.ranges(table))
+    before, geo.BLOCK_RANGES = geo.BLOCK_RANGES, request.param
+    try:
+        places = geo.segments(geo.ranges(table))
+        assert bool(places.splits) == (request.param < 128)
+        return places.stored()
+    finally:
+        geo.BLOCK_RANGES = before
 
 
 def test_segments_are_disjoint(segments):
-    rows = sorted((r.level, r.lo, r.hi) for r in segments.collect())
+    rows = sorted((len(r.lo), r.lo, r.hi) for r in segments.segments.collect())
     assert all(a[0] < b[0] or a[2] < b[1] for a, b in zip(rows, rows[1:]))
+    blocks = {r.block for r in segments.segments.collect()}
+    split = {name for names in segments.splits.values() for name in names}
+    # no block lies within another one
+    assert not blocks & split and not any(a != b and b.startswith(a) for a in blocks for b in blocks)
+
+
+def test_many_ranges(spark):
+    """A list like a real one: large ranges handed out in ever smaller pieces, of both families."""
+    rng = random.Random(5)
+    rows = [("2a00::", "2a0f:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "EU", "all"), ("80.0.0.0", "95.255.255.255", "EU", "all")]
+    for i in range(1500):
+        a = (80 << 24) + (rng.randrange(2**14) << 10)
+        rows.append((str(ipaddress.ip_address(a)), str(ipaddress.ip_address(a + 2 ** rng.randint(0, 12) - 1)), f"c{i}", str(i)))
+        b = (0x2A00 << 112) + (rng.randrange(40) << 96) + (rng.randrange(2**16) << 80)
+        rows.append((str(ipaddress.ip_address(b)), str(ipaddress.ip_address(b + 2 ** rng.randint(0, 84) - 1)), f"d{i}", str(i)))
+    places = geo.segments(geo.ranges(
+        spark.createDataFrame(rows, "ip_from string, ip_to string, country string, city string")
+    )).stored()
+    assert places.splits and max(
+        r["count"] for r in places.segments.groupBy("block").count().collect()
+    ) <= 4 * geo.BLOCK_RANGES + 2
+    asked = [_number(r[k]) + d for r in rng.sample(rows, 150) for k in (0, 1) for d in (-1, 0, 1)]
+    events = spark.createDataFrame([(i, str(ipaddress.ip_address(n))) for i, n in enumerate(asked)], "id int, ip_address string")
+    spans = [(_number(hi) - _number(lo), _number(lo), _number(hi), c, t) for lo, hi, c, t in rows]
+    for r in geo.locate(events, places).collect():
+        n = asked[r.id]
+        hits = sorted((w, c, t) for w, lo, hi, c, t in spans if lo <= n <= hi)
+        ties = {h[1:] for h in hits if h[0] == hits[0][0]} if hits else {("Unknown", "Unknown")}
+        assert (r.country, r.city) in ties
 
 
 @pytest.mark.parametrize("limit", ["10m", "-1"])
@@ -98,14 +134,16 @@ def test_join_plan(spark, sf, segments):
     assert "NestedLoop" not in small and "Cartesian" not in small
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = plan(geo.locate(events, segments))
+        large, own = plan(geo.locate(events, segments)), plan(events)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in large and "NestedLoop" not in large
+    assert large.count("SortMergeJoin") == own.count("SortMergeJoin") + 1 and "NestedLoop" not in large
 
 
 def test_one_busy_block_is_split(spark, segments):
     """All events in one block, segments too large to broadcast: no task gets them all."""
+    if segments.splits:
+        pytest.skip("the events lie in several blocks")
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
