@@ -41,7 +41,7 @@ SLACK = 1e-9
 _PAIRS = "a long, part int, place int, b long, bound double"
 
 
-def _stacked(vectors) -> np.ndarray:
+def stacked(vectors) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
@@ -52,7 +52,7 @@ def _placer(pivots: np.ndarray | None):
         for batch in batches:
             if not len(batch):
                 continue
-            m = _stacked(batch["vector"])
+            m = stacked(batch["vector"])
             norm = np.linalg.norm(m, axis=1)
             # scaled first: the square of a tiny or huge entry is no number
             norm[(norm == 0) | ~np.isfinite(norm)] = 0
@@ -76,7 +76,7 @@ def _pivots(rows: DataFrame, count: int) -> np.ndarray:
     """``count`` unit vectors that lie far apart, each next the farthest from those before, out of some drawn by hash."""
     nonzero = rows.filter(F.exists("vector", lambda x: x != 0))
     drawn = nonzero.orderBy(F.xxhash64("id"), "id").limit(DRAWN * count).select("vector").collect()
-    m = _stacked([r.vector for r in drawn] or [[1.0]])
+    m = stacked([r.vector for r in drawn] or [[1.0]])
     m = m / np.abs(m).max(axis=1, keepdims=True)
     m = m / np.linalg.norm(m, axis=1, keepdims=True)
     chosen, near = [0], m @ m[0]
@@ -153,26 +153,24 @@ def _lister(known: _Blocks, limit: int | None):
                     order = order[bound[order] >= threshold - SLACK]
                 place = np.arange(len(order))
                 yield pd.DataFrame({
-                    "a": a, "part": place // PART_BLOCKS, "place": place, "b": known.ids[order], "bound": bound[order],
+                    "a": a, "part": place * 0 if limit else place // PART_BLOCKS, "place": place, "b": known.ids[order],
+                    "bound": bound[order],
                 })
 
     return run
 
 
-class _Best:
-    """The running k best of the items of one block."""
+class Best:
+    """The running k best of the rows of one block: highest score first, smaller id among equals."""
 
     def __init__(self, ids, vectors, k: int):
-        self.ids, self.vectors, self.k = np.asarray(list(ids)), _stacked(vectors), k
-        self.rows = np.empty(0, np.int64)
-        self.others, self.score = self.ids[:0], np.empty(0)
+        self.ids, self.vectors, self.k = np.asarray(list(ids)), stacked(vectors), k
+        self.rows, self.score = np.empty(0, np.int64), np.empty(0)
+        self.others: np.ndarray | None = None
         self.kth = np.full(len(self.ids), -np.inf)
 
-    def meet(self, ids, vectors) -> None:
-        others = np.asarray(list(ids))
-        score = self.vectors @ _stacked(vectors).T
-        # an item is no neighbour of itself
-        score[self.ids[:, None] == others[None, :]] = -np.inf
+    def offer(self, others: np.ndarray, score: np.ndarray) -> None:
+        """Scores of all rows with ``others``; -inf for what must not be taken."""
         least = self.kth
         if len(others) > self.k:
             least = np.maximum(least, np.partition(score, -self.k, axis=1)[:, -self.k])
@@ -180,7 +178,9 @@ class _Best:
         self._take(rows, others[columns], score[rows, columns])
 
     def _take(self, rows, others, score) -> None:
-        rows, others = np.concatenate([self.rows, rows]), np.concatenate([self.others, others])
+        if self.others is not None:
+            others = np.concatenate([self.others, others])
+        rows = np.concatenate([self.rows, rows])
         score = np.concatenate([self.score, score])
         order = np.lexsort((others, -score, rows))
         rows = rows[order]
@@ -190,19 +190,29 @@ class _Best:
         full = place == self.k - 1
         self.kth[rows[full]] = score[order[full]]
 
-    def found(self) -> pd.DataFrame:
+    def nearest(self) -> pd.DataFrame:
+        if self.others is None:
+            return pd.DataFrame({"item_id": self.ids[:0], "similar_id": self.ids[:0], "similarity": []})
         return pd.DataFrame(
             {"item_id": self.ids[self.rows], "similar_id": self.others, "similarity": self.score}
         )
 
 
+def _meet(best: Best, ids, vectors) -> None:
+    others = np.asarray(list(ids))
+    score = best.vectors @ stacked(vectors).T
+    # an item is no neighbour of itself
+    score[best.ids[:, None] == others[None, :]] = -np.inf
+    best.offer(others, score)
+
+
 def _meetings(k: int, thresholds: bool):
     """Stream of a block followed by those it meets; the k best of its items, or their worst k-th."""
 
-    def result(a: int, best: _Best) -> pd.DataFrame:
+    def result(a: int, best: Best) -> pd.DataFrame:
         if thresholds:
             return pd.DataFrame({"a": [a], "threshold": [best.kth.min()]})
-        return best.found()
+        return best.nearest()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best, a = None, None
@@ -211,9 +221,9 @@ def _meetings(k: int, thresholds: bool):
                 if row.place < 0:
                     if best is not None:
                         yield result(a, best)
-                    best, a = _Best(row.ids, row.vectors, k), row.a
+                    best, a = Best(row.ids, row.vectors, k), row.a
                 elif row.bound >= best.kth.min() - SLACK:
-                    best.meet(row.ids, row.vectors)
+                    _meet(best, row.ids, row.vectors)
         if best is not None:
             yield result(a, best)
 

@@ -5,13 +5,12 @@ from dataclasses import dataclass
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickmart import constants as C
 from clickmart import schemas as S
 from clickmart.functions.scalar import interaction_rating
-from clickmart.operators import ranking, similarity
+from clickmart.operators import masked, ranking, similarity
 from clickmart.storage import materialize
 
 INTERACTION_TYPES = (C.VIEW, C.CART_ADD, C.PURCHASE)
@@ -51,33 +50,12 @@ class Recommender:
         )
 
     def _unseen(self, k: int) -> DataFrame:
-        """Top k among the items a user has no rating for.
-
-        A user who rated n items needs the best k + n.  Users are taken by tiers
-        of n (up to 1, 2, 4, ...), so nobody ranks more than twice what is needed
-        and no one is cut short.
-        """
-        seen = self.ratings.select("user", "item")
-        tiers = materialize(
-            seen.groupBy("user")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select("user", F.ceil(F.log2("n")).cast("int").alias("tier")),
-            "seen-tiers",
-        )
-        parts = []
-        for row in tiers.select("tier").distinct().orderBy("tier").collect():
-            users = tiers.filter(F.col("tier") == row.tier).select("user")
-            wide = self.model.recommendForUserSubset(users, k + 2**row.tier)
-            parts.append(_flat(wide))
-        every = parts[0]
-        for part in parts[1:]:
-            every = every.unionByName(part)
-        best = W.partitionBy("user").orderBy(F.desc("rating"), "item")
-        return (
-            every.join(seen, ["user", "item"], "left_anti")
-            .withColumn("_rank", F.row_number().over(best))
-            .filter(F.col("_rank") <= k)
-            .select("user", "item", "rating")
+        """Top k among the items a user has no rating for."""
+        def factors(df: DataFrame) -> DataFrame:
+            return df.select("id", F.col("features").alias("vector"))
+
+        return masked.masked_topk(
+            factors(self.model.userFactors), factors(self.model.itemFactors), self.ratings.select("user", "item"), k
         )
 
     def item_vectors(self) -> DataFrame:

@@ -47,6 +47,40 @@ def test_seen_items_are_left_out(recommender):
     assert all(r.predicted_rating <= worst[r.user_id] for r in rest.collect())
 
 
+def _masked_case(spark, n_users=70, n_items=300, zero=3):
+    rng = np.random.default_rng(6)
+    u = np.abs(rng.normal(size=(n_users, 5))).astype(np.float32)
+    v = (np.abs(rng.normal(size=(n_items, 5))) * rng.exponential(size=(n_items, 1)) ** 3).astype(np.float32)
+    u[:zero] = 0
+    seen = {(a, int(b)) for a in range(n_users) for b in rng.choice(n_items, rng.integers(0, 200), replace=False)}
+    seen |= {(5, b) for b in range(n_items)} | {(6, b) for b in range(n_items - 2)}
+    def frame(m):
+        return spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(m)], "id int, vector array<float>")
+    users, items = frame(u), frame(v)
+    return u, v, seen, users, items, spark.createDataFrame(sorted(seen), "user int, item int").repartition(4)
+
+
+@pytest.mark.parametrize("part", [1, 64])
+def test_masked_product_equals_brute_force(spark, monkeypatch, part):
+    from clickmart.operators import masked
+
+    monkeypatch.setattr(masked, "BLOCK", 16)
+    monkeypatch.setattr(masked, "PART_BLOCKS", part)
+    u, v, seen, users, items, pairs = _masked_case(spark)
+    blocks, item_blocks, met = masked.plan_meetings(users, items, pairs, 4)
+    every = blocks.filter("a % 2 = 0").count() * item_blocks.count()
+    assert met.filter("a % 2 = 0").count() < every
+    got = {}
+    for r in masked.masked_topk(users, items, pairs, 4).collect():
+        got.setdefault(r.user, []).append((r.item, r.rating))
+    score = u.astype(float) @ v.astype(float).T
+    for a in range(len(u)):
+        order = sorted((b for b in range(len(v)) if (a, b) not in seen), key=lambda b: (-score[a, b], b))[:4]
+        rows = sorted(got.get(a, []), key=lambda r: (-r[1], r[0]))
+        assert [i for i, _ in rows] == order, a
+        assert np.allclose([s for _, s in rows], score[a, order], rtol=1e-6)
+
+
 def test_item_vectors(recommender):
     row = recommender.item_vectors().first()
     assert np.allclose(row.features, row.vec.toArray())
