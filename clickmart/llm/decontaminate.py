@@ -6,13 +6,17 @@ are lower-cased and punctuation goes.  Windows of 8 template words, at every pla
 every text, are hashed and joined to the windows of the benchmark, so a question asked
 with other numbers, units or names is still met.
 
+Only an item's own windows are searched for: those held by at most ``HOLDERS`` different templates.  What more
+of them share is an instruction ("Choose the correct answer ..."), which contaminates nothing; so
+documents with a widespread phrase meet no items, and a window leads to a bounded number of templates.
+
 A meeting counts if its slots are consistent: wherever the benchmark repeats a number,
 unit or name, the document must repeat its replacement.  A document is contaminated by
-an item when consistent windows make up half of the item's windows or more; when, at one
-shift with consistent slots, 13 words in a row are the item's as they stand (an excerpt); or when, at one shift,
-three quarters of the item's words agree with consistent slots (single words were changed).
-Items without windows to search for (under 8 words, or hardly a word that is no placeholder)
-are met by their whole sequence of words as it stands.
+an item when consistent windows make up half of the item's own windows or more; when, at one
+shift with consistent slots, 13 words in a row, an own window among them, are the item's as they stand (an
+excerpt); or when, at one shift, three quarters of the item's words agree with consistent slots (single words
+were changed).  Items without own windows (under 8 words, hardly a word that is no placeholder, or nothing but
+shared phrases) are met by their whole sequence of words as it stands.
 
 Only the windows that meet leave their row; the texts of the few candidates are fetched
 by id and checksum for the slot check.  No hint decides how the benchmark's windows are
@@ -32,6 +36,8 @@ from clickmart.llm.common import let, materialize, words
 
 WINDOW = 8
 MIN_LITERAL = 4
+#: templates that may share a window; equal templates (the same question with other numbers) count once
+HOLDERS = 5
 SHARE = 0.5
 #: words in a row that make an excerpt, and the share of words that makes an edited item
 EXCERPT, AGREED = 13, 0.75
@@ -80,24 +86,25 @@ def _literals(tokens: Column, at: Column) -> Column:
 
 
 def items(benchmark: DataFrame) -> DataFrame:
-    """item_id, item_template, item_raw, searched (has windows) of each distinct item; written."""
+    """item_id, item_template, item_raw of each distinct item; written."""
     distinct = benchmark.select("item_id", "text").distinct()
     shaped = distinct.select(
         "item_id", template(F.col("text")).alias("item_template"), raw(F.col("text")).alias("item_raw")
     )
-    n = F.size("item_template")
-    searched = F.when(n >= WINDOW, F.exists(
-        F.sequence(F.lit(0), n - WINDOW), lambda i: _literals(F.col("item_template"), i) >= MIN_LITERAL
-    )).otherwise(False)
-    return materialize(shaped.filter(F.size("item_raw") > 0).withColumn("searched", searched), "bench-items")
+    return materialize(shaped.filter(F.size("item_raw") > 0), "bench-items")
 
 
 def item_windows(listed: DataFrame) -> DataFrame:
-    """item_id, item_at, hash, item_windows (their number per item); written."""
+    """item_id, item_at, hash, item_windows (their number per item) of own windows; written."""
     hashes = _window_hashes(F.col("item_template"))
     literal = _literals(F.col("item_template"), F.col("item_at"))
     placed = listed.select("item_id", "item_template", F.posexplode(hashes).alias("item_at", "hash"))
-    searched = placed.filter(literal >= MIN_LITERAL).select("item_id", "item_at", "hash")
+    literals = placed.filter(literal >= MIN_LITERAL).select(
+        "item_id", "item_at", "hash", F.xxhash64("item_template").alias("shape")
+    )
+    held = literals.select("hash", "shape").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("holders"))
+    own = held.filter(F.col("holders") <= HOLDERS).select("hash")
+    searched = literals.join(own, "hash").select("item_id", "item_at", "hash")
     counts = searched.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
     same = F.col("item_id").eqNullSafe(F.col("counted_id"))
     return materialize(
@@ -106,6 +113,21 @@ def item_windows(listed: DataFrame) -> DataFrame:
     )
 
 
+def _marked(listed: DataFrame, windows: DataFrame) -> DataFrame:
+    """``listed`` with ``searched`` (it has own windows) and ``own_ends``: whether one ends at each word; written."""
+    starts = windows.groupBy("item_id").agg(F.collect_set("item_at").alias("own_at"))
+    same = F.col("item_id").eqNullSafe(F.col("own_id"))
+    own = F.coalesce("own_at", F.array().cast("array<int>"))
+    places = F.sequence(F.lit(0), F.size("item_raw") - 1)
+    ends = F.transform(places, lambda i: F.array_contains(own, i - (WINDOW - 1)))
+    return materialize(
+        listed.join(starts.withColumnRenamed("item_id", "own_id"), same, "left").select(
+            *listed.columns, F.col("own_at").isNotNull().alias("searched"), ends.alias("own_ends")
+        ),
+        "bench-marked",
+    )
+
+
 def _identified(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.md5("text").alias("checksum"), "text")
 
@@ -150,17 +172,20 @@ def _aligned(shift: Column) -> Column:
         lambda i: F.struct(
             F.get("item_template", i).alias("kind"), F.get("doc_template", i + shift).alias("doc_kind"),
             F.get("item_raw", i).alias("was"), F.get("doc_raw", i + shift).alias("now"),
+            F.get("own_ends", i).alias("own"),
         ),
     )
 
 
 def _longest_run(pairs: Column) -> Column:
-    """Most words in a row that are the same as they stand."""
-    start = F.struct(F.lit(0).alias("run"), F.lit(0).alias("best"))
+    """Most words in a row that are the same as they stand and hold an own window."""
+    start = F.struct(F.lit(0).alias("run"), F.lit(False).alias("own"), F.lit(0).alias("best"))
 
     def step(state, p):
         run = F.when(p["was"].eqNullSafe(p["now"]), state["run"] + 1).otherwise(0)
-        return F.struct(run.alias("run"), F.greatest(state["best"], run).alias("best"))
+        own = (run >= WINDOW) & (state["own"] | p["own"])
+        best = F.when(own, F.greatest(state["best"], run)).otherwise(state["best"])
+        return F.struct(run.alias("run"), own.alias("own"), best.alias("best"))
 
     return F.aggregate(pairs, start, step, lambda state: state["best"])
 
@@ -229,7 +254,9 @@ def _side(rows: DataFrame) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, checksum, item_id, share, slots, changed (slots with another value)."""
     listed = items(benchmark)
-    meetings = materialize(_meetings(docs, item_windows(listed)), "bench-meetings")
+    windows = item_windows(listed)
+    listed = _marked(listed, windows)
+    meetings = materialize(_meetings(docs, windows), "bench-meetings")
     candidates = materialize(_side(meetings), "bench-candidates")
     texts = materialize(
         _identified(docs)

@@ -6,6 +6,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import regex
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -141,6 +143,69 @@ def damage(conv_id, turn, role, text):
     return [row] * {0: 0, 3: 2}.get(kind, 1)
 
 
+_UNITS = r"(?i)(?<=\b0\s)(?:%s)(?![\p{L}\p{N}])"
+_MARKS = r"[^\p{L}\p{N}\x20\x09-\x0D]+"
+_SLOTS = ("0", "00", "000")
+
+
+def shapes(text, units):
+    """(template words, raw words)."""
+    bare = lambda t: words(regex.sub(_MARKS, "", t).lower())
+    shaped = regex.sub(r"\p{Nd}+(?:[.,:/]\p{Nd}+)*", "0", text)
+    shaped = regex.sub(_UNITS % "|".join(sorted(units, key=len, reverse=True)), "00", shaped)
+    return bare(regex.sub(r"(?<=[\p{L}\p{N},;]\s)\p{Lu}[\p{L}'’-]*", "000", shaped)), bare(text)
+
+
+def _consistent(pairs):
+    changed = {(k, was, now) for k, was, now in pairs}
+    return len(changed) == len({(k, was) for k, was, _ in changed})
+
+
+def leaks(docs, items, units, window=8, holders=5, literal=4, excerpt=13):
+    """(doc_id, item_id) of every document and item, one pair after the other."""
+    shaped = {i: shapes(t, units) for i, t in items}
+    at = {i: [p for p in range(len(t) - window + 1) if sum(w not in _SLOTS for w in t[p : p + window]) >= literal]
+          for i, (t, _) in shaped.items()}
+    held = defaultdict(set)
+    for i, (t, _) in shaped.items():
+        for p in at[i]:
+            held[tuple(t[p : p + window])].add(tuple(t))
+    own = {i: [p for p in at[i] if len(held[tuple(t[p : p + window])]) <= holders] for i, (t, _) in shaped.items()}
+    out = set()
+    for d, text in docs:
+        doc, now = shapes(text or "", units)
+        places = defaultdict(list)
+        for p in range(len(doc) - window + 1):
+            places[tuple(doc[p : p + window])].append(p)
+        for i, (t, was) in shaped.items():
+            n = len(was)
+            if not own[i]:
+                if n and any(now[p : p + n] == was for p in range(len(now) - n + 1)):
+                    out.add((d, i))
+                continue
+            shifts = defaultdict(list)
+            for p in own[i]:
+                for q in places.get(tuple(t[p : p + window]), ()):
+                    shifts[q - p].append(p)
+            share, found = 0, False
+            for shift, met in shifts.items():
+                beside = [(t[p], was[p], now[p + shift], doc[p + shift] == t[p]) if 0 <= p + shift < len(now)
+                          else (t[p], was[p], None, False) for p in range(n)]
+                slots = [b[:3] for b in beside[min(met) : max(met) + window] if b[0] in _SLOTS and b[3]]
+                if _consistent(slots):
+                    share += len(met)
+                    run, marked = 0, False
+                    for p, b in enumerate(beside):
+                        run = run + 1 if b[1] == b[2] else 0
+                        marked = run >= window and (marked or p - window + 1 in own[i])
+                        found |= marked and run >= excerpt
+                agreed = sum(b[3] for b in beside)
+                found |= agreed >= 0.75 * n and _consistent([b[:3] for b in beside if b[0] in _SLOTS and b[3]])
+            if found or share >= 0.5 * len(own[i]):
+                out.add((d, i))
+    return out
+
+
 _NEXT = {"": "user", "s": "user", "u": "assistant", "a": "user"}
 
 

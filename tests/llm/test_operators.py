@@ -399,6 +399,33 @@ def test_excerpts_edits_and_short_items(spark):
     assert sorted(r.doc_id for r in decontaminate.drop(frame(spark, docs), bench).collect()) == [5, 6, 7]
 
 
+def test_leaks_of_the_table_equal_a_plain_search(spark, docs):
+    bench = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
+    got = {(r.doc_id, r.item_id) for r in QUERIES["op7_decontaminate"](spark, SF).collect()}
+    assert got == plain.leaks(docs, bench, decontaminate.UNITS)
+
+
+def test_a_shared_instruction_contaminates_nothing(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3))
+    order = "choose the correct answer from the list below and explain your choice in words"
+    bench = [(i, f"{order} {' '.join(word() for _ in range(12))} with 3 apples") for i in range(200)]
+    docs = [(d, f"{' '.join(word() for _ in range(20))} {order} {' '.join(word() for _ in range(20))}") for d in range(300)]
+    leaked = [(1000, "so " + bench[3][1] + " end"), (1001, bench[5][1].replace("3 apples", "9 apples")),
+              (1002, "see " + " ".join(bench[9][1].split()[9:24]) + " there")]
+    # the same question with other numbers is one template, however many items hold it
+    bench += [(900 + n, f"how many marbles has the boy when he gives {n} of his {n + 40} away") for n in range(20)]
+    leaked.append((1003, "asked how many marbles has the boy when he gives 5 of his 45 away"))
+    listed = spark.createDataFrame(bench, "item_id long, text string")
+    windows = decontaminate.item_windows(decontaminate.items(listed))
+    assert decontaminate._meetings(frame(spark, docs), windows).count() == 0
+    got = {(r.doc_id, r.item_id) for r in decontaminate.digest(frame(spark, docs + leaked), listed).collect()}
+    assert got == plain.leaks(docs + leaked, bench, decontaminate.UNITS)
+    assert {(1000, 3), (1001, 5), (1002, 9)} <= got and {d for d, _ in got} == {1000, 1001, 1002, 1003}
+    kept = decontaminate.drop(frame(spark, docs + leaked), listed)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(300))
+
+
 # ------------------------------------------------------------------ 9 toxicity
 
 
