@@ -413,6 +413,9 @@ def statements() -> dict[str, str]:
             ),
         ),
         "cohort_retention": _with("retained", _COHORT.format(active="active")),
+        "cohort_state": _with("retained", _COHORT.format(active="active")),
+        "daily_sales_by_differences": _with("daily", _DAILY.format(orders="total_orders")),
+        "category_metrics_by_differences": _with("category_day", _CATEGORY_DAY.format(events="event_count")),
         "cohort_refresh": _with(
             "retained",
             _COHORT.format(

@@ -17,7 +17,8 @@ from clickmart import schemas as S
 from clickmart.operators import (
     clean, dedup, enrich, geo, integrity, sales, sessions, similarity,
 )
-from clickmart.plans import aggregates, curation, dims, facts, ltv, recommend, refresh, rfm
+from clickmart.plans import aggregates, curation, differences, dims, facts, ltv, recommend, refresh, rfm
+from clickmart.plans.cohort_state import CohortState
 from clickmart.plans.layout import Layout
 from clickmart.sinks import tables
 from clickmart.sources import catalog, fixtures, raw
@@ -421,6 +422,49 @@ def cohort_refresh(spark, sf_dir):
     return refresh.refresh_cohorts(stale, sold, "1996-03-15")
 
 
+@_query
+def cohort_state(spark, sf_dir):
+    """All sales in three runs, each of which brings earlier first months for some customers."""
+    sold = _stored_sales(spark, sf_dir)
+    state = CohortState(spark, scratch_path(spark, "cohort-state"))
+    for n in (2, 0, 1):
+        state.update(sold.filter(F.pmod(F.xxhash64("sale_id"), F.lit(3)) == n), f"run-{(n + 1) % 3}")
+    return state.cohorts()
+
+
+def _wrong_first(df: DataFrame, key: str, wrong: dict) -> tuple[DataFrame, DataFrame]:
+    """Rows as they came first, some of them wrong; and the corrections."""
+    odd = F.pmod(F.xxhash64(key), F.lit(7)) == 0
+    bad = df.filter(odd).withColumns(wrong)
+    return df.filter(~odd).unionByName(bad), differences.changes(df.filter(odd), bad)
+
+
+@_query
+def category_metrics_by_differences(spark, sf_dir):
+    """Every seventh event came with a wrong user and price and is corrected by differences."""
+    events = fixtures.clean_events(spark, sf_dir).select("event_id", "date", "category", "user_id", "event_type", "price")
+    wrong = {"user_id": F.concat("user_id", F.lit("?")), "price": (F.col("price") + 1).cast(S.PRICE)}
+    first, corrections = _wrong_first(events, "event_id", wrong)
+    kept = differences.Maintained(spark, scratch_path(spark, "metrics"), differences.CATEGORY_METRICS)
+    kept.apply(differences.changes(first), "1")
+    kept.apply(corrections, "2")
+    return S.conform(kept.view(), S.DAILY_CATEGORY_METRICS)
+
+
+@_query
+def daily_sales_by_differences(spark, sf_dir):
+    """Every seventh order came on the wrong day, with half its amount, and is corrected by differences."""
+    sold, dates, products = _orders_star(spark, sf_dir)
+    rows = sold.join(dates.select("date_key"), "date_key").join(products.select("product_id", "category"), "product_id")
+    rows = rows.select("date_key", "category", "sale_id", "user_id", "total_amount")
+    wrong = {"date_key": F.date_add("date_key", 1), "total_amount": (F.col("total_amount") / 2).cast(S.AMOUNT)}
+    first, corrections = _wrong_first(materialize(rows, "sales"), "sale_id", wrong)
+    kept = differences.Maintained(spark, scratch_path(spark, "daily"), differences.DAILY_SALES)
+    kept.apply(differences.changes(first), "1")
+    kept.apply(corrections, "2")
+    return S.conform(kept.view(), S.AGGR_DAILY_SALES)
+
+
 @_query
 def customer_360(spark, sf_dir):
     sold = _stored_sales(spark, sf_dir)
