@@ -37,11 +37,16 @@ class Definition:
         return df.withColumn("part", F.trunc(day, "MM") if self.months else day)
 
 
+def _known_sum(name: str, count: str) -> Column:
+    """A sum that is null when none of its rows has a value."""
+    return F.when(F.sum(count) > 0, F.sum(name))
+
+
 def _category_metrics(stored: DataFrame) -> DataFrame:
     return S.conform(
         stored.groupBy("date", "category").agg(
             F.sum("_rows").alias("event_count"), F.count(F.lit(1)).alias("unique_users"),
-            F.sum("revenue").alias("revenue"),
+            _known_sum("revenue", "valued").alias("revenue"),
             exact_ratio(F.sum("revenue"), F.sum("sold"), S.AVERAGE).alias("avg_order_value"),
         ),
         S.DAILY_CATEGORY_METRICS,
@@ -51,7 +56,7 @@ def _category_metrics(stored: DataFrame) -> DataFrame:
 def _daily_sales(stored: DataFrame) -> DataFrame:
     return S.conform(
         stored.groupBy("date_key", "category").agg(
-            F.sum("amount").alias("total_revenue"), F.count_distinct("sale_id").alias("total_orders"),
+            _known_sum("amount", "lines").alias("total_revenue"), F.count_distinct("sale_id").alias("total_orders"),
             F.count_distinct("user_id").alias("unique_customers"),
             exact_ratio(F.sum("amount"), F.sum("lines"), S.AVERAGE).alias("avg_order_value"),
         ),
@@ -68,6 +73,7 @@ CATEGORY_METRICS = Definition(
     ("date", "category"), ("user_id",),
     {
         "revenue": lambda: _bought(F.coalesce("price", F.lit(0))),
+        "valued": lambda: (~is_purchase(F.col("event_type")) | F.col("price").isNotNull()).cast("bigint"),
         "sold": lambda: _bought(F.col("price").isNotNull().cast("bigint")),
     },
     _category_metrics,
