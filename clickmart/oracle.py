@@ -587,6 +587,12 @@ def statements() -> dict[str, str]:
                       CAST(price AS DOUBLE) AS price, ms * 1000 AS event_ts, country, city
                FROM curated""",
         ),
+        "stream_delivery_exactly_once": _with(
+            "curated",
+            """SELECT md5(user_id || CAST(ms AS VARCHAR)) AS event_id, user_id, event_type, product_id,
+                      CAST(price AS DOUBLE) AS price, ms * 1000 AS event_ts, country, city
+               FROM curated""",
+        ),
         "stream_dedup": _DEDUP,
         "stream_sessions": _with(
             "sessioned",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clickmart import schemas as S
 from clickmart.plans import curation, dims, facts, ltv, recommend, refresh, rfm
+from clickmart.plans.cohort_state import CohortState
 from clickmart.plans.curation import curate, prune_states  # noqa: F401
 from clickmart.plans.layout import Layout
 from clickmart.sinks import tables
@@ -82,6 +83,9 @@ def build_warehouse(spark: SparkSession, layout: Layout, as_of: str) -> None:
     seen = users.agg(F.min("first_seen").alias("first"), F.max("last_seen").alias("last"))
     tables.write_table(dims.dim_date(seen), layout.path("warehouse/dim_date"))
 
+    state = CohortState(spark, layout.path("state/cohorts"))
+    for plan in plans:
+        state.update(facts.fact_sales(plan.rows), plan.name)
     refresh.refresh(
         spark,
         as_of,
@@ -93,6 +97,7 @@ def build_warehouse(spark: SparkSession, layout: Layout, as_of: str) -> None:
             layout.path("warehouse/aggr_customer_cohort"),
         ),
         days,
+        state.cohorts(),
     )
     refresh.refresh_category_metrics(spark, layout.path("mv/daily_category"), events, days)
     curation.loaded(plans)

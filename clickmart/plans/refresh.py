@@ -53,16 +53,22 @@ def refresh(
     products: DataFrame,
     paths: AggregatePaths,
     days: Sequence[str] = (),
+    cohorts: DataFrame | None = None,
 ) -> None:
     """Bring both stored aggregates up to date; running it twice changes nothing.
 
-    ``days`` are days before the windows whose sales were changed as well.
+    ``days`` are days before the windows whose sales were changed as well; ``cohorts`` are up to date
+    cohorts, without which they are computed from all sales.
     """
     window = in_days("date_key", days) | (F.col("date_key") >= daily_cutoff(as_of))
     tables.refresh_window(
         spark, paths.daily_sales, aggregates.daily_sales(sales.filter(window), dates, products),
         "date_key", window,
     )
+    if cohorts is not None:
+        every = F.col("cohort_month").isNotNull()
+        tables.refresh_window(spark, paths.customer_cohort, cohorts, "cohort_month", every)
+        return
     cohort = cohort_cutoff(as_of)
     if days:
         cohort = F.least(cohort, F.trunc(_day(min(days)), "MM"))

@@ -7,6 +7,7 @@ microseconds, arrays as joined text.
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from clickmart.plans.layout import Layout
 from clickmart.sinks import tables
 from clickmart.sources import catalog, fixtures, raw
 from clickmart.storage import materialize, scratch_path
-from clickmart.streaming import ingest
+from clickmart.streaming import delivery, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -770,6 +771,32 @@ def stream_raw_delivery(spark, sf_dir):
     )
 
 
+@_query
+def stream_delivery_exactly_once(spark, sf_dir):
+    """Delivered in batches; the stream fails behind a written batch, goes on, and old batches are merged."""
+    source, path, state = (scratch_path(spark, n) for n in ("lines", "batches", "batches-state"))
+    enrich.json_lines(fixtures.raw_events(spark, sf_dir)).repartition(6).write.text(source)
+    places = _segments(spark).stored()
+
+    def run(after_write=None):
+        rows = raw.accepted(raw.stream_raw(spark, source, max_files=2))
+        return delivery.deliver(enrich.enrich(rows, places), path, state, None, after_write)
+
+    def fail(number):
+        if number == 1:
+            raise RuntimeError("stopped behind the write of a batch")
+
+    try:
+        run(fail).awaitTermination()
+    except StreamingQueryException:
+        pass
+    run().awaitTermination()
+    delivery.merge(spark, path)
+    return clean.clean(raw.accepted(delivery.delivered(spark, path))).select(
+        "event_id", "user_id", "event_type", "product_id", "price", "event_ts", "country", "city"
+    )
+
+
 @_query
 def stream_record_count(spark, sf_dir):
     """Records of a stream over twenty batches, and those that reached the raw zone."""

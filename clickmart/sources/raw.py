@@ -40,9 +40,12 @@ def stream_raw(
     path: str,
     schema: T.StructType = S.RAW_EVENT,
     max_files: int | None = None,
+    max_bytes: int | str | None = None,
 ) -> DataFrame:
-    """The same reader as a file stream."""
+    """The same reader as a file stream; a batch takes up to so many files or bytes."""
     reader = spark.readStream.schema("value string")
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return _lines(reader.text(path), schema)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clickmart import schemas as S
 from clickmart.operators import clean, enrich, geo
 from clickmart.sources import fixtures, raw
-from clickmart.streaming import ingest
+from clickmart.streaming import delivery, ingest
 
 
 def _event(i, user, seconds, **more):
@@ -162,3 +162,71 @@ def test_the_raw_parse_stands_once_in_a_plan(spark, tmp_path):
     _write(src, "a.json", [_event(0, "u", 0)])
     text = plan(clean.clean(raw.accepted(raw.read_raw(spark, str(src), S.RAW_EVENT))))
     assert text.count("from_json") == 1
+
+
+# ------------------------------------------------------------------ delivery by batches
+
+
+def _enriched(spark, src, places, **limits):
+    return enrich.enrich(raw.accepted(raw.stream_raw(spark, str(src), **limits)), places)
+
+
+@pytest.fixture(scope="module")
+def places(spark):
+    return geo.segments(geo.ranges(fixtures.geo_table(spark))).stored()
+
+
+def _ids(df):
+    return sorted((r.user_id, r.timestamp) for r in raw.accepted(df).select("user_id", "timestamp").collect())
+
+
+def test_a_batch_that_is_replayed_is_delivered_once(spark, tmp_path, places):
+    from pyspark.errors import StreamingQueryException
+
+    src, out, state = tmp_path / "src", str(tmp_path / "raw"), str(tmp_path / "state")
+    rows = [_event(i, f"u{i}", i) for i in range(12)]
+    for n in range(4):
+        _write(src, f"{n}.json", rows[n::4])
+
+    def fail(number):
+        if number == 2:
+            raise RuntimeError("lost")
+
+    with pytest.raises(StreamingQueryException):
+        delivery.deliver(_enriched(spark, src, places, max_files=1), out, state, None, fail).awaitTermination()
+    assert len(delivery.folders(spark, out)) == 3
+    query = delivery.deliver(_enriched(spark, src, places, max_files=1), out, state, None)
+    query.awaitTermination()
+    assert _ids(delivery.delivered(spark, out)) == sorted((r["user_id"], r["timestamp"]) for r in rows)
+    assert delivery.median_millis(query) > 0
+    # merged: fewer folders, the same rows; a merge that was cut off is not seen
+    before = _ids(delivery.delivered(spark, out))
+    (tmp_path / "raw" / "batch=000000000000-000000000099").mkdir()
+    name = delivery.merge(spark, out)
+    assert name == "batch=000000000000-000000000002" and len(delivery.folders(spark, out)) == 2
+    assert _ids(delivery.delivered(spark, out)) == before
+    # batches left behind by a merge are covered by it
+    (tmp_path / "raw" / "batch=000000000001").mkdir()
+    (tmp_path / "raw" / "batch=000000000001" / "_SUCCESS").touch()
+    assert name in delivery.folders(spark, out) and len(delivery.folders(spark, out)) == 2
+
+
+def test_delivery_by_interval_and_size(spark, tmp_path, places):
+    import time
+
+    src, out, state = tmp_path / "src", str(tmp_path / "raw"), str(tmp_path / "state")
+    rows = [_event(i, f"u{i}", i) for i in range(30)]
+    _write(src, "0.json", rows[:10])
+    one = (src / "0.json").stat().st_size
+    query = delivery.deliver(_enriched(spark, src, places, max_bytes=one), out, state, "1 second")
+    try:
+        _write(src, "1.json", rows[10:20])
+        _write(src, "2.json", rows[20:])
+        deadline = time.time() + 60
+        while time.time() < deadline and len(_ids(delivery.delivered(spark, out))) < 30:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert _ids(delivery.delivered(spark, out)) == sorted((r["user_id"], r["timestamp"]) for r in rows)
+    # files of this size make a batch each
+    assert len(delivery.folders(spark, out)) == 3
