@@ -605,4 +605,15 @@ def statements() -> dict[str, str]:
                FROM sessioned GROUP BY user_id, session_seq
                HAVING max(ms) + 1800000 <= (SELECT max(ms) FROM curated) - 3600000""",
         ),
+        "stream_live_sessions": _with(
+            "sessioned",
+            """SELECT user_id, min(ms) * 1000 AS session_start, max(ms) * 1000 AS session_end,
+                      CAST(count(*) AS BIGINT) AS events,
+                      CAST(count(*) FILTER (WHERE event_type = 'purchase') AS BIGINT)
+                          AS items_purchased,
+                      CAST(sum(price) FILTER (WHERE event_type = 'purchase') AS DOUBLE)
+                          AS total_revenue
+               FROM sessioned GROUP BY user_id, session_seq
+               HAVING max(ms) + 1800000 <= (SELECT max(ms) FROM curated) - 3600000""",
+        ),
     }

@@ -24,7 +24,7 @@ from clickmart.plans.layout import Layout
 from clickmart.sinks import tables
 from clickmart.sources import catalog, fixtures, raw
 from clickmart.storage import materialize, scratch_path
-from clickmart.streaming import delivery, ingest
+from clickmart.streaming import delivery, ingest, live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -827,6 +827,29 @@ def stream_dedup(spark, sf_dir):
     )
 
 
+@_query
+def stream_live_sessions(spark, sf_dir):
+    """Sessions shown early and corrected in several batches; their final versions, one hour before the last event."""
+    for key, value in live.STATE_STORE.items():
+        spark.conf.set(key, value)
+    try:
+        source, path, state = (scratch_path(spark, n) for n in ("live-lines", "live", "live-state"))
+        every = fixtures.raw_events(spark, sf_dir)
+        third = F.ntile(3).over(W.orderBy("day"))
+        days = every.select(F.to_date(F.timestamp_millis("timestamp")).alias("day")).distinct().withColumn("third", third)
+        placed = every.withColumn("day", F.to_date(F.timestamp_millis("timestamp"))).join(days, "day")
+        for n in (1, 2, 3):
+            lines = placed.filter(F.col("third") == n).drop("day", "third")
+            enrich.json_lines(lines).write.mode("append").text(source)
+            events = clean.clean(raw.accepted(raw.stream_raw(spark, source)))
+            ingest.table_sink(live.live_sessions(events, delay="1 hour"), path, state).awaitTermination()
+        versions = spark.read.parquet(path)
+    finally:
+        for key in live.STATE_STORE:
+            spark.conf.unset(key)
+    return versions.filter("final").drop("version", "replaces", "final")
+
+
 @_query
 def stream_sessions(spark, sf_dir):
     """Sessions that are final one hour before the last event."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clickmart import schemas as S
 from clickmart.operators import clean, enrich, geo
 from clickmart.sources import fixtures, raw
-from clickmart.streaming import delivery, ingest
+from clickmart.streaming import delivery, ingest, live
 
 
 def _event(i, user, seconds, **more):
@@ -230,3 +230,59 @@ def test_delivery_by_interval_and_size(spark, tmp_path, places):
     assert _ids(delivery.delivered(spark, out)) == sorted((r["user_id"], r["timestamp"]) for r in rows)
     # files of this size make a batch each
     assert len(delivery.folders(spark, out)) == 3
+
+
+# ------------------------------------------------------------------ live sessions with corrections
+
+
+def test_merged_is_the_batch_rule():
+    import random
+
+    rng = random.Random(3)
+    for _ in range(300):
+        events = [(rng.randrange(0, 400), 1, 2) for _ in range(rng.randrange(1, 25))]
+        cut = rng.randrange(len(events) + 1)
+        state = [s for s, _ in live.merged([], events[:cut], 20)]
+        found = [s for s, _ in live.merged(state, events[cut:], 20)]
+        want = []
+        for t, n, c in sorted(events):
+            if want and t - want[-1][1] <= 20:
+                f, _, k, i, x, v = want[-1]
+                want[-1] = (f, t, k + 1, i + n, x + c, v)
+            else:
+                want.append((t, t, 1, n, c, 0))
+        assert found == want
+
+
+def test_live_sessions_are_corrected(spark, tmp_path):
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    minute = 60
+    batches = [
+        [_event(0, "a", 0), _event(1, "a", 50 * minute), _event(2, "b", 0, event_type="purchase", price="2.50")],
+        [_event(3, "a", 25 * minute), _event(4, "b", -10 * minute)],  # joins the two sessions of a, moves b's start
+        [_event(5, "c", 10 * 3600)],  # the watermark passes a and b
+        [_event(6, "c", 11 * 3600)],
+    ]
+    for key, value in live.STATE_STORE.items():
+        spark.conf.set(key, value)
+    try:
+        seen = []
+        for n, rows in enumerate(batches):
+            _write(src, f"{n}.json", rows)
+            events = clean.clean(raw.accepted(raw.stream_raw(spark, str(src))))
+            versions = live.live_sessions(events, delay="2 hours")
+            ingest.table_sink(versions, out, str(tmp_path / "state")).awaitTermination()
+            table = spark.read.schema(versions.schema).parquet(out)
+            now = live.current(table)
+            seen.append(sorted((r.user_id, r.events, r.final) for r in now.collect()))
+    finally:
+        for key in live.STATE_STORE:
+            spark.conf.unset(key)
+    assert seen[0] == [("a", 1, False), ("a", 1, False), ("b", 1, False)]
+    assert seen[1] == [("a", 3, False), ("b", 2, False)]
+    assert seen[2][:2] == [("a", 3, True), ("b", 2, True)] or seen[3][:2] == [("a", 3, True), ("b", 2, True)]
+    corrections = {r.user_id: r for r in table.filter("size(replaces) > 0").collect()}
+    assert set(corrections) == {"a", "b"}
+    assert [t.minute for t in corrections["a"].replaces] == [50]
+    assert [t.minute for t in corrections["b"].replaces] == [0] and corrections["b"].session_start.minute == 50
+    assert float(corrections["b"].total_revenue) == 2.5 and corrections["b"].items_purchased == 1
