@@ -209,6 +209,23 @@ _ENRICHED = _with(
               ms AS timestamp, category, brand, device_type, ip_address, country, city,
               'kinesis_stream' AS source FROM curated""",
 )
+#: two features: the normal equations by Cramer's rule
+_MOMENTS = """
+    , spent AS (
+        SELECT user_id, CAST(coalesce(sum(cents) FILTER (date_key <= DATE '1998-01-01'), 0) AS DOUBLE) / 100 AS x1,
+               CAST(count(DISTINCT sale_id) FILTER (date_key <= DATE '1998-01-01') AS DOUBLE) AS x2,
+               CAST(coalesce(sum(cents) FILTER (date_key > DATE '1998-01-01'), 0) AS DOUBLE) / 100 AS y
+        FROM facts GROUP BY user_id),
+    means AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, CAST(count(*) AS BIGINT) AS n FROM spent),
+    products AS (
+        SELECT sum((x1 - m1) * (x1 - m1)) AS s11, sum((x1 - m1) * (x2 - m2)) AS s12, sum((x2 - m2) * (x2 - m2)) AS s22,
+               sum((x1 - m1) * (y - my)) AS s1y, sum((x2 - m2) * (y - my)) AS s2y, sum((y - my) * (y - my)) AS syy
+        FROM spent, means),
+    fitted AS (
+        SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+               (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2
+        FROM products, means)
+"""
 _DIM_SESSION = """SELECT session_id, user_id, min(ms) * 1000 AS session_start,
            max(ms) * 1000 AS session_end, (max(ms) - min(ms)) // 1000 AS duration_secs,
            CAST(count(*) FILTER (WHERE event_type = 'view') AS BIGINT) AS page_views,
@@ -452,6 +469,23 @@ def statements() -> dict[str, str]:
         "revenue_by_category_month_of_year": _with(
             "facts", _REVENUE.format(where="WHERE year(date_key) = 1998")
         ),
+        "revenue_by_category_month_pruned": _with(
+            "facts", _REVENUE.format(where="WHERE year(date_key) = 1998")
+        ),
+        "ltv_moments": _with(
+            "facts",
+            _MOMENTS + """
+            SELECT name, printf('%.6e', v) AS value, n AS customers
+            FROM fitted, (VALUES ('monetary', 1), ('frequency', 2), ('intercept', 3), ('r2', 4)) t(name, k),
+                 LATERAL (SELECT CASE k WHEN 1 THEN b1 WHEN 2 THEN b2 WHEN 3 THEN my - b1 * m1 - b2 * m2
+                                 ELSE (b1 * s1y + b2 * s2y) / syy END AS v)""",
+        ),
+        "ltv_moment_scores": _with(
+            "facts",
+            _MOMENTS + """
+            SELECT user_id, printf('%.6e', my + b1 * (x1 - m1) + b2 * (x2 - m2)) AS prediction
+            FROM spent, fitted""",
+        ),
         "customer_activity": _with(
             "curated",
             """SELECT user_id, CAST(count(*) AS BIGINT) AS frequency,

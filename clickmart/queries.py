@@ -18,7 +18,7 @@ from clickmart import schemas as S
 from clickmart.operators import (
     clean, dedup, enrich, geo, integrity, sales, sessions, similarity,
 )
-from clickmart.plans import aggregates, curation, differences, dims, facts, ltv, recommend, refresh, rfm
+from clickmart.plans import aggregates, curation, differences, dims, facts, ltv, moments, recommend, refresh, rfm
 from clickmart.plans.cohort_state import CohortState
 from clickmart.plans.layout import Layout
 from clickmart.sinks import tables
@@ -600,6 +600,52 @@ def ltv_regression(spark, sf_dir):
     ).predictions
 
 
+_SPENT = ("monetary", "frequency")
+
+
+def _spending(spark, sf_dir):
+    return materialize(moments.spending(fixtures.fact_sales(spark, sf_dir), "1998-01-01"), "spending")
+
+
+def _moment_fit(customers):
+    """Moments per first day of two halves of the customers, stored, merged and solved."""
+    half = F.pmod(F.xxhash64("user_id"), F.lit(2)) == 0
+    states = [
+        materialize(moments.moments(customers.filter(part), _SPENT, ["first_day"]), "moments") for part in (half, ~half)
+    ]
+    days = moments.merged(states, _SPENT, ["first_day"])
+    return moments.solve(moments.merged([days], _SPENT), _SPENT)
+
+
+@_query
+def ltv_moments(spark, sf_dir):
+    """Coefficients, intercept and R squared to seven digits."""
+    fit = _moment_fit(_spending(spark, sf_dir))
+    values = [*zip(fit.features, fit.coefficients, strict=True), ("intercept", fit.intercept), ("r2", fit.r2)]
+    return spark.createDataFrame([(n, v, fit.n) for n, v in values], "name string, v double, customers long").select(
+        "name", F.format_string("%.6e", "v").alias("value"), "customers"
+    )
+
+
+@_query
+def ltv_moment_scores(spark, sf_dir):
+    """Every customer's predicted spend."""
+    customers = _spending(spark, sf_dir)
+    return moments.score(customers, _moment_fit(customers)).select(
+        "user_id", F.format_string("%.6e", "prediction").alias("prediction")
+    )
+
+
+@_query
+def revenue_by_category_month_pruned(spark, sf_dir):
+    """The year's view over a fact stored by day: the year of the dimension prunes the fact's partitions."""
+    sold, dates, products = _orders_star(spark, sf_dir)
+    path = scratch_path(spark, "fact-by-day")
+    tables.write_partitions(sold.select("date_key", "product_id", "user_id", "total_amount"), path, ["date_key"])
+    stored = spark.read.parquet(path)
+    return aggregates.revenue_by_month(stored, materialize(dates, "dates"), products, year=1998)
+
+
 @_query
 def ltv_same_period(spark, sf_dir):
     return ltv.same_period_ltv(

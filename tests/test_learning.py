@@ -174,3 +174,48 @@ def test_regression(spark, sf):
 def test_label_among_the_features_is_reproduced(spark, sf):
     rows = ltv.same_period_ltv(fixtures.order_session_sales(spark, sf), fixtures.SALES_AS_OF).collect()
     assert all(abs(float(r.monetary) - r.predicted_ltv_12m) < 0.01 for r in rows)
+
+
+def test_moments_of_parts_add_up(spark):
+    from clickmart.plans import moments
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, 3)) * [1, 1000, 0.1] + [5, 1e6, 0]
+    y = x @ [2.0, -0.003, 7.0] + 4 + rng.normal(size=400)
+    rows = [(int(d), *map(float, r), float(v)) for d, r, v in zip(rng.integers(0, 5, 400), x, y)]
+    rows += [(1, None, 1e6, None, None)]
+    df = spark.createDataFrame(rows, "day int, a double, b double, c double, label double")
+    names = ["a", "b", "c"]
+    states = [moments.moments(df.filter(F.col("day") == d), names, ["day"]) for d in range(5)]
+    fit = moments.solve(moments.merged(states, names), names)
+    m = np.array([[v or 0 for v in r[1:]] for r in rows])
+    m = np.round(m, 4)
+    design = np.column_stack([np.ones(len(m)), m[:, :3] - m[:, :3].mean(axis=0)])
+    beta = np.linalg.lstsq(design, m[:, 3], rcond=None)[0]
+    assert np.allclose(fit.coefficients, beta[1:], rtol=1e-9) and fit.n == 401
+    assert np.isclose(fit.r2, 1 - ((m[:, 3] - design @ beta) ** 2).sum() / ((m[:, 3] - m[:, 3].mean()) ** 2).sum())
+    scored = moments.score(df, fit).toPandas()
+    assert np.allclose(scored.prediction, design @ beta, rtol=1e-6, atol=1e-4)
+    # twice the same feature: still solved; nothing at all: zeros
+    twice = moments.solve(moments.moments(df.withColumn("d", F.col("a")), ["a", "d"]), ["a", "d"])
+    assert np.isclose(twice.coefficients[0], twice.coefficients[1])
+    assert moments.solve(moments.moments(df.limit(0), names), names).n == 0
+
+
+def test_the_year_prunes_the_fact(spark, sf, tmp_path):
+    from clickmart.plans import aggregates, dims
+    from clickmart.sinks import tables
+
+    orders = fixtures.table(spark, sf, "orders")
+    dates = dims.dim_date(dims.date_bounds(orders, "o_orderdate"))
+    dates.write.parquet(str(tmp_path / "dates"))
+    tables.write_partitions(
+        fixtures.fact_sales(spark, sf).select("date_key", "product_id", "user_id", "total_amount"), str(tmp_path / "fact"), ["date_key"]
+    )
+    out = aggregates.revenue_by_month(
+        spark.read.parquet(str(tmp_path / "fact")), spark.read.parquet(str(tmp_path / "dates")),
+        dims.dim_product(fixtures.product_source(spark, sf)), year=1998,
+    )
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_key" in plan and "dynamicpruning" in plan
