@@ -19,6 +19,17 @@ def event_time(millis: Column) -> Column:
     return F.timestamp_millis(millis)
 
 
+def event_order(event_ts: Column, event_id: Column) -> Column:
+    """A number that orders events by time and the first eight bytes of their id.
+
+    Minima of numbers stay in hash aggregation, those of structs and texts need sorted rows.
+    """
+    prefix = F.rpad(F.hex(F.substring(F.encode(event_id, "utf-8"), 1, 8)), 16, "0")
+    number = F.coalesce(F.conv(prefix, 16, 10).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    shift = F.lit("1" + "0" * 20).cast("decimal(21,0)")
+    return F.unix_micros(event_ts).cast("decimal(18,0)") * shift + number
+
+
 def event_hash(user_id: Column, timestamp: Column) -> Column:
     """md5 of user and epoch milliseconds; an absent value reads ``None``."""
     absent = F.lit("None")

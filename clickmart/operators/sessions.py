@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickmart import constants as C
+from clickmart.functions.scalar import event_order
 
 CELL = "_cell"
 FIRST = "_first_ts"
@@ -78,7 +79,9 @@ def number_sessions(
         )
     by_time = W.partitionBy("user_id").orderBy(FIRST)
     so_far = by_time.rowsBetween(W.unboundedPreceding, W.currentRow)
-    gap = _micros(FIRST) - F.lag(_micros(LAST)).over(by_time)
+    # rows of one cell, if keys part them, may end in any order
+    earlier = by_time.rowsBetween(W.unboundedPreceding, -1)
+    gap = _micros(FIRST) - F.max(_micros(LAST)).over(earlier)
     starts = F.when(gap.isNull() | (gap > _gap_micros(gap_seconds)), 1).otherwise(0)
     numbered = (
         rows.withColumn("_new", starts)
@@ -138,16 +141,19 @@ def last_sessions(
 def session_rollup(
     events: DataFrame, gap_seconds: float = C.SESSION_GAP_SECONDS
 ) -> DataFrame:
-    """One row per session: start, end, length, page views, first device."""
-    device = F.min(F.struct("event_ts", "event_id", "device_type")).alias("_device")
+    """One row per session: start, end, length, page views, first device.
+
+    Events collapse by hash: the device is a key, the first event of each a minimum of numbers.
+    """
+    first = F.min(event_order(F.col("event_ts"), F.col("event_id"))).alias("_first")
     views = F.count_if(F.col("event_type") == C.VIEW).alias("_views")
-    numbered = number_sessions(cells(events, gap_seconds, [device, views]), gap_seconds)
+    numbered = number_sessions(cells(events, gap_seconds, [first, views], ["device_type"]), gap_seconds)
     return (
         numbered.groupBy("user_id", "session_seq", "session_start")
         .agg(
             F.max(LAST).alias("session_end"),
             F.sum("_views").cast("int").alias("page_views"),
-            F.min("_device")["device_type"].alias("device_type"),
+            F.min(F.struct("_first", "device_type"))["device_type"].alias("device_type"),
         )
         .withColumn("session_id", session_id())
         .withColumn(

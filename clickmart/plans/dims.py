@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from clickmart import constants as C
 from clickmart import schemas as S
+from clickmart.functions.scalar import event_order
 from clickmart.operators import sessions
 
 
@@ -155,10 +156,16 @@ def sessions_of_curated(curated: DataFrame) -> DataFrame:
     """The same rollup from events that carry their session, with its start day."""
     views = F.count_if(F.col("event_type") == C.VIEW)
     seconds = F.unix_micros("session_end") - F.unix_micros("session_start")
-    rollup = curated.groupBy("session_id", "user_id", "session_start").agg(
-        F.max("event_ts").alias("session_end"),
-        views.cast("int").alias("page_views"),
-        F.min(F.struct("event_ts", "event_id", "device_type"))["device_type"].alias("device_type"),
+    session = ["session_id", "user_id", "session_start"]
+    # by hash: the device is a key, the first event of each a minimum of numbers
+    parts = curated.groupBy(*session, "device_type").agg(
+        F.max("event_ts").alias("_last"), views.alias("_views"),
+        F.min(event_order(F.col("event_ts"), F.col("event_id"))).alias("_first"),
+    )
+    rollup = parts.groupBy(*session).agg(
+        F.max("_last").alias("session_end"),
+        F.sum("_views").cast("int").alias("page_views"),
+        F.min(F.struct("_first", "device_type"))["device_type"].alias("device_type"),
     )
     return S.conform(
         rollup.withColumns(

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickmart.operators import sales, sessions
+from clickmart.plans import dims
 from clickmart.sources import fixtures
 from conftest import plan
 
@@ -172,6 +173,34 @@ def test_no_event_is_shuffled_for_session_sales(spark, sf):
     assert "partial_sum" in below_first_exchange
 
 
+@pytest.mark.parametrize("build", [
+    sales.session_sales, dims.dim_session, lambda e: sales.sales_of_sessions(sessions.sessionize(e)),
+    lambda e: dims.sessions_of_curated(sessions.sessionize(e)),
+])
+def test_events_are_aggregated_by_hash(spark, sf, build):
+    """Sorted or object aggregation only reads rows that were aggregated before."""
+    lines = plan(build(fixtures.clean_events(spark, sf))).splitlines()
+    first = {}
+    for depth, line in ((len(line) - len(line.lstrip(" :+-*()0123456789")), line) for line in lines):
+        if "Aggregate(" in line:
+            first[depth] = line
+    deepest = max(first)
+    assert "HashAggregate" in first[deepest] and "Object" not in first[deepest]
+    assert sum("SortAggregate" in line or "ObjectHashAggregate" in line for line in lines) <= 2
+
+
+def test_the_first_device_among_ties(spark):
+    """Same time: the smaller id decides; missing ids and devices come first and last."""
+    rows = [("u", 0, "b", "web"), ("u", 0, "a", "app"), ("v", 5, "10", "x"), ("v", 5, "9", "y"), ("w", 1, "q", None)]
+    events = spark.createDataFrame(
+        [(u, i, d, datetime(2024, 1, 1, 0, 0, t), "purchase", "c", "p") for u, t, i, d in rows],
+        "user_id string, event_id string, device_type string, event_ts timestamp, event_type string, category string, product_id string",
+    ).withColumns({"date": F.to_date("event_ts"), "price": F.lit(1).cast("decimal(10,2)")})
+    want = {"u": "app", "v": "x", "w": None}
+    assert {r.user_id: r.device_type for r in sales.session_sales(events).collect()} == want
+    assert {r.user_id: r.device_type for r in dims.dim_session(events).collect()} == want
+
+
 def test_a_heavy_cell_is_split_in_the_join(spark):
     """With sizes scaled down, adaptive execution splits the partition of the heavy cell."""
     small = {
