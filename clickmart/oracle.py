@@ -495,6 +495,22 @@ def statements() -> dict[str, str]:
                FROM curated GROUP BY user_id""",
         ),
         "integrity_report": _with("facts", _INTEGRITY),
+        "constraints_on_write": _with(
+            "facts",
+            """, broken AS (
+                SELECT CAST(sale_id AS BIGINT) % 11 = 3 AS orphan, CAST(sale_id AS BIGINT) % 13 = 5 AS unpriced FROM facts),
+            checks(check_kind, column_name) AS (VALUES
+                ('not_null', 'sale_id'), ('not_null', 'session_id'), ('not_null', 'user_id'), ('not_null', 'product_id'),
+                ('not_null', 'date_key'), ('not_null', 'unit_price'), ('not_null', 'total_amount'), ('foreign_key', 'user_id'),
+                ('foreign_key', 'product_id'), ('foreign_key', 'date_key'), ('refused', ''), ('rows', ''), ('quarantined', ''))
+            SELECT 'fact_sales' AS table_name, check_kind, column_name, CAST(CASE
+                WHEN column_name = 'unit_price' THEN (SELECT count(*) FROM broken WHERE unpriced)
+                WHEN check_kind = 'foreign_key' AND column_name = 'user_id' THEN (SELECT count(*) FROM broken WHERE orphan)
+                WHEN check_kind IN ('refused', 'quarantined') THEN (SELECT count(*) FROM broken WHERE unpriced OR orphan)
+                WHEN check_kind = 'rows' THEN (SELECT count(*) FROM broken WHERE NOT unpriced AND NOT orphan)
+                ELSE 0 END AS BIGINT) AS violations
+            FROM checks""",
+        ),
         "rfm_metrics": _with(
             "metrics",
             f"""SELECT user_id, recency_days, frequency, CAST(cents AS DOUBLE) / 100 AS monetary,

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart import schemas as S
+from clickmart.operators import integrity
 from clickmart.plans import curation, dims, facts, ltv, recommend, refresh, rfm
 from clickmart.plans.cohort_state import CohortState
 from clickmart.plans.curation import curate, prune_states  # noqa: F401
@@ -46,6 +47,26 @@ def _load_sessions(spark: SparkSession, layout: Layout, plan: curation.Plan) ->
     tables.replace_partitions(spark, path, fresh, "start_date", starts)
 
 
+def _write_facts(spark: SparkSession, layout: Layout, recent: DataFrame, as_of: str) -> None:
+    """Facts of the changed days; rows that break a constraint go to ``quarantine``, the counts to ``quality``."""
+    parents = {
+        name: layout.read(spark, f"warehouse/{name}", schema)
+        for name, schema in (
+            ("dim_customer", S.DIM_CUSTOMER), ("dim_product", S.DIM_PRODUCT), ("dim_date", S.DIM_DATE)
+        )
+    }
+    for name, build, order in (
+        ("fact_sales", facts.fact_sales, "user_id"),
+        ("fact_user_events", facts.fact_user_events, "event_type"),
+    ):
+        counts = integrity.write_checked(
+            build(recent), name, parents,
+            lambda df: tables.write_partitions(df, layout.path(f"warehouse/{name}"), ["date_key"], [order]),
+            lambda df: tables.write_table(df, layout.path(f"quarantine/{as_of}/{name}")),
+        )
+        tables.write_table(counts, layout.path(f"quality/{as_of}/check={name}"))
+
+
 def build_warehouse(spark: SparkSession, layout: Layout, as_of: str) -> None:
     """Star schema and aggregates, after the runs of ``curate`` that it has not taken in yet."""
     plans = curation.unloaded(spark, layout)
@@ -54,13 +75,6 @@ def build_warehouse(spark: SparkSession, layout: Layout, as_of: str) -> None:
     events = layout.read(spark, "curated/events", S.CURATED_EVENT).filter(upto)
     recent = events.filter(refresh.in_days("date", days))
 
-    for name, build, order in (
-        ("fact_sales", facts.fact_sales, "user_id"),
-        ("fact_user_events", facts.fact_user_events, "event_type"),
-    ):
-        tables.write_partitions(
-            build(recent), layout.path(f"warehouse/{name}"), ["date_key"], [order]
-        )
     for plan in plans:
         _load_sessions(spark, layout, plan)
 
@@ -83,6 +97,7 @@ def build_warehouse(spark: SparkSession, layout: Layout, as_of: str) -> None:
     seen = users.agg(F.min("first_seen").alias("first"), F.max("last_seen").alias("last"))
     tables.write_table(dims.dim_date(seen), layout.path("warehouse/dim_date"))
 
+    _write_facts(spark, layout, recent, as_of)
     state = CohortState(spark, layout.path("state/cohorts"))
     for plan in plans:
         state.update(facts.fact_sales(plan.rows), plan.name)
@@ -100,6 +115,10 @@ def build_warehouse(spark: SparkSession, layout: Layout, as_of: str) -> None:
         state.cohorts(),
     )
     refresh.refresh_category_metrics(spark, layout.path("mv/daily_category"), events, days)
+    stored = {
+        name: spark.read.parquet(layout.path(f"warehouse/{name}")) for name in integrity.DECLARED
+    }
+    tables.write_table(integrity.keys_report(stored), layout.path(f"quality/{as_of}/check=keys"))
     curation.loaded(plans)
 
 

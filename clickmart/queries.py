@@ -524,6 +524,30 @@ def customer_activity(spark, sf_dir):
     )
 
 
+@_query
+def constraints_on_write(spark, sf_dir):
+    """Violations of every constraint of the sales facts, some of which are broken, counted by the write."""
+    _, dates, products = _orders_star(spark, sf_dir)
+    key = F.col("sale_id").cast("bigint")
+    sold = fixtures.fact_sales(spark, sf_dir).withColumns({
+        "user_id": F.when(key % 11 == 3, F.lit("nobody")).otherwise(F.col("user_id")),
+        "unit_price": F.when(key % 13 != 5, F.col("unit_price")),
+    })
+    parents = {"dim_customer": fixtures.customer_profile(spark, sf_dir), "dim_product": products, "dim_date": dates}
+    kept, refused = scratch_path(spark, "kept-sales"), scratch_path(spark, "refused-sales")
+    counts = integrity.write_checked(
+        sold, "fact_sales", parents, lambda df: tables.write_table(df, kept), lambda df: tables.write_table(df, refused)
+    )
+    rows = [("rows", kept), ("quarantined", refused)]
+    sizes = [
+        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("violations")).select(
+            F.lit("fact_sales").alias("table_name"), F.lit(kind).alias("check_kind"), F.lit("").alias("column_name"),
+            "violations",
+        ) for kind, path in rows
+    ]
+    return integrity.report([counts, *sizes])
+
+
 @_query
 def integrity_report(spark, sf_dir):
     _, dates, products = _orders_star(spark, sf_dir)

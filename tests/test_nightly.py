@@ -112,6 +112,19 @@ def test_warehouse(spark, sf, lake):
     )
 
 
+def test_the_run_reports_every_constraint(spark, lake):
+    from clickmart.operators import integrity
+
+    rows = spark.read.parquet(lake.path(f"quality/{DAYS[-1]}")).collect()
+    found = {(r.table_name, r.check_kind, r.column_name): r.violations for r in rows}
+    for table, declared in integrity.DECLARED.items():
+        assert (table, "primary_key", ",".join(declared.key)) in found
+        assert all((table, "not_null", c) in found for c in declared.not_null)
+        assert all((table, "foreign_key", c) in found for c in declared.parents or {})
+    assert not any(found.values())
+    assert not storage.list_names(spark, lake.path("quarantine"))
+
+
 def test_features(spark, lake):
     buyers = lake.read(spark, "curated/sales", S.SESSION_SALES).select("user_id").distinct().count()
     assert spark.read.parquet(lake.path("features/customer_ltv")).count() == buyers

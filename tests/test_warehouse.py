@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickmart import schemas as S
@@ -193,6 +194,27 @@ def test_integrity(spark):
     assert [tuple(r) for r in filled.collect()] == [(1, "x"), (5, "x")]
 
 
+def test_broken_rows_are_quarantined_with_their_reasons(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    sales = fixtures.fact_sales(spark, "/root/testdata/sf0.001").limit(3).withColumn("place", F.row_number().over(
+        W.orderBy("sale_id", "product_id")
+    ))
+    bad = sales.withColumns({
+        "user_id": F.when(F.col("place") == 1, F.lit("nobody")).otherwise(F.col("user_id")),
+        "unit_price": F.when(F.col("place") != 1, F.col("unit_price")),
+    }).drop("place")
+    users = bad.filter("user_id != 'nobody'").select("user_id")
+    out = {}
+    report = integrity.write_checked(
+        bad, "fact_sales", {"dim_customer": users}, lambda df: out.update(kept=df.collect()), lambda df: out.update(refused=df.collect())
+    )
+    assert isinstance(report.schema, T.StructType) and len(out["kept"]) == 2
+    assert [r.reason for r in out["refused"]] == ["not_null unit_price, foreign_key user_id"]
+    found = {(r.check_kind, r.column_name): r.violations for r in report.collect()}
+    assert found["foreign_key", "user_id"] == found["not_null", "unit_price"] == found["refused", ""] == 1
+
+
 def test_segment_rules(spark):
     rows = [((5, 5, 5), "Champions"), ((1, 5, 1), "Loyal"), ((2, 3, 1), "At Risk"), ((5, 1, 1), "New"),
             ((1, 1, 1), "Lost"), ((3, 3, 3), "Regular")]
