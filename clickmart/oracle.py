@@ -557,6 +557,32 @@ def statements() -> dict[str, str]:
                        AS BIGINT) AS rank, similar_id, round(s, 6) AS similarity
             FROM pairs
             QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY s DESC, similar_id) <= 10""",
+        "recommendations_table": _with(
+            "curated",
+            """SELECT user_id, n AS recommended, n AS products, true AS not_negative,
+                      CAST(0 AS BIGINT) AS not_rated
+               FROM (SELECT user_id, least(10, (SELECT count(DISTINCT product_id) FROM curated
+                            WHERE event_type IN ('view', 'cart_add', 'purchase'))) AS n
+                     FROM curated WHERE event_type IN ('view', 'cart_add', 'purchase')
+                     GROUP BY user_id)""",
+        ),
+        "customer_ltv_table": _with(
+            "scored",
+            """SELECT user_id, recency_days, frequency, CAST(cents AS DOUBLE) / 100 AS monetary,
+                      r + f + m AS rfm_score, CAST(cents AS DOUBLE) / 100 AS predicted_ltv_12m,
+                      preferred_device FROM scored""",
+            low,
+        ),
+        "als_optimality_check": _with(
+            "curated",
+            """SELECT user_id, CAST(count(DISTINCT product_id) AS BIGINT) AS ratings, true AS best
+               FROM curated WHERE event_type IN ('view', 'cart_add', 'purchase') GROUP BY user_id""",
+        ),
+        "item_vectors_table": _with(
+            "curated",
+            """SELECT DISTINCT product_id, CAST(10 AS BIGINT) AS length, true AS finite, true AS same
+               FROM curated WHERE event_type IN ('view', 'cart_add', 'purchase')""",
+        ),
         "als_recommendations_check": _with(
             "curated",
             """SELECT user_id, n AS recommended, n AS products, true AS not_negative,

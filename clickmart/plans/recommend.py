@@ -58,6 +58,38 @@ class Recommender:
             factors(self.model.userFactors), factors(self.model.itemFactors), self.ratings.select("user", "item"), k
         )
 
+    def optimality(self) -> DataFrame:
+        """Per user, how far its factors are from the best for the given item factors: ``user_id, ratings, off``.
+
+        The last half step solves for the users: regularised least squares over factors that are not negative.  At
+        its solution every slope is zero, or not negative where the factor is zero.  ``off`` is the largest
+        breach, relative to the size of the terms that cancel; random factors are off by about one.
+        """
+        reg = float(C.ALS_REG_PARAM)
+
+        def side(factors: DataFrame, key: str, column: str) -> DataFrame:
+            vector = F.transform("features", lambda x: x.cast("double"))
+            return factors.select(F.col("id").alias(key), vector.alias(column))
+
+        users, items = side(self.model.userFactors, "user", "u"), side(self.model.itemFactors, "item", "v")
+        dot = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x)
+        terms = self.ratings.join(items, "item").join(users, "user").withColumn("dot", dot)
+        slopes = terms.select("user", "rating", "dot", F.posexplode("v").alias("k", "x")).groupBy("user", "k").agg(
+            F.sum(F.col("dot") * F.col("x")).alias("fitted"), F.sum(F.col("rating") * F.col("x")).alias("wanted"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        own = users.select("user", F.posexplode("u").alias("k", "factor"))
+        pull = F.lit(reg) * F.col("n") * F.col("factor")
+        slope = F.col("fitted") - F.col("wanted") + pull
+        breach = F.when(F.col("factor") > 0, F.abs(slope)).otherwise(F.greatest(-slope, F.lit(0.0)))
+        off = (
+            slopes.join(own, ["user", "k"])
+            .groupBy("user").agg(
+                F.max("n").alias("ratings"), (F.max(breach) / F.max(F.col("fitted") + F.col("wanted") + pull)).alias("off")
+            )
+        )
+        return off.join(self.users, "user").select("user_id", "ratings", "off")
+
     def item_vectors(self) -> DataFrame:
         """``product_id, features`` (array) and ``vec`` (vector) of every item."""
         return (

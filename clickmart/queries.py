@@ -8,6 +8,7 @@ microseconds, arrays as joined text.
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -744,6 +745,54 @@ def als_unseen_check(spark, sf_dir):
     )
 
 
+@_query
+def als_optimality_check(spark, sf_dir):
+    """Per user: rated products, and whether its factors are the best for the item factors."""
+    return _recommender(spark, sf_dir).optimality().select(
+        "user_id", "ratings", (F.col("off") < 0.001).alias("best")
+    )
+
+
+def _stored_table(spark, name: str, df: DataFrame) -> DataFrame:
+    """``df`` written as the nightly run does and read back as the external table of the catalog."""
+    path = scratch_path(spark, name)
+    tables.write_table(df, f"{path}/{name}", list(catalog.TABLES[name][2]))
+    database = "clickmart_" + path.rsplit("-", 1)[1]
+    catalog.create_database(spark, database, f"{path}/database", use=False)
+    catalog.create_table(spark, database, name, f"{path}/{name}")
+    return spark.table(f"{database}.{name}")
+
+
+@_query
+def customer_ltv_table(spark, sf_dir):
+    """Customer values by device, written and read back as an external table."""
+    sold = sales.session_sales(fixtures.clean_events(spark, sf_dir))
+    stored = _stored_table(spark, "customer_ltv", ltv.same_period_ltv(sold, fixtures.EVENTS_AS_OF))
+    return stored.withColumn("predicted_ltv_12m", F.round("predicted_ltv_12m", 2))
+
+
+@_query
+def recommendations_table(spark, sf_dir):
+    """Recommendations written, read back as an external table and checked."""
+    return _recommendation_check(_stored_table(spark, "product_recommendations", _recommender(spark, sf_dir).top()))
+
+
+@_query
+def item_vectors_table(spark, sf_dir):
+    """Item vectors written and read back: length of each, whether it is finite, and still that of the model."""
+    vectors = _recommender(spark, sf_dir).item_vectors()
+    path = scratch_path(spark, "item-vectors")
+    tables.write_table(vectors, path)
+    stored = spark.read.parquet(path).select("product_id", F.col("features").alias("kept"), vector_to_array("vec").alias("vec"))
+    finite = F.forall("kept", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    same = (F.col("kept") == F.col("features")) & F.forall(
+        F.zip_with("vec", "kept", lambda a, b: a == b.cast("double")), lambda x: x
+    )
+    return stored.join(vectors.drop("vec"), "product_id").select(
+        "product_id", F.size("kept").alias("length"), finite.alias("finite"), same.alias("same")
+    )
+
+
 @_query
 def item_vectors_check(spark, sf_dir):
     """Per product: length of its vector, and whether all parts are finite."""

@@ -219,3 +219,17 @@ def test_the_year_prunes_the_fact(spark, sf, tmp_path):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_key" in plan and "dynamicpruning" in plan
+
+
+def test_random_factors_are_not_optimal(spark, recommender):
+    from dataclasses import replace
+
+    assert recommender.optimality().agg(F.max("off")).first()[0] < 0.001
+    noise = F.transform("features", lambda x: (x + F.rand(3) * 0.5).cast("float"))
+
+    class Shaken:
+        userFactors = recommender.model.userFactors.withColumn("features", noise)
+        itemFactors = recommender.model.itemFactors
+
+    shaken = replace(recommender, model=Shaken()).optimality()
+    assert shaken.filter("off > 0.01").count() > 0.9 * shaken.count()
