@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 
 from clickmart.llm.common import let
 
-KEY = "change me"
 ROUNDS = 10
 #: fixed values: how personal numbers and dates are written
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -408,7 +407,8 @@ def _date(value: Column, key: str, undo: bool) -> Column:
 
 
 def _email(value: Column, key: str) -> Column:
-    name = F.substring(F.sha2(F.concat_ws(":", F.lit(key), F.lower(value)), 256), 1, 12)
+    # 128 bits: no two people share a pseudonym
+    name = F.substring(F.sha2(F.concat_ws(":", F.lit(key), F.lower(value)), 256), 1, 32)
     return F.concat(F.lit("user-"), name, F.lit("@"), F.substring_index(value, "@", -1))
 
 
@@ -419,7 +419,7 @@ def kind_of(value: Column) -> Column:
     return kind.otherwise("card")
 
 
-def pseudonym(value: Column, key: str = KEY, undo: bool = False) -> Column:
+def pseudonym(value: Column, key: str, undo: bool = False) -> Column:
     """The replacement of one found value; ``undo`` gives numbers and dates back."""
 
     def swap(kind):
@@ -445,7 +445,7 @@ def _swapped(docs: DataFrame, key: str, undo: bool = False) -> DataFrame:
     return swapped.withColumn("fresh", F.when(F.size("found") > 0, joined).otherwise(F.col("text")))
 
 
-def digest(docs: DataFrame, key: str = KEY) -> DataFrame:
+def digest(docs: DataFrame, key: str) -> DataFrame:
     """doc_id, the whole text with pseudonyms, and the number of values replaced by kind."""
     rows = _swapped(docs.select("doc_id", "text"), key)
     changed = F.filter(
@@ -467,7 +467,7 @@ def digest(docs: DataFrame, key: str = KEY) -> DataFrame:
     return rows.withColumn("kinds", kinds).select("doc_id", F.col("fresh").alias("text"), *counts)
 
 
-def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
+def replace(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with the values in ``text`` replaced."""
     rows = _swapped(docs.select(F.struct("*").alias("doc"), "text"), key)
     return rows.withColumn("doc", F.col("doc").withField("text", F.col("fresh"))).select("doc.*")

@@ -36,6 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickmart.llm.common import materialize
+from clickmart.llm.warc import filesystem
 
 
 # workers need not have the package on their path
@@ -50,6 +51,8 @@ END = 50_256
 DTYPE = "<u2"
 BLOCK = 1 << 18  # tokens
 RUN = 1_024  # blocks
+#: files up to this size are one binary value while they are cut; bytes of larger ones per task
+WHOLE, TASK_BYTES = 1 << 28, 1 << 27
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -129,17 +132,38 @@ def _cut(block: int, width: int):
     return run
 
 
+def _range(block: int, width: int):
+    """Block ``block`` of a file, read by its offset."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, n in zip(batch["path"], batch["block"], strict=True):
+                fs, at = filesystem(path)
+                with fs.open_input_file(at) as file:
+                    part = file.read_at(block * width, int(n) * block * width)
+                yield pd.DataFrame({"file": [path], "block": [int(n)], "tokens": [part]})
+
+    return run
+
+
 def read_flat(spark: SparkSession, path: str, dtype: str = DTYPE, block: int = BLOCK) -> DataFrame:
     """Blocks of the binary files in ``path``; ``file`` is the path of each.
 
-    A file is held whole while it is cut, so files are limited to what Spark reads as
-    one binary value (2 GB).
+    Files up to ``WHOLE`` bytes are read by Spark and cut.  Of larger ones, which no binary value holds, every
+    block is read by its offset, by as many tasks as their bytes ask for.
     """
-    width = np.dtype(dtype).itemsize
+    width, kind = np.dtype(dtype).itemsize, "file string, block long, tokens binary"
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", "content").mapInPandas(
-        _cut(block, width), "file string, block long, tokens binary"
-    )
+    whole = files.filter(F.col("length") <= WHOLE).select("path", "content").mapInPandas(_cut(block, width), kind)
+    size = F.lit(block * width)
+    count = F.ceil(F.col("length") / size)
+    large = files.filter(F.col("length") > WHOLE).select("path", "length")
+    total = large.agg(F.sum("length")).first()[0]
+    if not total:
+        return whole
+    places = large.select("path", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("block"))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    return whole.unionByName(places.repartition(tasks).mapInPandas(_range(block, width), kind))
 
 
 def _searcher(end: int, dtype: str, file_type: str):

@@ -56,6 +56,7 @@ MEMO = 200_000
 EDGE = " \t.,;:!?|()[]{}<>*#$%&\"'“”„«»‘’…-"
 #: the same characters as a pattern, and the ASCII blanks
 _CUTS = "[" + "".join("\\" + c for c in EDGE) + r"\n\x0B\f\r]+"
+CUTS = re.compile(_CUTS)
 OPENING, CLOSING = "“„«\"‘", "”“»\"’"
 #: fixed values: words that report what somebody else said
 REPORTING = frozenset(
@@ -176,7 +177,17 @@ class Matcher:
             terms = intersect(LevenshteinAutomaton(word, 1), self.root)
             if terms:
                 return "fuzzy", max(self.terms[t] for t in terms)
-        return None
+        return self._parts(word)
+
+    def _parts(self, word: str) -> tuple[str, float] | None:
+        """The best of the parts that inner punctuation makes, as the lexicon was counted."""
+        found = []
+        for part in CUTS.split(word) if CUTS.search(word) else ():
+            if part in self.terms:
+                found.append(("exact", self.terms[part]))
+            else:
+                found += [("stem", self.stems[part[:n]]) for n in self.stem_lengths if part[:n] in self.stems][:1]
+        return max(found, key=lambda f: f[1], default=None)
 
 
 # ---------------------------------------------------------------- features

@@ -75,7 +75,7 @@ MIN_REVISIT = 100
 
 # ---- files ----------------------------------------------------------------------------------
 
-def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     if re.match(r"file:/(?!/)", path):
         path = path[len("file:"):]
     if "://" not in path:
@@ -85,7 +85,7 @@ def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
 
 def _archives(path: str) -> list[tuple[str, int]]:
     """(file, bytes) of the archives at ``path``, in order of their names."""
-    fs, root = _filesystem(path)
+    fs, root = filesystem(path)
     info = fs.get_file_info(root)
     if info.type == pafs.FileType.File:
         return [(info.path, info.size)]
@@ -386,7 +386,7 @@ class WarcReader(ds.DataSourceReader):
         return packed or [WarcPartition(())]
 
     def read(self, partition: WarcPartition) -> Iterator[pa.RecordBatch]:
-        fs, _ = _filesystem(self.path)
+        fs, _ = filesystem(self.path)
         rows, size = [], 0
         for path in partition.files:
             with fs.open_input_file(path) as raw, io.BufferedReader(raw, 1 << 20) as file:
@@ -493,7 +493,7 @@ class WarcWriter(ds.DataSourceArrowWriter):
         self.further = [n for n in schema.names if n not in known]
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WarcFiles:
-        fs, root = _filesystem(self.path)
+        fs, root = filesystem(self.path)
         context = TaskContext.get()
         stem = f"part-{context.partitionId():06d}-{uuid.uuid4().hex}"
         fs.create_dir(f"{root}/{self.staging}", recursive=True)
@@ -517,7 +517,7 @@ class WarcWriter(ds.DataSourceArrowWriter):
         return WarcFiles(names)
 
     def commit(self, messages) -> None:
-        fs, root = _filesystem(self.path)
+        fs, root = filesystem(self.path)
         fs.create_dir(root, recursive=True)
         if self.overwrite:
             for file, _ in _archives(self.path):
@@ -528,7 +528,7 @@ class WarcWriter(ds.DataSourceArrowWriter):
         self._clear(fs, root)
 
     def abort(self, messages) -> None:
-        self._clear(*_filesystem(self.path))
+        self._clear(*filesystem(self.path))
 
     def _clear(self, fs, root: str) -> None:
         if fs.get_file_info(f"{root}/{self.staging}").type == pafs.FileType.Directory:

@@ -62,7 +62,7 @@ def operators(labels, bench):
 
     return {
         "sharding": sharding.digest, "quality": quality.digest, "minhash": minhash.group,
-        "pseudonyms": pseudonyms.digest, "tokens": tokens.digest, "mixing": mixing.digest,
+        "pseudonyms": lambda d: pseudonyms.digest(d, "k"), "tokens": tokens.digest, "mixing": mixing.digest,
         "toxicity": lambda d: toxicity.score(d, labels), "phrases": phrases.digest,
         "decontaminate": lambda d: decontaminate.digest(d, bench),
     }
@@ -123,8 +123,8 @@ def test_odd_mix(odd):
 
 
 def test_null_texts_stay_null(odd):
-    assert pseudonyms.digest(odd).filter("text is null").count() == 2
-    assert pseudonyms.replace(odd).columns == odd.columns
+    assert pseudonyms.digest(odd, "k").filter("text is null").count() == 2
+    assert pseudonyms.replace(odd, "k").columns == odd.columns
 
 
 def test_urls(spark):

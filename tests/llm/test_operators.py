@@ -192,9 +192,12 @@ PRIVATE = (
 )
 
 
+KEY = "a test key"
+
+
 def test_pseudonyms_round_trip(spark):
     df = frame(spark, [(1, PRIVATE), (2, "again 4041894974608795 and 70.123.182.155")])
-    rows = {r.doc_id: r for r in pseudonyms.digest(df).collect()}
+    rows = {r.doc_id: r for r in pseudonyms.digest(df, KEY).collect()}
     text = rows[1].text
     for value in ("555-3824", "4041894974608795", "70.123.182.155", "123-45-6789", "1984-02-29", "bosbt"):
         assert value not in text
@@ -205,7 +208,7 @@ def test_pseudonyms_round_trip(spark):
     assert plain.luhn(card) and spaced == " ".join(card[i : i + 4] for i in range(0, 16, 4))
     assert f"again {card} and" in rows[2].text
     assert (rows[1].n_phone, rows[1].n_card, rows[1].n_date, rows[1].n_email) == (2, 2, 2, 1)
-    back = pseudonyms._swapped(df.select("doc_id", pseudonyms.F.lit(text).alias("text")), pseudonyms.KEY, undo=True)
+    back = pseudonyms._swapped(df.select("doc_id", pseudonyms.F.lit(text).alias("text")), KEY, undo=True)
     restored = back.select("fresh").first()[0]
     mail = text.split("mail ")[1].split(",")[0]
     assert restored.replace(mail, "bosbt.42@mail8.example.com") == PRIVATE
@@ -218,7 +221,7 @@ def test_cards_beside_short_numbers(spark):
         "4111 11111111 1111 123", "4111111111111111 12a", "4111111111111111 123-45-6789",
     ]
     df = frame(spark, [*enumerate(beside), (99, "only 4111111111111111"), (100, "no 4111111111111112 12")])
-    rows = {r.doc_id: r for r in pseudonyms.digest(df).collect()}
+    rows = {r.doc_id: r for r in pseudonyms.digest(df, KEY).collect()}
     card = rows[99].text.removeprefix("only ")
     assert plain.luhn(card) and card != "4111111111111111"
     written = {
@@ -242,13 +245,13 @@ def test_values_in_other_forms(spark):
     ]
     left = ["666-12-3456", "900-12-3456", "000-12-3456", "31/31/1984", "29/2/1985", "30.02.1984", "1.2.3"]
     df = frame(spark, list(enumerate(f"is {v} here" for v in values + left)))
-    rows = {r.doc_id: r.text for r in pseudonyms.digest(df).collect()}
+    rows = {r.doc_id: r.text for r in pseudonyms.digest(df, KEY).collect()}
     shape = lambda text: "".join("9" if c.isdigit() else c for c in text)
     for i, v in enumerate(values):
         assert rows[i] != f"is {v} here" and shape(rows[i]) == shape(f"is {v} here"), v
     assert [rows[len(values) + i] for i in range(len(left))] == [f"is {v} here" for v in left]
     back = frame(spark, sorted(rows.items()))
-    for r in pseudonyms._swapped(back, pseudonyms.KEY, undo=True).select("doc_id", "fresh").collect():
+    for r in pseudonyms._swapped(back, KEY, undo=True).select("doc_id", "fresh").collect():
         assert r.fresh == f"is {(values + left)[r.doc_id]} here"
 
 
@@ -258,7 +261,7 @@ def test_dates_of_one_form_are_permuted(spark):
     dates = spark.range(20_000).select(
         F.when(F.dayofmonth(day) > 12, F.date_format(day, "M/d/yyyy")).otherwise(F.date_format(day, "d/M/yyyy")).alias("v")
     ).distinct()
-    rows = dates.select("v", pseudonyms.pseudonym(F.col("v")).alias("p"))
+    rows = dates.select("v", pseudonyms.pseudonym(F.col("v"), KEY).alias("p"))
     found = rows.agg(F.count("v").alias("n"), F.countDistinct("p").alias("d")).first()
     assert found.n == found.d and rows.filter("v != p").count() > 0.99 * found.n
 
@@ -321,9 +324,10 @@ def test_token_counts(spark, docs):
     assert got == {d: len(coder.encode_ordinary(t)) for d, t in docs}
 
 
-@pytest.mark.parametrize("block", [1, 3, 64])
-def test_flat_files(spark, tmp_path, block, monkeypatch):
+@pytest.mark.parametrize("block,whole", [(1, 1 << 20), (3, 1 << 20), (64, 1 << 20), (3, 100), (64, 100), (1000, 0)])
+def test_flat_files(spark, tmp_path, block, whole, monkeypatch):
     monkeypatch.setattr(tokens, "RUN", 4)
+    monkeypatch.setattr(tokens, "WHOLE", whole)
     end, rng = 9, random.Random(block)
     expected = []
     for name in ("a", "b", "c"):
@@ -460,6 +464,13 @@ def test_automaton_is_the_edit_distance():
         assert match.near(word) or not found
 
 
+def test_terms_behind_inner_punctuation_are_found():
+    match = toxicity.Matcher({"idiot": 4.0, "moron": 5.0}, {"stup": 3.5})
+    assert match("idiot...moron") == ("exact", 5.0) and match("you,idiot") == ("exact", 4.0)
+    assert match("so-stupid") == ("stem", 3.5) and match("well-known") is None
+    assert toxicity.features("what a you,idiot", match)[1] > 0
+
+
 def test_quotation_is_told_from_abuse():
     match = toxicity.Matcher({"idiot": 5.0}, {})
     plain_hit = dict(zip(toxicity.FEATURES, toxicity.features("you are an idiot for sure", match), strict=True))
