@@ -17,6 +17,7 @@ from clickmart.plans.layout import Layout
 from clickmart.sinks import tables
 from clickmart.storage import list_names, materialize, path_exists, scratch_scope
 
+
 def _day(value: str) -> Column:
     return F.lit(value).cast("date")
 
