@@ -286,3 +286,55 @@ def test_live_sessions_are_corrected(spark, tmp_path):
     assert [t.minute for t in corrections["a"].replaces] == [50]
     assert [t.minute for t in corrections["b"].replaces] == [0] and corrections["b"].session_start.minute == 50
     assert float(corrections["b"].total_revenue) == 2.5 and corrections["b"].items_purchased == 1
+
+
+def test_users_are_merged_at_once_as_one_by_one():
+    import random
+
+    import pandas as pd
+
+    rng = random.Random(5)
+    table = lambda rows: live._sessions(list(zip(*rows)) or [[]] * len(live._SESSION))
+    for _ in range(100):
+        state, events, want = [], [], []
+        for user in ("b", None, "a"):
+            old = [(rng.randrange(0, 300), 1, 2) for _ in range(rng.randrange(0, 6))]
+            new = [(rng.randrange(0, 300), 1, 2) for _ in range(rng.randrange(0, 6))]
+            known = [(*s[:5], 3) for s, _ in live.merged([], old, 20)]
+            for s, starts in live.merged(known, new, 20):
+                changed = s not in known
+                want.append((user, *s[:5], s[5] + changed, changed, [t for t in starts if t != s[0]]))
+            state += [(user, *s) for s in known]
+            events += [(user, t, t, 1, n, c, 0) for t, n, c in new]
+        if not state + events:
+            continue
+        rng.shuffle(state)
+        got = live.merged_users(table(state), table(events), 20)
+        rows = [(None if pd.isna(r[0]) else r[0], *r[1:]) for r in got[[*live._SESSION, "changed", "replaces"]].itertuples(index=False)]
+        assert sorted(rows, key=str) == sorted(want, key=str)
+
+
+def test_a_key_of_the_state_holds_many_users_and_one_timer(spark, tmp_path, monkeypatch):
+    """Two buckets for forty users: a call per user, or a timer per session, is what made large streams slow."""
+    monkeypatch.setattr(live, "BUCKETS", 2)
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    rows = [_event(100 * u + i, f"u{u}", 7200 * i + u) for u in range(40) for i in range(5)]
+    for key, value in live.STATE_STORE.items():
+        spark.conf.set(key, value)
+    try:
+        for n, batch in enumerate([rows[::2], rows[1::2], [_event(9, "late", 10 * 3600)]]):
+            _write(src, f"{n}.json", batch)
+            events = clean.clean(raw.accepted(raw.stream_raw(spark, str(src))))
+            query = ingest.table_sink(live.live_sessions(events, delay="10 hours"), out, str(tmp_path / "state"))
+            query.awaitTermination()
+            state = query.recentProgress[0]["stateOperators"][0]
+            if n < 2:
+                assert state["customMetrics"]["numRegisteredTimers"] <= 2
+    finally:
+        for key in live.STATE_STORE:
+            spark.conf.unset(key)
+    done = spark.read.parquet(out).filter("final")
+    # the watermark stands at the first hour of the stream
+    assert sorted(r.user_id for r in done.collect()) == []
+    shown = live.current(spark.read.parquet(out))
+    assert shown.count() == 201 and shown.filter("user_id != 'late'").agg(F.sum("events")).first()[0] == 200
