@@ -4,16 +4,19 @@ from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart import constants as C
 from clickmart import schemas as S
 from clickmart.functions.scalar import interaction_rating
 from clickmart.operators import masked, ranking, similarity
-from clickmart.storage import materialize
+from clickmart.storage import materialize, scratch_path
 
 INTERACTION_TYPES = (C.VIEW, C.CART_ADD, C.PURCHASE)
+#: a step sends a user's factors to every block that holds one of its items, so blocks are no thinner than needed
+BLOCK_RATINGS = 1_000_000
+MIN_BLOCKS = 16
 
 
 def interactions(events: DataFrame) -> DataFrame:
@@ -107,6 +110,17 @@ def _flat(recommendations: DataFrame) -> DataFrame:
     )
 
 
+def _stored(model: ALSModel, spark: SparkSession) -> ALSModel:
+    """The model written and read back: few full partitions of factors in place of one per block.
+
+    All partitions of users meet all of items, and each such meeting hands on k rows per user: thin ones
+    make as many tasks as there are pairs of blocks, and hand on nearly every product.
+    """
+    path = scratch_path(spark, "als-model")
+    model.save(path)
+    return ALSModel.load(path)
+
+
 def fit(
     rated: DataFrame,
     seed: int = 42,
@@ -116,11 +130,9 @@ def fit(
 ) -> Recommender:
     """Alternating least squares on the interactions, with text ids mapped to integers.
 
-    Factors are kept in as many ``blocks`` as the session has shuffle partitions,
-    unless given.
+    Factors are kept in a block per ``BLOCK_RATINGS``, ``MIN_BLOCKS`` at least and as many as the session has
+    shuffle partitions at most, unless ``blocks`` is given.
     """
-    if blocks is None:
-        blocks = int(rated.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rated = materialize(rated, "interactions")
     users = ranking.integer_ids(rated, "user_id", "user")
     items = ranking.integer_ids(rated, "product_id", "item")
@@ -128,6 +140,9 @@ def fit(
         rated.join(users, "user_id").join(items, "product_id").select("user", "item", "rating"),
         "ratings",
     )
+    if blocks is None:
+        wanted = max(MIN_BLOCKS, -(-numbered.count() // BLOCK_RATINGS))
+        blocks = min(wanted, int(rated.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     als = ALS(
         rank=rank,
         maxIter=C.ALS_MAX_ITER,
@@ -142,4 +157,4 @@ def fit(
         numItemBlocks=blocks,
         seed=seed,
     )
-    return Recommender(als.fit(numbered), users, items, numbered)
+    return Recommender(_stored(als.fit(numbered), rated.sparkSession), users, items, numbered)

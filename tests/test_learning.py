@@ -32,6 +32,18 @@ def test_top_k(recommender):
     assert top.filter(parity == 0).count() > 0.9 * top.count()
 
 
+def test_factors_lie_in_few_partitions(spark, recommender):
+    """A thin block per shuffle partition made as many tasks as there are pairs of them."""
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    try:
+        rated = recommender.ratings.select(F.col("user").alias("user_id"), F.col("item").alias("product_id"), "rating")
+        model = recommend.fit(rated).model
+        assert model.itemFactors.count() == 20 and model.itemFactors.rdd.getNumPartitions() <= 16
+        assert model.recommendForAllUsers(5).count() == 60
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 3)
+
+
 def test_seen_items_are_left_out(recommender):
     fresh = recommender.top(4, exclude_seen=True)
     seen = recommender.ratings.join(recommender.users, "user").join(recommender.items, "item")
