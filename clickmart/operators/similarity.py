@@ -7,9 +7,10 @@
    two of their items from above.
 3. Every block first meets the few blocks with the highest bounds.  The worst k-th best similarity of its items is
    then a threshold: only blocks whose bound reaches it are met at all.
-4. A task holds one block and streams the others by falling bound, with the running k best of each item, and
-   passes over what can't improve any.  Long lists of blocks are parts of up to ``PART_BLOCKS`` meetings for several
-   tasks; the best k of the parts are merged.
+4. A task holds a group of neighbouring blocks and streams the others by falling bound, with the running k best of
+   each item, and passes over what can't improve any.  A streamed block serves the whole group, so with about
+   ``GROUPS`` groups (of up to ``GROUP_BLOCKS``) the traffic grows with the items and not with the pairs of blocks.
+   Long lists of blocks are parts for several tasks; the best k of the parts are merged.
 
 Of equal vectors only the k + 1 with the smallest ids can be anyone's neighbours, so copies never meet copies in
 full.  The driver sees the pivots and one row per block, of which there are at most ``MAX_BLOCKS``: beyond
@@ -34,7 +35,12 @@ MAX_PIVOTS = 1_024
 DRAWN = 8
 #: blocks that are met to find the threshold; as few blocks are not worth a plan
 FIRST = 3
+#: blocks that one part streams at least, and parts of a list at most if it is longer
 PART_BLOCKS = 64
+PARTS = 8
+#: groups of blocks, and blocks that a task holds at most
+GROUPS = 16
+GROUP_BLOCKS = 64
 ANGLE_BINS = 4_096
 #: rounding of a bound and of a product
 SLACK = 1e-9
@@ -138,24 +144,36 @@ def _known(rows: DataFrame, pivots: np.ndarray | None) -> _Blocks:
     )
 
 
-def _lister(known: _Blocks, limit: int | None):
-    """Blocks to meet, by falling bound: the first ``limit``, or all whose bound reaches the threshold."""
+def _lister(known: _Blocks):
+    """The ``FIRST`` blocks to meet, by falling bound, as a group of one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for a, threshold in zip(batch["a"], batch["threshold"], strict=True):
-                at = int(np.searchsorted(known.ids, a))
-                bound = known.bounds(at)
-                order = np.lexsort((known.ids != a, -bound))
-                if limit is not None:
-                    order = order[:limit]
-                else:
-                    order = order[bound[order] >= threshold - SLACK]
+            for a in batch["a"]:
+                bound = known.bounds(int(np.searchsorted(known.ids, a)))
+                order = np.lexsort((known.ids != a, -bound))[:FIRST]
+                yield pd.DataFrame({"a": a, "part": 0, "place": np.arange(len(order)), "b": known.ids[order], "bound": bound[order]})
+
+    return run
+
+
+def _group_lister(known: _Blocks):
+    """Blocks that a group meets: all whose bound reaches the threshold of one of its own, by falling bound."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        long = max(PART_BLOCKS, -(-len(known.ids) // PARTS))
+        for batch in batches:
+            for a, rows in zip(batch["a"], batch["members"], strict=True):
+                bound, other = np.full(len(known.ids), -np.inf), np.ones(len(known.ids), bool)
+                for row in rows:
+                    at = int(np.searchsorted(known.ids, row["block"]))
+                    own = known.bounds(at)
+                    bound = np.maximum(bound, np.where(own >= row["threshold"] - SLACK, own, -np.inf))
+                    other[at] = False
+                order = np.lexsort((other, -bound))
+                order = order[np.isfinite(bound[order])]
                 place = np.arange(len(order))
-                yield pd.DataFrame({
-                    "a": a, "part": place * 0 if limit else place // PART_BLOCKS, "place": place, "b": known.ids[order],
-                    "bound": bound[order],
-                })
+                yield pd.DataFrame({"a": a, "part": place // long, "place": place, "b": known.ids[order], "bound": bound[order]})
 
     return run
 
@@ -172,7 +190,8 @@ class Best:
     def offer(self, others: np.ndarray, score: np.ndarray) -> None:
         """Scores of all rows with ``others``; -inf for what must not be taken."""
         least = self.kth
-        if len(others) > self.k:
+        # few reach the running best of a row; else its best of these are found first
+        if len(others) > self.k and np.count_nonzero(score >= least[:, None]) > self.k * len(self.ids):
             least = np.maximum(least, np.partition(score, -self.k, axis=1)[:, -self.k])
         rows, columns = np.nonzero((score >= least[:, None]) & np.isfinite(score))
         self._take(rows, others[columns], score[rows, columns])
@@ -198,45 +217,51 @@ class Best:
         )
 
 
-def _meet(best: Best, ids, vectors) -> None:
-    others = np.asarray(list(ids))
-    score = best.vectors @ stacked(vectors).T
+def _meet(best: Best, others: np.ndarray, vectors: np.ndarray) -> None:
+    score = best.vectors @ vectors.T
     # an item is no neighbour of itself
     score[best.ids[:, None] == others[None, :]] = -np.inf
     best.offer(others, score)
 
 
-def _meetings(k: int, thresholds: bool):
-    """Stream of a block followed by those it meets; the k best of its items, or their worst k-th."""
+def _meetings(k: int, known: _Blocks, thresholds: bool):
+    """Stream of a group of blocks followed by those it meets; the k best of its items, or their worst k-th."""
 
-    def result(a: int, best: Best) -> pd.DataFrame:
-        if thresholds:
-            return pd.DataFrame({"a": [a], "threshold": [best.kth.min()]})
-        return best.nearest()
+    def result(group: dict[int, Best]) -> Iterator[pd.DataFrame]:
+        for block, best in group.items():
+            yield pd.DataFrame({"a": [block], "threshold": [best.kth.min()]}) if thresholds else best.nearest()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best, a = None, None
+        at, group, bounds = None, {}, {}
         for batch in batches:
             for row in batch.itertuples(index=False):
+                if at != (row.a, row.part):
+                    yield from result(group)
+                    at, group, bounds = (row.a, row.part), {}, {}
                 if row.place < 0:
-                    if best is not None:
-                        yield result(a, best)
-                    best, a = Best(row.ids, row.vectors, k), row.a
-                elif row.bound >= best.kth.min() - SLACK:
-                    _meet(best, row.ids, row.vectors)
-        if best is not None:
-            yield result(a, best)
+                    best = group[row.block] = Best(row.ids, row.vectors, k)
+                    # nothing below the threshold is among the k best of any item of the block
+                    best.kth[:] = row.threshold - SLACK
+                    bounds[row.block] = known.bounds(int(np.searchsorted(known.ids, row.block)))
+                    continue
+                b = int(np.searchsorted(known.ids, row.block))
+                met = [best for block, best in group.items() if bounds[block][b] >= best.kth.min() - SLACK]
+                if met:
+                    others, vectors = np.asarray(list(row.ids)), stacked(row.vectors)
+                    for best in met:
+                        _meet(best, others, vectors)
+        yield from result(group)
 
     return run
 
 
-def _streams(blocks: DataFrame, candidates: DataFrame, pairs: DataFrame) -> DataFrame:
-    """For each block and part of its list: the block itself, then the candidates of the others in order."""
-    heads = pairs.select("a", "part").distinct().join(blocks, F.col("a") == F.col("block")).select(
-        "a", "part", F.lit(-1).alias("place"), F.lit(1.0).alias("bound"), "ids", "vectors"
+def _streams(blocks: DataFrame, candidates: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """For each group (a) and part of its list: its ``members`` (a, block, threshold), then the candidates of the others in order."""
+    heads = pairs.select("a", "part").distinct().join(members, "a").join(blocks, "block").select(
+        "a", "part", F.lit(-1).alias("place"), "block", "threshold", "ids", "vectors"
     )
     others = pairs.join(candidates, F.col("b") == F.col("block")).select(
-        "a", "part", "place", "bound", "ids", "vectors"
+        "a", "part", "place", "block", F.lit(0.0).alias("threshold"), "ids", "vectors"
     )
     return heads.unionByName(others).repartition("a", "part").sortWithinPartitions("a", "part", "place")
 
@@ -249,13 +274,15 @@ def _packed(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Meetings:
-    """Blocks, the items of each that can be neighbours, and which blocks meet (a, part, place, b, bound)."""
+    """Blocks, the items of each that can be neighbours, groups of blocks, and which blocks they meet (a, part, place, b, bound)."""
 
     items: DataFrame
     blocks: DataFrame
     candidates: DataFrame
+    members: DataFrame
     pairs: DataFrame
     block_count: int
+    known: _Blocks
 
 
 def plan_meetings(rows: DataFrame, k: int, block_items: int = BLOCK_ITEMS) -> Meetings:
@@ -280,18 +307,25 @@ def plan_meetings(rows: DataFrame, k: int, block_items: int = BLOCK_ITEMS) -> Me
         blocks, candidates = materialize(blocks, "similarity-blocks"), materialize(candidates, "similarity-candidates")
     known = _known(items, pivots)
     own = [int(b) for b, p in zip(known.ids, known.pivot, strict=True) if p >= 0]
-    tasks = spark.createDataFrame([(b, float("-inf")) for b in own], "a long, threshold double")
+    none = float("-inf")
     if len(own) > FIRST:
-        tasks = tasks.repartition("a")
-        first = tasks.mapInPandas(_lister(known, FIRST), _PAIRS)
-        tasks = materialize(
-            _streams(blocks, candidates, first).mapInPandas(_meetings(k, True), "a long, threshold double"),
+        alone = spark.createDataFrame([(b, b, none) for b in own], "a long, block long, threshold double")
+        first = alone.select("a").repartition("a").mapInPandas(_lister(known), _PAIRS)
+        met = materialize(
+            _streams(blocks, candidates, alone, first).mapInPandas(_meetings(k, known, True), "a long, threshold double"),
             "similarity-thresholds",
         )
-    pairs = tasks.mapInPandas(_lister(known, None), _PAIRS)
+        # neighbours in id are ranges of angles of the same pivot
+        many = min(GROUP_BLOCKS, -(-len(own) // GROUPS))
+        groups = spark.createDataFrame([(b, i // many) for i, b in enumerate(own)], "block long, a long")
+        members = met.withColumnRenamed("a", "block").join(groups, "block").select("a", "block", "threshold")
+    else:
+        members = spark.createDataFrame([(b, b, none) for b in own], "a long, block long, threshold double")
+    grouped = members.groupBy("a").agg(F.sort_array(F.collect_list(F.struct("block", "threshold"))).alias("members"))
+    pairs = grouped.mapInPandas(_group_lister(known), _PAIRS)
     if len(own) > FIRST:
         pairs = materialize(pairs, "similarity-pairs")
-    return Meetings(items, blocks, candidates, pairs, len(own))
+    return Meetings(items, blocks, candidates, members, pairs, len(own), known)
 
 
 def cosine_topk(
@@ -302,8 +336,8 @@ def cosine_topk(
     rows = items.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     plan = plan_meetings(rows, k, block_items)
     kind = rows.schema["id"].dataType.simpleString()
-    partial = _streams(plan.blocks, plan.candidates, plan.pairs).mapInPandas(
-        _meetings(k, False), f"item_id {kind}, similar_id {kind}, similarity double"
+    partial = _streams(plan.blocks, plan.candidates, plan.members, plan.pairs).mapInPandas(
+        _meetings(k, plan.known, False), f"item_id {kind}, similar_id {kind}, similarity double"
     )
     # zero vectors are equally far from everything: the smallest ids are their neighbours
     smallest = plan.items.select("id").orderBy("id").limit(k + 1).agg(F.collect_list("id").alias("ids"))

@@ -157,6 +157,16 @@ def test_long_lists_are_parts(spark, monkeypatch):
     _same_neighbours(_found(similarity.cosine_topk(items, 3, block_items=6)), _brute(list(range(90)), m, 3))
 
 
+def test_a_streamed_block_serves_a_group(spark):
+    """Shipped blocks grow with the items where all must meet, not with the pairs of blocks."""
+    rng = np.random.default_rng(8)
+    m = rng.normal(size=(192, 24))
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, features array<double>")
+    plan = similarity.plan_meetings(items.select("id", F.col("features").alias("vector")), 3, 2)
+    assert plan.block_count >= 64 and plan.pairs.count() <= similarity.GROUPS * plan.block_count
+    _same_neighbours(_found(similarity.cosine_topk(items, 3, block_items=2)), _brute(list(range(192)), m, 3))
+
+
 def test_bounds_hold():
     """No two items are more similar than the bound of their blocks."""
     rng = np.random.default_rng(2)
