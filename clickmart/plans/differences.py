@@ -99,16 +99,14 @@ class Maintained:
     def _ended(self, name: str) -> bool:
         return path_exists(self.spark, f"{self.root}/{name}/_SUCCESS")
 
-    def _merged(self, changes: DataFrame) -> DataFrame:
-        """New contents of the partitions that ``changes`` touch."""
+    def _merged(self, changes: DataFrame, touched: list) -> DataFrame:
+        """New contents of the partitions ``touched`` by ``changes``."""
         group = ["part", *self.what.keys, *self.what.members]
         sums = [F.sum(F.col("sign") * expr()).alias(name) for name, expr in self.what.sums.items()]
-        changes = self.what.parts(changes)
         delta = changes.groupBy(*group).agg(F.sum(F.col("sign").cast("bigint")).alias("_rows"), *sums)
         path = f"{self.root}/rows"
         if not path_exists(self.spark, path):
             return delta.filter("_rows != 0")
-        touched = [r.part for r in changes.select("part").distinct().collect()]
         stored = self.spark.read.parquet(path).filter(F.col("part").isin(touched))
         both = stored.select(*delta.columns).unionByName(delta)
         total = both.groupBy(*group).agg(F.sum("_rows").alias("_rows"), *[F.sum(n).alias(n) for n in self.what.sums])
@@ -121,15 +119,18 @@ class Maintained:
             return []
         plan = f"{self.root}/plans/{run}"
         if not self._ended(f"plans/{run}/parts"):
-            merged = self._merged(changes)
+            changes = self.what.parts(changes)
+            touched = [r.part for r in changes.select("part").distinct().collect()]
+            merged = self._merged(changes, touched)
             below = F.raise_error(F.concat(F.lit("withdrawn but unknown: "), F.to_json(F.struct(*merged.columns))))
             checked = merged.withColumn("_rows", F.when(F.col("_rows") < 0, below.cast("bigint")).otherwise(F.col("_rows")))
             checked.write.mode("overwrite").parquet(f"{plan}/rows")
-            touched = self.what.parts(changes).select(F.col("part").cast("string").alias("part")).distinct()
-            touched.write.mode("overwrite").parquet(f"{plan}/parts")
+            names = self.spark.createDataFrame([(t and str(t),) for t in touched], "part string").coalesce(1)
+            names.write.mode("overwrite").parquet(f"{plan}/parts")
         fresh = self.spark.read.parquet(f"{plan}/rows")
         parts = sorted(r.part for r in self.spark.read.schema("part string").parquet(f"{plan}/parts").collect())
-        tables.replace_partitions(self.spark, f"{self.root}/rows", fresh, "part", parts)
+        # the plan's rows lie written: they are placed as they are
+        tables.place_partitions(self.spark, f"{self.root}/rows", fresh, "part", parts)
         view = self.what.parts(self.what.finish(fresh))
         tables.replace_partitions(self.spark, f"{self.root}/view", view, "part", parts)
         self.spark.createDataFrame([(run,)], "run string").write.mode("overwrite").parquet(f"{self.root}/runs/{run}")

@@ -76,7 +76,13 @@ def replace_partitions(
 
     ``df`` may read the table itself.
     """
-    fresh = materialize(df, "partitions")
+    place_partitions(spark, path, materialize(df, "partitions"), column, values, sort_by)
+
+
+def place_partitions(
+    spark: SparkSession, path: str, fresh: DataFrame, column: str, values: Sequence[str], sort_by: Sequence[str] = ()
+) -> None:
+    """The same of rows that lie written elsewhere, without a further copy."""
     write_partitions(fresh, path, [column], sort_by)
     present = {str(r[0]) for r in fresh.select(column).distinct().collect()}
     for value in sorted(set(values) - present):
