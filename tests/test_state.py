@@ -105,6 +105,18 @@ def test_only_changed_days_are_written(spark, tmp_path):
     assert {d for d in after if after[d] != before.get(d)} == {"part=2024-01-01"}
 
 
+def test_the_rows_of_a_plan_are_not_written_again(spark, tmp_path, monkeypatch):
+    copies, done = [], differences.tables.materialize
+    monkeypatch.setattr(differences.tables, "materialize", lambda df, label: copies.append(df.columns) or done(df, label))
+    kept = differences.Maintained(spark, str(tmp_path / "m"), differences.CATEGORY_METRICS)
+    kept.apply(differences.changes(_events(spark, FIRST)), "1")
+    kept.apply(differences.changes(_events(spark, FIRST[:2])), "2")
+    # only the view's
+    assert len(copies) == 2 and all("_rows" not in columns for columns in copies)
+    want = aggregates.daily_category_metrics(_events(spark, FIRST + FIRST[:2]))
+    assert _same(kept.view().select(*want.columns), want)
+
+
 def test_a_run_is_applied_once_even_if_cut_off(spark, tmp_path, monkeypatch):
     kept = differences.Maintained(spark, str(tmp_path / "m"), differences.CATEGORY_METRICS)
     kept.apply(differences.changes(_events(spark, FIRST)), "1")
